@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from .chat_format import OP9_SQL, op9_chat_format
 from .mixing import op6_mixing
+from .packing import op4_packing
+from .token_counts import op10_token_counts
 
 QUERIES = {
+    "op4_packing": op4_packing,
     "op6_mixing": op6_mixing,
     "op9_chat_format": op9_chat_format,
+    "op10_token_counts": op10_token_counts,
 }
 SQL = {"op9_chat_format": OP9_SQL}
