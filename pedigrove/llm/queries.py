@@ -5,14 +5,18 @@ from __future__ import annotations
 from .chat_format import OP9_SQL, op9_chat_format
 from .embedding_dedup import op8_embedding_dedup
 from .html_extract import op2_html_extract
+from .media_columns import op7_media_columns
 from .mixing import op6_mixing
 from .packing import op4_packing
+from .quality import op3_quality
 from .token_counts import op10_token_counts
 
 QUERIES = {
     "op2_html_extract": op2_html_extract,
+    "op3_quality": op3_quality,
     "op4_packing": op4_packing,
     "op6_mixing": op6_mixing,
+    "op7_media_columns": op7_media_columns,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_token_counts": op10_token_counts,
