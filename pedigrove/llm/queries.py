@@ -10,11 +10,13 @@ from .mixing import op6_mixing
 from .packing import op4_packing
 from .quality import op3_quality
 from .token_counts import op10_token_counts
+from .toxicity import op5_toxicity
 
 QUERIES = {
     "op2_html_extract": op2_html_extract,
     "op3_quality": op3_quality,
     "op4_packing": op4_packing,
+    "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
     "op7_media_columns": op7_media_columns,
     "op8_embedding_dedup": op8_embedding_dedup,
