@@ -110,5 +110,6 @@ def op10_token_counts(spark, sf_dir: str) -> DataFrame:
     names = write_token_files(spark.read.parquet(f"{sf_dir}/documents.parquet"), path)
     if names.isEmpty():
         return spark.createDataFrame([], "doc_id long, file string, doc_index long, start long, n_tokens long")
-    counted = stitch(scan_separators(spark, path))
+    # Merged, not broadcast: the arrays of separators look small to the planner until they are exploded.
+    counted = stitch(scan_separators(spark, path)).hint("merge")
     return names.join(counted, ["file", "doc_index"]).select("doc_id", "file", "doc_index", "start", "n_tokens")
