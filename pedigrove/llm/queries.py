@@ -7,12 +7,14 @@ from .embedding_dedup import op8_embedding_dedup
 from .html_extract import op2_html_extract
 from .media_columns import op7_media_columns
 from .mixing import op6_mixing
+from .ngram_jaccard import op1_ngram_jaccard
 from .packing import op4_packing
 from .quality import op3_quality
 from .token_counts import op10_token_counts
 from .toxicity import op5_toxicity
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_html_extract": op2_html_extract,
     "op3_quality": op3_quality,
     "op4_packing": op4_packing,
