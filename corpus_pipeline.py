@@ -1,25 +1,65 @@
-"""Corpus pipeline: documents through the operators of the llm subpackage, one stage at a time."""
+"""Corpus pipeline: documents through operators of the llm subpackage, one stage at a time.
+
+toxicity -> quality -> near duplicates -> mixing -> packing. Each stage works on all
+rows that its predecessor kept, with their columns; the last returns packed pieces.
+The classifiers learn from the labelled rows among the documents that they are given.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from pedigrove.llm import _common, mixing
+from pedigrove.llm import _common, mixing, ngram_jaccard, packing, quality, toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _labels(spark, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier rejects go."""
+    return toxicity.drop_toxic(docs.select(COLUMNS), toxicity.train(docs, _labels(spark, sf_dir)))
+
+
+def keep_good(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.keep_good(docs.select(COLUMNS), quality.train(docs, _labels(spark, sf_dir)))
+
+
+def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays.
+
+    Repeated rows of one id stay or go together; rows without an id stay.
+    """
+    found = ngram_jaccard.similar_components(docs)
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.select(COLUMNS).join(gone, "doc_id", "left_anti").select(COLUMNS)
+
+
 def mix_sources(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows repeated or left out so that sources meet their target weights."""
-    return mixing.repeat_rows(mixing.mix(docs)).select(COLUMNS)
+    return mixing.repeat_rows(mixing.mix(docs.select(COLUMNS))).select(COLUMNS)
+
+
+def pack_sequences(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of packed sequences."""
+    return packing.pack(docs)
 
 
-STAGES = [("mixing", mix_sources)]
-ORACLE_SQL = None  # a stage cannot be said in SQL; tests/llm hold the stages against brute force
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality", keep_good),
+    ("near_duplicates", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+ORACLE_SQL = None  # stages cannot be said in SQL; tests/llm hold them against brute force
 
 
 def run(spark, sf_dir: str) -> DataFrame:
-    """The stages applied to documents in turn; each result is written and read again."""
+    """The stages applied to documents in turn; each result is written as Parquet and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = _common.written(stage(spark, docs, sf_dir), name)
