@@ -1,4 +1,229 @@
-"""Registered queries over the driver's tables."""
+"""Registered queries over the driver's tables, and the same in SQL."""
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from .. import functions as fn
+from .. import operators as op
+from .mappings import view, with_views
+
+SITE = ("chrom", "pos0", "end_", "ref", "alt")
+IV = ("chrom", "start_", "end_")
+
+
+def family_expand(spark: SparkSession, d: str) -> DataFrame:
+    return op.family_expand(view(spark, d, "geno"), site=SITE, sample="sample", gt="gt", family="family")
+
+
+def _resolved(spark: SparkSession, d: str) -> DataFrame:
+    return op.resolve_alleles(family_expand(spark, d), SITE, "family", "sample", "gt", "alt", "ad")
+
+
+def resolve_alleles(spark: SparkSession, d: str) -> DataFrame:
+    return _resolved(spark, d)
+
+
+def info_per_allele(spark: SparkSession, d: str) -> DataFrame:
+    rows = op.strip_info_tail(view(spark, d, "info"), "CSQ", "info")
+    return op.per_allele_fields(rows, ("AC", "AQ", "MLEAC"), "info", "alt", "allele_num")
+
+
+def interval_overlap(spark: SparkSession, d: str) -> DataFrame:
+    regions = view(spark, d, "rg").select(F.col("chrom").alias("rchrom"), F.col("start_").alias("rstart"), F.col("end_").alias("rend"))
+    return op.overlap_join(view(spark, d, "iv"), regions, IV, ("rchrom", "rstart", "rend")).drop("rchrom")
+
+
+def overlap_count(spark: SparkSession, d: str) -> DataFrame:
+    return op.overlap_count(view(spark, d, "iv"), view(spark, d, "rg"), "n", IV, IV)
+
+
+def overlap_mean(spark: SparkSession, d: str) -> DataFrame:
+    return op.overlap_mean(view(spark, d, "iv"), view(spark, d, "rg"), {"z": "z_mean"}, IV, IV)
+
+
+def overlap_labels(spark: SparkSession, d: str) -> DataFrame:
+    found = op.overlap_labels(view(spark, d, "iv"), view(spark, d, "rg"), "symbol", "symbols", IV, IV)
+    return found.withColumn("symbols", F.array_join("symbols", ","))
+
+
+def merge_intervals(spark: SparkSession, d: str) -> DataFrame:
+    return op.merge_intervals(view(spark, d, "iv"), IV)
+
+
+def region_semi_join(spark: SparkSession, d: str) -> DataFrame:
+    return op.region_semi_join(view(spark, d, "iv"), view(spark, d, "rg"), IV, IV)
+
+
+def nearest_interval(spark: SparkSession, d: str) -> DataFrame:
+    return op.nearest_interval(view(spark, d, "iv"), view(spark, d, "rg"), "symbol", IV, IV)
+
+
+def gene_constraint(spark: SparkSession, d: str) -> DataFrame:
+    constraint = view(spark, d, "cons").withColumnsRenamed({"pli": "lof.pLI", "oe": "lof.oe_ci.upper"})
+    return op.constraint_by_gene(view(spark, d, "ann"), constraint, "symbol")
+
+
+def transcript_lookup(spark: SparkSession, d: str) -> DataFrame:
+    constraint = view(spark, d, "cons").withColumnsRenamed({"pli": "lof.pLI", "oe": "lof.oe_ci.upper"})
+    return op.constraint_by_transcript(view(spark, d, "ann"), constraint, "feature")
+
+
+def gene_posterior(spark: SparkSession, d: str) -> DataFrame:
+    return op.gene_posterior(view(spark, d, "ann"), view(spark, d, "post"), "symbol")
+
+
+def exact_lookup(spark: SparkSession, d: str) -> DataFrame:
+    on = {"chrom": "chrom", "pos0": "pos0", "ref": "ref", "alt_specific": "alt"}
+    return op.annotate_exact(view(spark, d, "ann"), view(spark, d, "scores"), on, {"score": "score"}).withColumn("score", F.col("score").cast("double"))
+
+
+def impact_filter(spark: SparkSession, d: str) -> DataFrame:
+    return op.impact_filter(view(spark, d, "ann"), "impact")
+
+
+def severity_filter(spark: SparkSession, d: str) -> DataFrame:
+    return op.severity_at_least(view(spark, d, "ann"), view(spark, d, "ranks"), consequence="consequence")
+
+
+def packed_split(spark: SparkSession, d: str) -> DataFrame:
+    return op.split_packed(view(spark, d, "pk"), "csq", ["brand", "type", "x", "y", "more"], "csq_")
+
+
+def merge_annotations(spark: SparkSession, d: str) -> DataFrame:
+    resolved = _resolved(spark, d).withColumnRenamed("ALT_specific", "alt_specific")
+    return op.merge_annotations(resolved, impact_filter(spark, d), ("chrom", "pos0", "end_", "ref", "alt_specific"))
+
+
+def missing_samples(spark: SparkSession, d: str) -> DataFrame:
+    return op.missing_samples(view(spark, d, "called"), view(spark, d, "ped"))
+
+
+def extra_samples(spark: SparkSession, d: str) -> DataFrame:
+    return op.extra_samples(view(spark, d, "called"), view(spark, d, "ped"))
+
+
+def chunk_numbers(spark: SparkSession, d: str) -> DataFrame:
+    return op.chunk_numbers(view(spark, d, "iv"), 50, IV)
+
+
+def stage_reconcile(spark: SparkSession, d: str) -> DataFrame:
+    return op.stage_reconcile(view(spark, d, "iv"), op.chunk_numbers(view(spark, d, "iv"), 100, IV), 100)
+
+
+def chrom_normalize(spark: SparkSession, d: str) -> DataFrame:
+    return op.normalize_chrom(view(spark, d, "chroms"), view(spark, d, "contigs"))
+
+
+def position_sort(spark: SparkSession, d: str) -> DataFrame:
+    """The order of the rows as a column: each row's place on its chromosome."""
+    rows = op.position_sort(view(spark, d, "geno"), ("chrom", "pos0"), ("end_", "ref", "family", "sample", "gt", "ad"))
+    order = W.partitionBy("chrom").orderBy("pos0", "end_", "ref", "family", "sample", "gt", F.col("ad"))
+    return rows.withColumn("place", F.row_number().over(order))
+
+
+def chunk_union(spark: SparkSession, d: str) -> DataFrame:
+    rows = view(spark, d, "geno")
+    return op.union_stages([rows.where(F.col("chrom") == c) for c in ("chr1", "chr2", "chr3")])
+
+
+def drop_genotypes(spark: SparkSession, d: str) -> DataFrame:
+    return op.drop_genotypes(view(spark, d, "geno"), ("sample", "gt", "ad", "family"))
+
+
+def family_region_expand(spark: SparkSession, d: str) -> DataFrame:
+    """Expansion within regions only, families from a pedigree."""
+    geno, pedigree = view(spark, d, "geno").drop("family"), view(spark, d, "geno").select("family", "sample")
+    regions = spark.read.parquet(f"{d}/orders.parquet").select(F.concat(F.lit("chr"), (F.col("o_orderkey") % 3 + 1).cast("string")).alias("chrom"), F.col("o_orderkey").alias("start"), (F.col("o_orderkey") + 2).alias("end"))
+    return op.family_expand(geno, pedigree, regions, SITE, "sample", "gt", "family", ("chrom", "pos0", "end_")).select("chrom", "pos0", "sample", "gt", "family")
+
+
+def genotype_text(spark: SparkSession, d: str) -> DataFrame:
+    """Call, depth and quality text from numbers."""
+    rows = spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", F.array(F.col("l_linenumber") % 3 - 1, F.col("l_linenumber") % 2).alias("call"), (F.col("l_orderkey") % 2 == 0).alias("phased"))
+    return rows.select("l_orderkey", "l_linenumber", fn.gt_text("call", "phased").alias("gt"), fn.format_text("call").alias("ad"), fn.first_text("call").alias("dp"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        family_expand, resolve_alleles, info_per_allele, interval_overlap, overlap_count, overlap_mean, overlap_labels, merge_intervals,
+        region_semi_join, nearest_interval, gene_constraint, transcript_lookup, gene_posterior, exact_lookup, impact_filter, severity_filter,
+        packed_split, merge_annotations, missing_samples, extra_samples, chunk_numbers, stage_reconcile, chrom_normalize, position_sort,
+        chunk_union, drop_genotypes, family_region_expand, genotype_text,
+    )
+}
+
+_EXPANDED = """, expanded AS (
+  SELECT g.* FROM geno g WHERE EXISTS (
+    SELECT 1 FROM geno h WHERE h.chrom = g.chrom AND h.pos0 = g.pos0 AND h.family = g.family AND regexp_matches(h.gt, '[1-9]') AND NOT contains(h.gt, '.')))"""
+
+_RESOLVED = _EXPANDED + """, seen AS (SELECT *, regexp_extract_all(gt, '[1-9][0-9]*') alts FROM expanded),
+active AS (SELECT DISTINCT chrom, pos0, family, CAST(unnest(alts) AS INTEGER) allele_num FROM seen),
+flags AS (SELECT chrom, pos0, family, bool_or(len(alts) > 1 AND len(list_distinct(alts)) > 1) family_has_multiallelic_het FROM seen GROUP BY ALL),
+resolved AS (
+  SELECT s.chrom, s.pos0, s.end_, s.ref, s.alt, s.sample, s.family, s.gt, s.ad, a.allele_num, string_split(s.alt, ',')[a.allele_num] alt_specific,
+    CASE WHEN contains(s.gt, '.') THEN NULL WHEN list_contains(s.alts, CAST(a.allele_num AS VARCHAR)) THEN 1 ELSE 0 END carrier,
+    CASE WHEN s.ad <> '.' THEN string_split(s.ad, ',')[1] END AD_ref, CASE WHEN s.ad <> '.' THEN string_split(s.ad, ',')[a.allele_num + 1] END AD_alt,
+    len(s.alts) > 1 AND len(list_distinct(s.alts)) > 1 sample_is_multiallelic_het, f.family_has_multiallelic_het,
+    array_to_string(s.alts, ',') alleles_in_gt, contains(s.gt, '.') is_missing_gt
+  FROM seen s JOIN active a USING (chrom, pos0, family) JOIN flags f USING (chrom, pos0, family))"""
+
+_OVER = "i.chrom = r.chrom AND i.start_ < r.end_ AND r.start_ < i.end_"
+
+SQL = {
+    "family_expand": with_views("geno") + _EXPANDED + " SELECT * FROM expanded",
+    "resolve_alleles": with_views("geno") + _RESOLVED + ' SELECT * EXCLUDE (alt_specific), alt_specific AS "ALT_specific" FROM resolved',
+    "info_per_allele": with_views("info") + """, s AS (
+  SELECT *, regexp_replace(info, ';CSQ.*', '') stripped, coalesce(TRY_CAST(allele_num AS INTEGER), 1) n FROM info), p AS (SELECT *, CASE WHEN n >= 1 THEN n ELSE -1 END k FROM s)
+SELECT l_orderkey, l_linenumber, stripped AS info, alt, allele_num, string_split(alt, ',')[k] AS "ALT_specific",
+  coalesce(string_split(nullif(regexp_extract(stripped, 'AC=([^;]+)', 1), ''), ',')[k], 'NA') AS "AC", 'NA' AS "AQ",
+  coalesce(string_split(nullif(regexp_extract(stripped, 'MLEAC=([^;]+)', 1), ''), ',')[k], 'NA') AS "MLEAC" FROM p""",
+    "interval_overlap": with_views("iv", "rg") + f" SELECT i.chrom, i.start_, i.end_, r.start_ rstart, r.end_ rend FROM iv i JOIN rg r ON {_OVER}",
+    "overlap_count": with_views("iv", "rg") + f" SELECT i.chrom, i.start_, i.end_, count(r.start_) n FROM iv i LEFT JOIN rg r ON {_OVER} GROUP BY ALL",
+    "overlap_mean": with_views("iv", "rg") + f" SELECT i.chrom, i.start_, i.end_, CAST(sum(r.z) AS DOUBLE) / nullif(count(r.z), 0) z_mean FROM iv i LEFT JOIN rg r ON {_OVER} GROUP BY ALL",
+    "overlap_labels": with_views("iv", "rg") + f" SELECT i.chrom, i.start_, i.end_, coalesce(string_agg(DISTINCT r.symbol, ',' ORDER BY r.symbol), '') symbols FROM iv i LEFT JOIN rg r ON {_OVER} GROUP BY ALL",
+    "merge_intervals": with_views("iv") + """, m AS (
+  SELECT *, max(end_) OVER (PARTITION BY chrom ORDER BY start_, end_ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) reach FROM iv),
+n AS (SELECT *, sum(CASE WHEN reach IS NULL OR start_ > reach + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY start_, end_ ROWS UNBOUNDED PRECEDING) island FROM m)
+SELECT chrom, min(start_) start_, max(end_) end_ FROM n GROUP BY chrom, island""",
+    "region_semi_join": with_views("iv", "rg") + f" SELECT * FROM iv i WHERE EXISTS (SELECT 1 FROM rg r WHERE {_OVER})",
+    "nearest_interval": with_views("iv", "rg") + f""", g AS (SELECT chrom, start_, end_, symbol FROM rg),
+o AS (SELECT i.chrom, i.start_, i.end_, 0 d, r.start_ gs, r.symbol FROM iv i JOIN g r ON {_OVER}),
+le AS (SELECT chrom, end_, min(struct_pack(gs := start_, symbol := symbol)) b FROM g GROUP BY ALL), ri AS (SELECT chrom, start_, min(symbol) symbol FROM g GROUP BY ALL),
+l AS (SELECT i.chrom, i.start_, i.end_, i.start_ - le.end_ d, le.b.gs gs, le.b.symbol symbol FROM iv i ASOF JOIN le ON i.chrom = le.chrom AND i.start_ >= le.end_),
+r AS (SELECT i.chrom, i.start_, i.end_, ri.start_ - i.end_ d, ri.start_ gs, ri.symbol FROM iv i ASOF JOIN ri ON i.chrom = ri.chrom AND i.end_ <= ri.start_),
+b AS (SELECT chrom, start_, end_, min(struct_pack(d := d, gs := gs, symbol := symbol)) b FROM (SELECT * FROM o UNION ALL SELECT * FROM l UNION ALL SELECT * FROM r) GROUP BY ALL)
+SELECT i.chrom, i.start_, i.end_, b.b.symbol nearest_symbol, CAST(b.b.d AS BIGINT) nearest_distance FROM iv i LEFT JOIN b USING (chrom, start_, end_)""",
+    "gene_constraint": with_views("ann", "cons") + """, c AS (SELECT gene, max(pli) a, min(oe) b, max(pli) FILTER (WHERE canonical) c, min(oe) FILTER (WHERE canonical) d FROM cons GROUP BY gene)
+SELECT ann.*, c.a AS "gnomad_lof_pLI_max", c.b AS gnomad_lof_oe_ci_upper_min, c.c AS "gnomad_lof_pLI_canonical", c.d AS gnomad_lof_oe_ci_upper_canonical FROM ann LEFT JOIN c ON symbol = gene""",
+    "transcript_lookup": with_views("ann", "cons") + ' SELECT ann.*, pli AS "gnomad_lof_pLI_tx", oe AS gnomad_lof_oe_ci_upper_tx FROM ann LEFT JOIN cons ON feature = transcript',
+    "gene_posterior": with_views("ann", "post") + """ SELECT ann.*, obs_lof AS genebayes_obs_lof, exp_lof AS genebayes_exp_lof, prior_mean AS genebayes_prior_mean, post_mean AS genebayes_post_mean,
+  post_lower_95 AS genebayes_post_lower_95, post_upper_95 AS genebayes_post_upper_95 FROM ann LEFT JOIN post ON symbol = ensg""",
+    "exact_lookup": with_views("ann", "scores") + " SELECT ann.*, CAST(score AS DOUBLE) score FROM ann LEFT JOIN scores s ON s.chrom = ann.chrom AND s.pos0 = ann.pos0 AND s.ref = ann.ref AND s.alt = alt_specific",
+    "impact_filter": with_views("ann") + " SELECT * FROM ann WHERE impact IN ('HIGH', 'MODERATE')",
+    "severity_filter": with_views("ann", "ranks") + " SELECT * FROM ann WHERE (SELECT max(rank) FROM ranks WHERE list_contains(string_split(consequence, '&'), term)) >= 4",
+    "packed_split": with_views("pk") + """, s AS (SELECT p_partkey, string_split(unnest(string_split(csq, ',')), '|') p FROM pk)
+SELECT p_partkey, p[1] csq_brand, p[2] csq_type, p[3] csq_x, p[4] csq_y, p[5] csq_more FROM s""",
+    "merge_annotations": with_views("geno", "ann") + _RESOLVED + """
+SELECT r.*, a.allele_num AS allele_num_var, a.symbol, a.feature, a.impact, a.consequence FROM resolved r
+JOIN ann a ON a.chrom = r.chrom AND a.pos0 = r.pos0 AND a.end_ = r.end_ AND a.ref = r.ref AND a.alt_specific = r.alt_specific WHERE impact IN ('HIGH', 'MODERATE')""",
+    "missing_samples": with_views("called", "ped") + " SELECT sample FROM called EXCEPT SELECT sample FROM ped",
+    "extra_samples": with_views("called", "ped") + " SELECT sample FROM ped EXCEPT SELECT sample FROM called",
+    "chunk_numbers": with_views("iv") + " SELECT *, CAST((row_number() OVER (PARTITION BY chrom ORDER BY start_, end_) - 1) // 50 AS BIGINT) chunk FROM iv",
+    "stage_reconcile": with_views("iv") + " SELECT chrom, CAST(ceil(count(*) / 100.0) AS BIGINT) expected, CAST(ceil(count(*) / 100.0) AS BIGINT) found, true agrees FROM iv GROUP BY chrom",
+    "chrom_normalize": with_views("chroms", "contigs") + """ SELECT n_nationkey, chrom, coalesce((SELECT contig FROM contigs WHERE contig = chrom), (SELECT contig FROM contigs WHERE contig = 'chr' || chrom),
+  (SELECT contig FROM contigs WHERE chrom LIKE 'chr%' AND contig = substr(chrom, 4))) contig_name FROM chroms""",
+    "position_sort": with_views("geno") + " SELECT *, CAST(row_number() OVER (PARTITION BY chrom ORDER BY pos0, end_, ref, family, sample, gt, ad) AS INTEGER) place FROM geno",
+    "chunk_union": with_views("geno") + " SELECT * FROM geno",
+    "drop_genotypes": with_views("geno") + " SELECT chrom, pos0, end_, ref, alt FROM geno",
+    "family_region_expand": with_views("geno") + """, reg AS (SELECT DISTINCT concat('chr', CAST(o_orderkey % 3 + 1 AS VARCHAR)) chrom, o_orderkey s, o_orderkey + 2 e FROM orders),
+kept AS (SELECT g.* FROM geno g WHERE EXISTS (SELECT 1 FROM reg WHERE reg.chrom = g.chrom AND g.pos0 < e AND s < g.end_))
+SELECT chrom, pos0, sample, gt, family FROM kept g WHERE EXISTS (
+  SELECT 1 FROM kept h WHERE h.chrom = g.chrom AND h.pos0 = g.pos0 AND h.family = g.family AND regexp_matches(h.gt, '[1-9]') AND NOT contains(h.gt, '.'))""",
+    "genotype_text": """
+SELECT l_orderkey, l_linenumber, concat(CASE WHEN l_linenumber % 3 = 0 THEN '.' ELSE CAST(l_linenumber % 3 - 1 AS VARCHAR) END, CASE WHEN l_orderkey % 2 = 0 THEN '|' ELSE '/' END, CAST(l_linenumber % 2 AS VARCHAR)) gt,
+  concat(CAST(l_linenumber % 3 - 1 AS VARCHAR), ',', CAST(l_linenumber % 2 AS VARCHAR)) ad, CAST(l_linenumber % 3 - 1 AS VARCHAR) dp FROM lineitem""",
+}

@@ -1,0 +1,22 @@
+"""Readers and writers of genomic text and Parquet tables."""
+
+from .readers import (
+    input_paths,
+    read_bed,
+    read_bed_strict,
+    read_constraint,
+    read_gene_posterior,
+    read_genotypes,
+    read_pedigree,
+    read_stage,
+    read_tsv,
+    read_valued_intervals,
+    read_vcf,
+    vcf_header,
+)
+from .writers import write_bed, write_sorted, write_stage, write_tsv
+
+__all__ = [
+    "input_paths", "read_bed", "read_bed_strict", "read_constraint", "read_gene_posterior", "read_genotypes", "read_pedigree", "read_stage",
+    "read_tsv", "read_valued_intervals", "read_vcf", "vcf_header", "write_bed", "write_sorted", "write_stage", "write_tsv",
+]
