@@ -28,10 +28,16 @@ def drop_genotypes(df: DataFrame, columns=GENOTYPE_COLUMNS) -> DataFrame:
 
 
 def merge_annotations(resolved: DataFrame, variants: DataFrame, keys=MERGE_KEYS, suffix: str = "_var") -> DataFrame:
-    """Inner join on site and allele; variants' other columns that clash get the suffix. Null keys never match."""
+    """Inner join on site and allele; variants' other columns that clash get the suffix. Null keys never match.
+
+    Names that differ in case only clash too, unless spark.sql.caseSensitive is on.
+    """
     require_columns(resolved, keys)
     require_columns(variants, keys)
-    clash = {c: f"{c}{suffix}" for c in variants.columns if c in resolved.columns and c not in keys}
+    exact = resolved.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    fold = str if exact else str.lower
+    taken = set(map(fold, resolved.columns))
+    clash = {c: f"{c}{suffix}" for c in variants.columns if fold(c) in taken and c not in keys}
     return resolved.join(variants.withColumnsRenamed(clash), list(keys)).select(
         *map(_q, resolved.columns), *[_q(clash.get(c, c)) for c in variants.columns if c not in keys]
     )
