@@ -9,6 +9,7 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>",
     re.S,
 )
+UNFINISHED = re.compile(r"<(?=[a-zA-Z/!?])")
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 # Fixed values of the HTML standard.
@@ -75,8 +76,8 @@ class Reader:
         is_open = lambda tag: self.open.get(tag, 0) > 0
         while at < size:
             m = TOKEN.search(html, at)
-            if m is None:
-                self.text(html[at:])
+            if m is None:  # a tag that the page breaks off in is no text
+                self.text(UNFINISHED.split(html[at:], 1)[0])
                 break
             if m.start() > at:
                 self.text(html[at : m.start()])

@@ -137,7 +137,7 @@ def mix(documents: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float =
     null ids and null sources are values of their own. No row is dropped here: rows
     with copies = 0 are those the mix leaves out. An empty table gives an empty one.
     """
-    d = documents.drop("size", "source_size", "target", "copies", "_k").withColumn("size", word_count(F.col("text")))
+    d = documents.drop("size", "source_size", "target", "copies", "_k", "_s", "_base", "_unit", "_copies").withColumn("size", word_count(F.col("text")))
     d = d.withColumn("_k", F.xxhash64("doc_id", "source", "text"))
     small = written(d.select("source", "_k", "size"), "mix-sizes")
     units = small.groupBy("source", "_k").agg(F.sum("size").alias("size"))
@@ -148,10 +148,10 @@ def mix(documents: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float =
     units = units.select("source", F.col("_k").alias("k"), "size", F.floor(rate).alias("base"), (rate - F.floor(rate)).alias("p"))
     rounded = pivotal_round(units.select("source", "k", "size", "p"), seed=seed)
     base = per.select(F.col("source").alias("_s"), "source_size", "target", F.when(F.col("source_size") > 0, F.floor(rate)).otherwise(0).cast("int").alias("_base"))
-    rounded = rounded.select("k", "copies")
-    out = d.join(rounded, F.col("_k") == F.col("k"), "left").join(base, F.col("source").eqNullSafe(F.col("_s")), "left")
-    copies = F.when(F.col("size") > 0, F.col("_base") + F.coalesce("copies", F.lit(0))).otherwise(0).cast("int")
-    return out.withColumn("copies", copies).drop("_k", "k", "_s", "_base")
+    rounded = rounded.select(F.col("k").alias("_unit"), F.col("copies").alias("_copies"))
+    out = d.join(rounded, F.col("_k") == F.col("_unit"), "left").join(base, F.col("source").eqNullSafe(F.col("_s")), "left")
+    copies = F.when(F.col("size") > 0, F.col("_base") + F.coalesce("_copies", F.lit(0))).otherwise(0).cast("int")
+    return out.withColumn("copies", copies).drop("_k", "_unit", "_copies", "_s", "_base")
 
 
 def repeat_rows(mixed: DataFrame) -> DataFrame:
