@@ -4,15 +4,15 @@ A word is the bag of its character n-grams (3 to 5, with marks for its ends) and
 itself as a whole; the average of their vectors goes into a linear softmax with two
 outcomes. Vectors and softmax are trained together. n-grams are hashed to a fixed
 number of buckets, so a misspelling that was never seen still shares most of its
-vectors. A text is as toxic as its most toxic word: one such word in a long text
-counts as much as in a short one. Labels are of texts, so training alternates: in a
+vectors. A text is as toxic as its most toxic words: its highest logit alone and its TOP
+highest together each go into a logistic unit, and the higher of the two is the score.
+So they count in a long text as much as in a short one, and one clear word is enough. Labels are of texts, so training alternates: in a
 toxic text only the words that the model holds toxic by now (at least its top one)
 count as toxic, the others as clean.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,6 +28,10 @@ SAMPLE = 3000
 BUCKETS, DIM = 1 << 16, 8
 #: What stands around a word and is not part of it.
 AROUND = " \t\n\r\x0b\x0c.,;:!?\"'()[]{}<>|*#$%&/\\+=~^_`-…“”„«»¿¡"
+#: Words that the model is fitted on at most, those of most texts first.
+WORDS = 100_000
+#: Words that a text's score is made of, and the lowest logit that counts.
+TOP, FLOOR = 3, -6.0
 #: Words of a worker's cache.
 CACHE = 300_000
 
@@ -67,21 +71,18 @@ class ToxicityModel:
     vectors: np.ndarray  # BUCKETS x DIM
     softmax: np.ndarray  # DIM x 2
     bias: np.ndarray  # 2
-    slope: float = 1.0  # of the text's logit against its top word's
-    shift: float = 0.0
+    units: tuple[np.ndarray, np.ndarray]  # of the top word alone and of all TOP: slopes and shift
 
     def __post_init__(self):
         self.cache: dict[str, float] = {}
 
     def word_logits(self, words: list[str]) -> np.ndarray:
         bucket, at = subwords(words)
-        counts = np.diff(np.append(at, len(bucket)))
-        bags = np.add.reduceat(self.vectors[bucket], at) / counts[:, None]
-        out = bags @ self.softmax + self.bias
+        out = _bags(self.vectors, bucket, at) @ self.softmax + self.bias
         return out[:, 1] - out[:, 0]
 
     def top_logits(self, texts: list[str | None]) -> np.ndarray:
-        """The highest word's logit of each text; that of no word is -20."""
+        """The TOP highest logits of each text's distinct words; FLOOR where there are fewer."""
         bags = [words_of(t) for t in texts]
         new = list({w for b in bags for w in b if w not in self.cache})
         if len(self.cache) + len(new) > CACHE:
@@ -89,72 +90,97 @@ class ToxicityModel:
             new = list({w for b in bags for w in b})
         for i in range(0, len(new), 20_000):
             self.cache.update(zip(new[i : i + 20_000], self.word_logits(new[i : i + 20_000]).tolist()))
-        return np.array([max(map(self.cache.__getitem__, b), default=-20.0) for b in bags])
+        return np.array([_top([self.cache[w] for w in b]) for b in bags]).reshape(-1, TOP)
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        return _sigmoid(self.slope * self.top_logits(texts) + self.shift)
+        top = self.top_logits(texts)
+        return np.maximum(*(_sigmoid(top[:, : len(u) - 1] @ u[:-1] + u[-1]) for u in self.units))
 
 
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fit(texts: list[list[str]], toxic: np.ndarray, epochs: int = 16, turns: int = 3, rate: float = 0.3, prior: float = 8.0, seed: int = 0) -> ToxicityModel:
-    """Trains on the distinct words of texts and their labels; a fifth of the texts sets slope and shift."""
+def _top(logits) -> np.ndarray:
+    return np.sort(np.append(np.maximum(logits, FLOOR), [FLOOR] * TOP))[::-1][:TOP]
+
+
+def _unit(x: np.ndarray, want: np.ndarray, of_toxic: float, steps: int = 4000) -> np.ndarray:
+    """A logistic unit of x with slopes >= 0 (no word makes a text less toxic), then its shift; of_toxic: the toxic texts' weight of 1."""
+    w = np.where(want == 1, of_toxic / max(1, want.sum()), (1 - of_toxic) / max(1, (1 - want).sum()))
+    slopes, shift = np.full(x.shape[1], 1 / x.shape[1]), 0.0
+    for _ in range(steps):
+        d = w * (_sigmoid(x @ slopes + shift) - want)
+        slopes, shift = np.maximum(slopes - 0.1 * (x.T @ d + 0.002 * slopes), 0.0), shift - 0.5 * d.sum()
+    return np.append(slopes, shift)
+
+
+def _bags(vectors: np.ndarray, bucket: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Mean vector of each word, one dimension at a time so that little is held."""
+    counts = np.diff(np.append(at, len(bucket))).astype(np.float32)
+    return np.stack([np.add.reduceat(v[bucket], at) / counts for v in vectors.T], axis=1)
+
+
+def fit(texts: list[np.ndarray], toxic: np.ndarray, vocabulary: pa.Array, epochs: int = 16, turns: int = 3, rate: float = 0.3, prior: float = 3.0, seed: int = 0) -> ToxicityModel:
+    """Trains on texts (numbers of their distinct words) and labels; a fifth of the texts sets slope and shift."""
     rng = np.random.default_rng(seed)
-    model = ToxicityModel(rng.normal(0, 0.1, (BUCKETS, DIM)), rng.normal(0, 0.5, (DIM, 2)), np.zeros(2))
-    if len(np.unique(toxic)) < 2 or not any(texts):
-        return ToxicityModel(np.zeros((BUCKETS, DIM)), np.zeros((DIM, 2)), np.zeros(2), 0.0, 0.0)
+    vectors = np.asfortranarray(rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32))
+    model = ToxicityModel(vectors, rng.normal(0, 0.5, (DIM, 2)), np.zeros(2), (np.zeros(2), np.zeros(TOP + 1)))
+    if len(np.unique(toxic)) < 2 or not any(map(len, texts)):
+        return ToxicityModel(np.zeros((BUCKETS, DIM), np.float32), np.zeros((DIM, 2)), np.zeros(2), (np.zeros(2), np.zeros(TOP + 1)))
     aside = np.arange(len(texts)) % 5 == 0
     if len(np.unique(toxic[aside])) < 2 or len(np.unique(toxic[~aside])) < 2:
         aside[:] = False
-    # Words of one text alone tell little and are most of the vocabulary: they are left to the n-grams of the others.
-    often = Counter(w for t, a in zip(texts, aside) if not a for w in t)
-    index = {w: i for i, w in enumerate(w for w, n in often.items() if n > 1)} or {w: i for i, w in enumerate(often)}
-    rows = [np.array([index[w] for w in t if w in index], np.int64) for t, a in zip(texts, aside) if not a]
-    y = toxic[~aside]
-    seen = np.bincount(np.concatenate(rows), minlength=len(index))
-    bucket, at = subwords(list(index))
-    counts = np.diff(np.append(at, len(bucket)))
+    learned = [(t, z) for t, z, a in zip(texts, toxic, aside) if not a]
+    # Of a large vocabulary, words of few texts are left to the n-grams that they share with the others.
+    often = np.bincount(np.concatenate([t for t, _ in learned]), minlength=len(vocabulary))
+    known = np.sort(np.argsort(-often, kind="stable")[: min(WORDS, np.count_nonzero(often))])
+    number = np.full(len(vocabulary), -1)
+    number[known] = np.arange(len(known))
+    toxic_rows = [r[r >= 0] for r in (number[t] for t, z in learned if z)]
+    toxic_rows = [r for r in toxic_rows if len(r)]
+    seen = often[known]
+    parts = [subwords(vocabulary.take(pa.array(known[i : i + 20_000])).to_pylist()) for i in range(0, len(known), 20_000)]
+    bucket = np.concatenate([b.astype(np.int32) for b, _ in parts])
+    counts = np.concatenate([np.diff(np.append(a, len(b))) for b, a in parts])
+    at = np.cumsum(counts) - counts
+    del parts
     by_bucket = np.argsort(bucket, kind="stable")
     used, first = np.unique(bucket[by_bucket], return_index=True)
-    owner = np.repeat(np.arange(len(index)), counts)[by_bucket]
-    squares = [np.full((BUCKETS, 1), 1e-8), np.full((DIM, 2), 1e-8), np.full(2, 1e-8)]
-    blame = np.bincount(np.concatenate([r for r, z in zip(rows, y) if z] or [np.zeros(0, np.int64)]), minlength=len(index)).astype(float)
+    owner = np.repeat(np.arange(len(known), dtype=np.int32), counts)[by_bucket]
+    squares = [np.full(BUCKETS, 1e-8), np.full((DIM, 2), 1e-8), np.full(2, 1e-8)]
+    blame = np.bincount(np.concatenate(toxic_rows or [np.zeros(0, np.int64)]), minlength=len(known)).astype(float)
     base = 0.02
-    for turn in range(turns):
+    for _ in range(turns):
         target = (blame + base * prior) / (seen + prior)
         weight = np.sqrt(seen + prior)
         weight = weight / weight.mean()
         for _ in range(epochs):
-            bags = np.add.reduceat(model.vectors[bucket], at) / counts[:, None]
+            bags = _bags(vectors, bucket, at)
             logits = bags @ model.softmax + model.bias
             p = _sigmoid(logits[:, 1] - logits[:, 0])
             d = (weight * (p - target))[:, None] * np.array([[-1.0, 1.0]])  # gradient of the softmax's two outputs
-            back = d @ model.softmax.T / counts[:, None]
-            grads = [np.add.reduceat(back[owner], first), bags.T @ d / len(p), d.mean(0)]
-            squares[0][used] += (grads[0] ** 2).mean(1, keepdims=True)
-            model.vectors[used] -= rate * grads[0] / np.sqrt(squares[0][used])
-            for value, square, grad in ((model.softmax, squares[1], grads[1]), (model.bias, squares[2], grads[2])):
-                square += grad**2
-                value -= 0.1 * rate * grad / np.sqrt(square)
-        bags = np.add.reduceat(model.vectors[bucket], at) / counts[:, None]
-        logits = bags @ model.softmax + model.bias
+            back = (d @ model.softmax.T / counts[:, None]).astype(np.float32)
+            grad = np.stack([np.add.reduceat(b[owner], first) for b in np.ascontiguousarray(back.T)], axis=1)
+            squares[0][used] += (grad**2).mean(1)
+            vectors[used] -= rate * grad / np.sqrt(squares[0][used])[:, None].astype(np.float32)
+            for value, square, g in ((model.softmax, squares[1], bags.T @ d / len(p)), (model.bias, squares[2], d.mean(0))):
+                square += g**2
+                value -= 0.1 * rate * g / np.sqrt(square)
+        logits = _bags(vectors, bucket, at) @ model.softmax + model.bias
         logit = logits[:, 1] - logits[:, 0]
         blame[:] = 0
-        for r, z in zip(rows, y):
-            if z and len(r):
-                blame[r[logit[r] >= min(0.0, logit[r].max())]] += 1
-    # The text's logit against its top word's, on texts that no word was learned from.
+        for r in toxic_rows:
+            blame[r[logit[r] >= min(0.0, logit[r].max())]] += 1
+    # The last units, on texts that no word was learned from.
     held = [i for i in range(len(texts)) if aside[i] or not aside.any()]
-    top = np.array([max(model.word_logits(texts[i])) if texts[i] else -20.0 for i in held])
-    want = toxic[held]
-    w = np.where(want == 1, 0.35 / max(1, want.sum()), 0.65 / max(1, (1 - want).sum()))
-    a, b = 1.0, 0.0
-    for _ in range(2000):
-        d = w * (_sigmoid(a * top + b) - want)
-        a, b = a - 0.3 * ((d * top).sum() + 0.002 * a), b - 1.0 * d.sum()
-    model.slope, model.shift = float(a), float(b)
+    words = np.unique(np.concatenate([texts[i] for i in held]))
+    of_word = np.full(len(vocabulary), FLOOR)
+    for some in np.array_split(words, len(words) // 20_000 + 1):
+        if len(some):
+            of_word[some] = model.word_logits(vocabulary.take(pa.array(some)).to_pylist())
+    x = np.array([_top(of_word[texts[i]]) for i in held])
+    model.units = _unit(x[:, :1], toxic[held], 0.2), _unit(x, toxic[held], 0.35)
     return model
 
 
@@ -167,7 +193,9 @@ def train(documents: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Toxici
 
     rows = labelled_sample(documents, labels, "toxic", most, FOLDS, HELD_OUT).mapInArrow(split, "doc_id long, y int, words array<string>").toArrow()
     rows = rows.sort_by([("doc_id", "ascending"), ("y", "ascending")])
-    return fit(rows["words"].to_pylist(), rows["y"].to_numpy())
+    words = rows["words"].combine_chunks()
+    coded = words.flatten().dictionary_encode()
+    return fit(np.split(coded.indices.to_numpy(), words.offsets.to_numpy()[1:-1] - words.offsets[0].as_py()) if len(words) else [], rows["y"].to_numpy(), coded.dictionary)
 
 
 def score_toxicity(documents: DataFrame, model: ToxicityModel) -> DataFrame:
