@@ -156,11 +156,11 @@ QUERIES = {
     )
 }
 
-_EXPANDED = """, expanded AS (
-  SELECT g.* FROM geno g WHERE EXISTS (
-    SELECT 1 FROM geno h WHERE h.chrom = g.chrom AND h.pos0 = g.pos0 AND h.family = g.family AND regexp_matches(h.gt, '[1-9]') AND NOT contains(h.gt, '.')))"""
+_EXPANDED = """, hit AS (
+  SELECT DISTINCT chrom, pos0, end_, ref, alt, family FROM geno WHERE regexp_matches(gt, '[1-9]') AND NOT contains(gt, '.')),
+expanded AS MATERIALIZED (SELECT geno.* FROM geno SEMI JOIN hit USING (chrom, pos0, end_, ref, alt, family))"""
 
-_RESOLVED = _EXPANDED + """, seen AS (SELECT *, regexp_extract_all(gt, '[1-9][0-9]*') alts FROM expanded),
+_RESOLVED = _EXPANDED + """, seen AS MATERIALIZED (SELECT *, regexp_extract_all(gt, '[1-9][0-9]*') alts FROM expanded),
 active AS (SELECT DISTINCT chrom, pos0, family, CAST(unnest(alts) AS INTEGER) allele_num FROM seen),
 flags AS (SELECT chrom, pos0, family, bool_or(len(alts) > 1 AND len(list_distinct(alts)) > 1) family_has_multiallelic_het FROM seen GROUP BY ALL),
 resolved AS (
