@@ -16,7 +16,9 @@ smaller document, so that combinations stay linear in it: sizes fall in classes
 ratio 1 / t, and a document is indexed under each class that a partner no larger than
 itself can have, two in most cases.
 
-Equal sets are one node throughout. Candidates are never paired all with all: within a
+A token is 48 bits of a hash (set sizes and equality use 64 and 128): two sets of 20,000
+tokens look one token closer than they are with a chance of one in a million. Equal sets
+are one node throughout. Candidates are never paired all with all: within a
 signature, each document is first verified against one leader; components of the links
 found drop whole signatures; what is left is compared in blocks by exact bounds (sizes,
 parity bitmaps), across components only, and verified.
@@ -33,10 +35,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import connected_components, written
+from ._common import connected_components, small_batches, written
 
 #: Tokens that a task gathers before it sends them on, and that a token range is cut for.
-BATCH_TOKENS, RANGE_TOKENS = 1_000_000, 1_500_000
+BATCH_TOKENS, RANGE_TOKENS = 500_000, 800_000
 #: Documents that hold a token of the frequent class, at least.
 FREQUENT = 32
 #: Documents of a signature that are compared with each other at once.
@@ -55,7 +57,7 @@ def mix64(h: np.ndarray) -> np.ndarray:
 class WordHash(dict):
     """Word to 64-bit hash, remembered up to a number of words."""
 
-    MOST = 400_000
+    MOST = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.MOST:
@@ -128,6 +130,18 @@ def parity_bits(tokens: np.ndarray) -> bytes:
     return np.packbits(cells.astype(np.uint8)).tobytes()
 
 
+def _pack(tokens: np.ndarray) -> bytes:
+    """Sorted 48-bit hashes as six planes of bytes: the leading ones hardly change and are compressed away in the shuffle."""
+    return np.ascontiguousarray(tokens, "<u8").view(np.uint8).reshape(-1, 8).T[:6].tobytes()
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(6, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :6] = planes.T
+    return out.view("<u8").ravel()
+
+
 _SENT = "part long, batch long, tokens binary, at binary, held binary, ids array<bigint>, digests array<binary>, sizes array<bigint>"
 _SENT_ARROW = pa.schema([
     ("part", pa.int64()), ("batch", pa.int64()), ("tokens", pa.binary()), ("at", pa.binary()), ("held", pa.binary()),
@@ -150,6 +164,7 @@ def index(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5, frequent
     hash values; a range counts its tokens over all documents and sends back those that
     are held twice or more. A set that a batch repeats is counted once in it.
     """
+    small_batches(documents.sparkSession)
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(documents.sparkSession.sparkContext.defaultParallelism, int(size // 8 // RANGE_TOKENS) + 1)
 
@@ -162,12 +177,11 @@ def index(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5, frequent
             rows = [(-1 - number % parts, number, None, None, None, ids, digests, sizes)]
             if sets:
                 tokens = np.concatenate([x for _, x in sets.values()])
-                at = np.repeat(np.array([i for i, _ in sets.values()], np.uint32), [len(x) for _, x in sets.values()])
-                part = (tokens >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-                order = np.argsort(part, kind="stable")
-                cut = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+                at = np.repeat(np.array([i for i, _ in sets.values()], np.uint16), [len(x) for _, x in sets.values()])
+                order = np.argsort(tokens)
                 tokens, at = tokens[order], at[order]
-                rows += [(p, number, tokens[a:b].tobytes(), at[a:b].tobytes(), None, None, None, None) for p, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
+                cut = np.searchsorted((tokens >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
+                rows += [(p, number, _pack(tokens[a:b]), at[a:b].tobytes(), None, None, None, None) for p, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
             number += 1
             return _sent(rows)
 
@@ -176,7 +190,7 @@ def index(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5, frequent
                 x = shingles(text.as_py(), hashes, k)
                 digest = hashlib.blake2b(x.tobytes(), digest_size=16).digest()
                 if len(x) and digest not in sets:
-                    sets[digest] = len(ids), x
+                    sets[digest] = len(ids), np.unique(x >> np.uint64(16))
                     total += len(x)
                 ids.append(doc_id)
                 digests.append(digest)
@@ -191,28 +205,30 @@ def index(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5, frequent
         rows = table.to_pylist()
         if rows[0]["part"] < 0:
             return table
-        tokens = np.concatenate([np.frombuffer(r["tokens"], np.uint64) for r in rows])
+        tokens = np.concatenate([_unpack(r["tokens"]) for r in rows])
         order = np.argsort(tokens, kind="stable")
         tokens = tokens[order]
         first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
-        held = np.empty(len(tokens), np.uint32)
-        held[order] = np.repeat(np.diff(np.append(first, len(tokens))), np.diff(np.append(first, len(tokens)))).astype(np.uint32)
+        times = np.diff(np.append(first, len(tokens)))
+        held = np.empty(len(tokens), np.uint16)
+        held[order] = np.repeat(np.minimum(times, 65535), times)  # any function of the token will do for the order
         out, start = [], 0
         for r in rows:
-            own, at = np.frombuffer(r["tokens"], np.uint64), np.frombuffer(r["at"], np.uint32)
+            own, at = _unpack(r["tokens"]), np.frombuffer(r["at"], np.uint16)
             h = held[start : start + len(own)]
             start += len(own)
             shared = h > 1
             if shared.any():
-                out.append((r["part"], r["batch"], own[shared].tobytes(), at[shared].tobytes(), h[shared].tobytes(), None, None, None))
+                out.append((r["part"], r["batch"], _pack(own[shared]), at[shared].tobytes(), h[shared].tobytes(), None, None, None))
         return pa.Table.from_batches([_sent(out)])
 
     def gather(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         names = next(r for r in rows if r["part"] < 0)
         sent = [r for r in rows if r["part"] >= 0]
-        cat = lambda key, kind: np.concatenate([np.frombuffer(r[key], kind) for r in sent]) if sent else np.zeros(0, kind)
-        tokens, at, held = cat("tokens", np.uint64), cat("at", np.uint32), cat("held", np.uint32)
+        cat = lambda key, kind, read: np.concatenate([read(r[key]) for r in sent]) if sent else np.zeros(0, kind)
+        short = lambda x: np.frombuffer(x, np.uint16)
+        tokens, at, held = cat("tokens", np.uint64, _unpack), cat("at", np.uint16, short), cat("held", np.uint16, short)
         order = np.lexsort((tokens, at))
         tokens, at, held = tokens[order], at[order], held[order]
         n_docs = len(names["ids"])
@@ -222,7 +238,7 @@ def index(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5, frequent
             own = tokens[cut[i] : cut[i + 1]]
             s = signatures(names["sizes"][i], own, held[cut[i] : cut[i + 1]], num, den, frequent)
             if len(s):
-                sigs[i], packed[i], bits[i] = s.view(np.int64), own.tobytes(), parity_bits(own)
+                sigs[i], packed[i], bits[i] = s.view(np.int64), _pack(own), parity_bits(own)
         return pa.table({
             "doc_id": pa.array(names["ids"], pa.int64()), "digest": pa.array(names["digests"], pa.binary()), "n": pa.array(names["sizes"], pa.int64()),
             "sigs": pa.array(sigs, pa.list_(pa.int64())), "tokens": pa.array(packed, pa.binary()), "bits": pa.array(bits, pa.binary()),
@@ -242,13 +258,19 @@ def _verify(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame
         for batch in batches:
             n1, n2 = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             ok = [
-                den * (s := len(np.intersect1d(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), assume_unique=True))) >= num * (p + q - s)
+                den * (s := len(np.intersect1d(_unpack(x.as_py()), _unpack(y.as_py()), assume_unique=True))) >= num * (p + q - s)
                 for x, y, p, q in zip(batch.column(4), batch.column(5), n1.tolist(), n2.tolist())
             ]
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("tokens").alias(f"t_{x}"))
-    rows = pairs.join(side("a"), "a").where("n_a > 0").join(side("b"), "b")
+    # Written, the pairs' size is known before the join is planned: few pairs go to the tokens, not all tokens to the pairs.
+    pairs = written(pairs, "jaccard-pairs")
+
+    def side(x: str) -> DataFrame:
+        some = nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("tokens").alias(f"t_{x}"))
+        return some.join(pairs.select(x).distinct(), x, "left_semi")
+
+    rows = pairs.join(side("a"), "a").join(side("b"), "b")
     rows = rows.where((F.lit(den) * F.least("n_a", "n_b")) >= (F.lit(num) * F.greatest("n_a", "n_b")))
     return rows.select("a", "b", "n_a", "n_b", "t_a", "t_b").mapInArrow(check, "a long, b long")
 
@@ -310,7 +332,7 @@ def similar_components(documents: DataFrame, k: int = 5, num: int = 4, den: int
         F.min("doc_id").alias("node"), F.first("n").alias("n"), *(F.first(c, ignorenulls=True).alias(c) for c in ("sigs", "tokens", "bits"))
     )
     sets = written(some, "jaccard-sets")
-    nodes = sets.where("sigs is not null").select("node", "n", "tokens", "bits", (F.octet_length("tokens") / 8).cast("long").alias("m"))
+    nodes = sets.where("sigs is not null").select("node", "n", "tokens", "bits", (F.octet_length("tokens") / 6).cast("long").alias("m"))
     posted = sets.where("sigs is not null").select(F.explode("sigs").alias("sig"), "node")
     # Signatures with the same documents tell the same; one of them is kept. Two sums of hashes and a count name the documents.
     named = posted.groupBy("sig").agg(
@@ -345,3 +367,19 @@ def similar_components(documents: DataFrame, k: int = 5, num: int = 4, den: int
 
 def op1_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     return similar_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM g a JOIN g b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * i >= 80 * (a.n + b.n - i)),
+r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+m AS (SELECT x, min(y) AS y FROM r GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.y, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.x = d.doc_id
+"""
