@@ -189,3 +189,15 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.9) -> DataFrame:
 
 def op8_embedding_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+OP8_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+m AS (SELECT x, min(y) AS y FROM r GROUP BY x), n AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, least(e.vec_id, coalesce(m.y, e.vec_id)) AS component_id, e.vec_id = least(e.vec_id, coalesce(m.y, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN m ON m.x = e.vec_id LEFT JOIN n ON n.x = e.vec_id
+"""

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from .chat_format import OP9_SQL, op9_chat_format
-from .embedding_dedup import op8_embedding_dedup
+from .embedding_dedup import OP8_SQL, op8_embedding_dedup
 from .html_extract import op2_html_extract
 from .media_columns import op7_media_columns
 from .mixing import op6_mixing
-from .ngram_jaccard import op1_ngram_jaccard
+from .ngram_jaccard import OP1_SQL, op1_ngram_jaccard
 from .packing import op4_packing
 from .quality import op3_quality
 from .token_counts import op10_token_counts
@@ -25,4 +25,4 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_token_counts": op10_token_counts,
 }
-SQL = {"op9_chat_format": OP9_SQL}
+SQL = {"op1_ngram_jaccard": OP1_SQL, "op8_embedding_dedup": OP8_SQL, "op9_chat_format": OP9_SQL}

@@ -50,7 +50,7 @@ def subwords(words: list[str], shortest: int = 3, longest: int = 5) -> tuple[np.
     left = end[word] - np.arange(len(code))  # code points up to the word's end
     p, hashes, owners = np.uint64(1099511628211), [], []
     h = np.full(len(code), np.uint64(14695981039346656037))
-    for n in range(1, longest + 1):
+    for n in range(1, min(longest, len(code)) + 1):
         h[: len(code) - n + 1] = (h[: len(code) - n + 1] ^ code[n - 1 :]) * p
         if n >= shortest:
             ok = np.flatnonzero(left >= n)
