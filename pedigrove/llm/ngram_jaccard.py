@@ -328,9 +328,10 @@ def similar_components(documents: DataFrame, k: int = 5, num: int = 4, den: int
     component id. An empty table gives no rows; columns but doc_id and text are ignored.
     """
     rows = index(documents, k, num, den, frequent)
-    some = rows.where("n > 0 and doc_id is not null").groupBy("digest").agg(
+    # A batch holds a set's signatures on one row, which may be one without an id: sets without any id go only after all rows are grouped.
+    some = rows.where("n > 0").groupBy("digest").agg(
         F.min("doc_id").alias("node"), F.first("n").alias("n"), *(F.first(c, ignorenulls=True).alias(c) for c in ("sigs", "tokens", "bits"))
-    )
+    ).where("node is not null")
     sets = written(some, "jaccard-sets")
     nodes = sets.where("sigs is not null").select("node", "n", "tokens", "bits", (F.octet_length("tokens") / 6).cast("long").alias("m"))
     posted = sets.where("sigs is not null").select(F.explode("sigs").alias("sig"), "node")

@@ -83,6 +83,17 @@ def test_jaccard_near_copies(spark, frequent):
     assert got == by_text(brute_components(rows))
 
 
+def test_jaccard_row_without_id_before_its_twin(spark):
+    """One batch, in this order: the row without an id is the one that holds the set's signatures."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, text), (20, text), (21, text + " more"), (None, "alone " + text + " x y"), (30, "other words that no row has"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = by_text(tuple(r) for r in ngram_jaccard.similar_components(df).collect())
+    want = brute_components(rows)
+    want[3] = (None, want[3][1], None)  # no equal set has an id
+    assert got == by_text(want) and (21, 57, 20) in got
+
+
 def test_prefix_signatures_lose_no_pair():
     rng = np.random.default_rng(0)
     for _ in range(300):
