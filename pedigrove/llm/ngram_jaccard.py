@@ -44,6 +44,8 @@ FREQUENT = 32
 #: Documents of a signature that are compared with each other at once.
 BLOCK = 2048
 BITS = 2048
+#: Place of a token that several documents of a batch hold; above any document's.
+MANY = 65535
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
@@ -153,6 +155,32 @@ def _sent(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SENT_ARROW)] if rows else [pa.array([], f.type) for f in _SENT_ARROW], schema=_SENT_ARROW)
 
 
+def batch_rows(ids: list, digests: list[bytes], sizes: list[int], sets: dict[bytes, tuple[int, np.ndarray]], number: int, parts: int) -> list[tuple]:
+    """Rows of _SENT for a batch: one of its own, which no other batch's rows meet, and one a range of hash values.
+
+    A range gets each token of the batch once, however many documents hold it: ``at`` is
+    the document, or MANY, and ``held`` the number of documents of each of the latter.
+    Which they are stays on the batch's own row, so a task that counts a range has one
+    entry a batch and token at most.
+    """
+    if not sets:
+        return [(-1 - number, number, None, b"", b"", ids, digests, sizes)]
+    tokens = np.concatenate([x for _, x in sets.values()])
+    at = np.repeat(np.array([i for i, _ in sets.values()], np.uint16), [len(x) for _, x in sets.values()])
+    order = np.argsort(tokens)
+    tokens, at = tokens[order], at[order]
+    first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+    times = np.diff(np.append(first, len(tokens)))
+    rows = [(-1 - number, number, None, at[np.repeat(times > 1, times)].tobytes(), times[times > 1].astype(np.uint16).tobytes(), ids, digests, sizes)]
+    tokens, at = tokens[first], np.where(times > 1, np.uint16(MANY), at[first])
+    cut = np.searchsorted((tokens >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
+    for p, (a, b) in enumerate(zip(cut, cut[1:])):
+        if b > a:
+            t = times[a:b]
+            rows.append((p, number, _pack(tokens[a:b]), at[a:b].tobytes(), t[t > 1].astype(np.uint16).tobytes(), None, None, None))
+    return rows
+
+
 def index(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, digest (of the set), n, sigs, tokens, bits: one row a document, written.
 
@@ -160,9 +188,9 @@ def index(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5, frequent
     set holds too (all that a partner can share). Both are null where no partner is
     possible, and for a repeated set within a batch.
 
-    Texts are read once. A task sends its tokens on in packed batches, cut by ranges of
-    hash values; a range counts its tokens over all documents and sends back those that
-    are held twice or more. A set that a batch repeats is counted once in it.
+    Texts are read once. A task counts the tokens of a batch and sends each on once, cut
+    by ranges of hash values; a range adds the batches' counts up and sends back the
+    tokens that are held twice or more. A set that a batch repeats is counted once in it.
     """
     small_batches(documents.sparkSession)
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -174,14 +202,7 @@ def index(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5, frequent
 
         def flush():
             nonlocal number
-            rows = [(-1 - number % parts, number, None, None, None, ids, digests, sizes)]
-            if sets:
-                tokens = np.concatenate([x for _, x in sets.values()])
-                at = np.repeat(np.array([i for i, _ in sets.values()], np.uint16), [len(x) for _, x in sets.values()])
-                order = np.argsort(tokens)
-                tokens, at = tokens[order], at[order]
-                cut = np.searchsorted((tokens >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
-                rows += [(p, number, _pack(tokens[a:b]), at[a:b].tobytes(), None, None, None, None) for p, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
+            rows = batch_rows(ids, digests, sizes, sets, number, parts)
             number += 1
             return _sent(rows)
 
@@ -209,9 +230,11 @@ def index(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5, frequent
         order = np.argsort(tokens, kind="stable")
         tokens = tokens[order]
         first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
-        times = np.diff(np.append(first, len(tokens)))
+        own = np.ones(len(tokens), np.int64)
+        own[np.concatenate([np.frombuffer(r["at"], np.uint16) for r in rows]) == MANY] = np.concatenate([np.frombuffer(r["held"], np.uint16) for r in rows])
+        times = np.add.reduceat(own[order], first)
         held = np.empty(len(tokens), np.uint16)
-        held[order] = np.repeat(np.minimum(times, 65535), times)  # any function of the token will do for the order
+        held[order] = np.repeat(np.minimum(times, 65535), np.diff(np.append(first, len(tokens))))  # any function of the token will do for the order
         out, start = [], 0
         for r in rows:
             own, at = _unpack(r["tokens"]), np.frombuffer(r["at"], np.uint16)
@@ -228,7 +251,12 @@ def index(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5, frequent
         sent = [r for r in rows if r["part"] >= 0]
         cat = lambda key, kind, read: np.concatenate([read(r[key]) for r in sent]) if sent else np.zeros(0, kind)
         short = lambda x: np.frombuffer(x, np.uint16)
+        sent.sort(key=lambda r: r["part"])  # by range, so by token, as the batch's own row has the documents of MANY
         tokens, at, held = cat("tokens", np.uint64, _unpack), cat("at", np.uint16, short), cat("held", np.uint16, short)
+        times = np.ones(len(at), np.int64)
+        times[at == MANY] = short(names["held"])
+        tokens, at, held = (np.repeat(x, times) for x in (tokens, at, held))
+        at[at == MANY] = short(names["at"])
         order = np.lexsort((tokens, at))
         tokens, at, held = tokens[order], at[order], held[order]
         n_docs = len(names["ids"])

@@ -94,6 +94,19 @@ def test_jaccard_row_without_id_before_its_twin(spark):
     assert got == by_text(want) and (21, 57, 20) in got
 
 
+def test_jaccard_hot_shingle_is_one_entry_a_batch():
+    """A passage of 50 tokens in each of 400 documents: a range gets each token of the batch once, with its count."""
+    rng = np.random.default_rng(1)
+    passage = rng.integers(0, 1 << 48, 50, dtype=np.uint64)
+    sets = {bytes([i % 256, i // 256]): (i, np.union1d(passage, rng.integers(0, 1 << 48, 5, dtype=np.uint64))) for i in range(400)}
+    own, *sent = ngram_jaccard.batch_rows(list(range(400)), list(sets), [55] * 400, sets, 7, 16)
+    tokens = np.concatenate([ngram_jaccard._unpack(r[2]) for r in sent])
+    assert len(tokens) == len(np.unique(tokens)) == 50 + 400 * 5
+    at, held = (np.concatenate([np.frombuffer(r[c], np.uint16) for r in sent]) for c in (3, 4))
+    assert set(tokens[at == ngram_jaccard.MANY]) == set(passage) and held.tolist() == [400] * 50
+    assert own[0] < 0 and sorted(np.frombuffer(own[3], np.uint16).tolist()) == sorted(list(range(400)) * 50)
+
+
 def test_prefix_signatures_lose_no_pair():
     rng = np.random.default_rng(0)
     for _ in range(300):
