@@ -28,8 +28,8 @@ SAMPLE = 3000
 BUCKETS, DIM = 1 << 16, 8
 #: What stands around a word and is not part of it.
 AROUND = " \t\n\r\x0b\x0c.,;:!?\"'()[]{}<>|*#$%&/\\+=~^_`-…“”„«»¿¡"
-#: Words that the model is fitted on at most, those of most texts first.
-WORDS = 100_000
+#: Words whose n-grams are worked on at once while fitting; fits 16 bits.
+CHUNK = 20_000
 #: Words that a text's score is made of, and the lowest logit that counts.
 TOP, FLOOR = 3, -6.0
 #: Words of a worker's cache.
@@ -121,6 +121,16 @@ def _bags(vectors: np.ndarray, bucket: np.ndarray, at: np.ndarray) -> np.ndarray
     return np.stack([np.add.reduceat(v[bucket], at) / counts for v in vectors.T], axis=1)
 
 
+def _chunk(words: list[str]) -> tuple[np.ndarray, ...]:
+    """A chunk's n-grams for fitting, in 16 bits each: buckets by word, where words begin, their sizes; words by bucket, buckets, where they begin."""
+    bucket, at = subwords(words)
+    counts = np.diff(np.append(at, len(bucket)))
+    order = np.argsort(bucket, kind="stable")
+    used, first = np.unique(bucket[order], return_index=True)
+    owner = np.repeat(np.arange(len(words), dtype=np.uint16), counts)[order]
+    return bucket.astype(np.uint16), at, counts, owner, used.astype(np.uint16), first.astype(np.int32)
+
+
 def fit(texts: list[np.ndarray], toxic: np.ndarray, vocabulary: pa.Array, epochs: int = 16, turns: int = 3, rate: float = 0.3, prior: float = 3.0, seed: int = 0) -> ToxicityModel:
     """Trains on texts (numbers of their distinct words) and labels; a fifth of the texts sets slope and shift."""
     rng = np.random.default_rng(seed)
@@ -132,22 +142,15 @@ def fit(texts: list[np.ndarray], toxic: np.ndarray, vocabulary: pa.Array, epochs
     if len(np.unique(toxic[aside])) < 2 or len(np.unique(toxic[~aside])) < 2:
         aside[:] = False
     learned = [(t, z) for t, z, a in zip(texts, toxic, aside) if not a]
-    # Of a large vocabulary, words of few texts are left to the n-grams that they share with the others.
+    # Every word of the sampled rows is learned from: SAMPLE is the only bound.
     often = np.bincount(np.concatenate([t for t, _ in learned]), minlength=len(vocabulary))
-    known = np.sort(np.argsort(-often, kind="stable")[: min(WORDS, np.count_nonzero(often))])
+    known = np.flatnonzero(often)
     number = np.full(len(vocabulary), -1)
     number[known] = np.arange(len(known))
     toxic_rows = [r[r >= 0] for r in (number[t] for t, z in learned if z)]
     toxic_rows = [r for r in toxic_rows if len(r)]
     seen = often[known]
-    parts = [subwords(vocabulary.take(pa.array(known[i : i + 20_000])).to_pylist()) for i in range(0, len(known), 20_000)]
-    bucket = np.concatenate([b.astype(np.int32) for b, _ in parts])
-    counts = np.concatenate([np.diff(np.append(a, len(b))) for b, a in parts])
-    at = np.cumsum(counts) - counts
-    del parts
-    by_bucket = np.argsort(bucket, kind="stable")
-    used, first = np.unique(bucket[by_bucket], return_index=True)
-    owner = np.repeat(np.arange(len(known), dtype=np.int32), counts)[by_bucket]
+    chunks = [_chunk(vocabulary.take(pa.array(known[i : i + CHUNK])).to_pylist()) for i in range(0, len(known), CHUNK)]
     squares = [np.full(BUCKETS, 1e-8), np.full((DIM, 2), 1e-8), np.full(2, 1e-8)]
     blame = np.bincount(np.concatenate(toxic_rows or [np.zeros(0, np.int64)]), minlength=len(known)).astype(float)
     base = 0.02
@@ -156,19 +159,26 @@ def fit(texts: list[np.ndarray], toxic: np.ndarray, vocabulary: pa.Array, epochs
         weight = np.sqrt(seen + prior)
         weight = weight / weight.mean()
         for _ in range(epochs):
-            bags = _bags(vectors, bucket, at)
-            logits = bags @ model.softmax + model.bias
-            p = _sigmoid(logits[:, 1] - logits[:, 0])
-            d = (weight * (p - target))[:, None] * np.array([[-1.0, 1.0]])  # gradient of the softmax's two outputs
-            back = (d @ model.softmax.T / counts[:, None]).astype(np.float32)
-            grad = np.stack([np.add.reduceat(b[owner], first) for b in np.ascontiguousarray(back.T)], axis=1)
-            squares[0][used] += (grad**2).mean(1)
-            vectors[used] -= rate * grad / np.sqrt(squares[0][used])[:, None].astype(np.float32)
-            for value, square, g in ((model.softmax, squares[1], bags.T @ d / len(p)), (model.bias, squares[2], d.mean(0))):
+            grad, steps = np.zeros((BUCKETS, DIM), np.float32), [np.zeros((DIM, 2)), np.zeros(2)]
+            for i, (bucket, at, counts, owner, used, first) in enumerate(chunks):
+                some = slice(i * CHUNK, i * CHUNK + len(at))
+                bags = _bags(vectors, bucket, at)
+                logits = bags @ model.softmax + model.bias
+                p = _sigmoid(logits[:, 1] - logits[:, 0])
+                d = (weight[some] * (p - target[some]))[:, None] * np.array([[-1.0, 1.0]])  # gradient of the softmax's two outputs
+                back = (d @ model.softmax.T / counts[:, None]).astype(np.float32)
+                grad[used] += np.stack([np.add.reduceat(b[owner], first) for b in np.ascontiguousarray(back.T)], axis=1)
+                steps[0] += bags.T @ d
+                steps[1] += d.sum(0)
+            squares[0] += (grad**2).mean(1)
+            vectors -= rate * grad / np.sqrt(squares[0])[:, None].astype(np.float32)
+            for value, square, g in ((model.softmax, squares[1], steps[0] / len(known)), (model.bias, squares[2], steps[1] / len(known))):
                 square += g**2
                 value -= 0.1 * rate * g / np.sqrt(square)
-        logits = _bags(vectors, bucket, at) @ model.softmax + model.bias
-        logit = logits[:, 1] - logits[:, 0]
+        logit = np.empty(len(known))
+        for i, (bucket, at, *_) in enumerate(chunks):
+            logits = _bags(vectors, bucket, at) @ model.softmax + model.bias
+            logit[i * CHUNK : i * CHUNK + len(at)] = logits[:, 1] - logits[:, 0]
         blame[:] = 0
         for r in toxic_rows:
             blame[r[logit[r] >= min(0.0, logit[r].max())]] += 1

@@ -389,6 +389,22 @@ def test_toxicity(spark, odd):
     assert toxicity.train(docs, labels.limit(0)).score(["x"])[0] == 0.5
 
 
+def test_toxicity_learns_from_every_word():
+    """Over 100,000 words to learn, those of the toxic rows last; each has one mark, a word of no other text."""
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    clean = ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(140_000)]
+    marks = [f"zq{i}xkv" for i in range(40)]
+    vocabulary = list(dict.fromkeys(clean)) + marks
+    n = len(vocabulary) - 40
+    texts = list(np.array_split(np.arange(n), 320)) + [np.array([7 * i, 7 * i + 3, n + i]) for i in range(40)]
+    model = toxicity.fit(texts, np.array([0] * 320 + [1] * 40), pa.array(vocabulary), epochs=6, turns=2)
+    marked, plain = model.word_logits(marks), model.word_logits(vocabulary[:2000])
+    assert marked.min() > np.quantile(plain, 0.99)
+    assert np.quantile(model.score([f"{clean[0]} {m}" for m in marks]), 0.1) > 0.7 > model.score(clean[:2000]).max()
+
+
 def test_subwords_are_shared_and_stable():
     words = ["idiot", "idiots", "ab", "é", "idiot"]
     bucket, at = toxicity.subwords(words)
