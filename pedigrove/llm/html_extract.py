@@ -21,6 +21,8 @@ DROPPED_NAMES = frozenset(
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 LEAVES = frozenset("p pre h1 h2 h3 h4 h5 h6 li dt dd figcaption td th blockquote caption summary address".split())
 HEADINGS = frozenset(("h1", "h2", "h3"))
+#: Of a table's parts and headings, "header" and "footer" tell their place, not that they are around the article.
+PLACED = frozenset("th td tr thead tbody tfoot caption h1 h2 h3 h4 h5 h6".split())
 
 
 def dropped(tag: str, text: str) -> bool:
@@ -33,15 +35,78 @@ def dropped(tag: str, text: str) -> bool:
         return True
     if "style" in a and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a["style"], re.I):
         return True
+    return False
+
+
+def named(tag: str, text: str) -> str:
+    """"whole" if a name of class or id is one of DROPPED_NAMES, "part" if a word of one is (has-sidebar), else nothing."""
+    if not text or tag in ("html", "body", "main"):
+        return ""
+    a = attributes(text)
     names = f"{a.get('class', '')} {a.get('id', '')}"
-    return not DROPPED_NAMES.isdisjoint(x.lower() for x in NAME.findall(names))
+    words = DROPPED_NAMES - {"header", "footer"} if tag in PLACED else DROPPED_NAMES
+    if words.isdisjoint(x.lower() for x in NAME.findall(names)):
+        return ""
+    return "part" if words.isdisjoint(names.lower().split()) else "whole"
+
+
+class Survey(Reader):
+    """Where elements with dropped names stand, by the numbers of their tags, and how much unlinked text they hold."""
+
+    def __init__(self):
+        super().__init__()
+        self.number = self.total = self.links = self.off = 0
+        self.held: list[tuple[int, str, str, int]] = []  # open elements that are kept
+        self.named: list[tuple[int, int, str, str, int]] = []  # first and last number, tag, name, text
+        self.articles: list[tuple[str, int, int, int]] = []  # tag, text, first and last number
+
+    def start(self, tag, attrs):
+        self.number += 1
+        if self.off or dropped(tag, attrs):
+            self.off += 1
+            return
+        self.held.append((self.number, tag, named(tag, attrs), self.total))
+        self.links += tag == "a"
+
+    def end(self, tag):
+        if self.off:
+            self.off -= 1
+            return
+        number, tag, name, before = self.held.pop()
+        self.links -= tag == "a"
+        if name:
+            self.named.append((number, self.number, tag, name, self.total - before))
+        if tag in ("article", "main"):
+            self.articles.append((tag, self.total - before, number, self.number))
+
+    def text(self, chunk):
+        if not self.off and not self.links:
+            self.total += len(decode(chunk).strip())
+
+    def spared(self) -> set[int]:
+        """Named elements that are kept: what is or holds the page's article (or main), or most of its text.
+
+        The largest article is meant, or the largest main element where there is none.
+        Other articles go only by a whole name, as those of single comments have. Within
+        the article, what has a whole name has to be nearly all of it.
+        """
+        _, most, first, last = max(self.articles, key=lambda x: (x[0] == "article", x[1], -x[2]), default=("", self.total, 0, self.number))
+        plain = not any(x[0] == "article" for x in self.articles)
+        out = set()
+        for a, b, tag, name, size in self.named:
+            around = a <= first <= b
+            inside = first < a <= last and (size * 10 > most * 9 if name == "whole" else size * 2 > most)
+            if around or inside or plain and size * 2 > self.total or tag == "article" and name == "part":
+                out.add(a)
+        return out
 
 
 class Tree(Reader):
     """nodes: (parent, tag); blocks: (node, text, characters in links), in page order."""
 
-    def __init__(self):
+    def __init__(self, spared: set[int] = frozenset()):
         super().__init__()
+        self.number, self.spared = 0, spared
         self.nodes: list[tuple[int, str]] = [(-1, "#root")]
         self.blocks: list[tuple[int, str, int]] = []
         self.chunks: list[str] = []
@@ -55,7 +120,8 @@ class Tree(Reader):
             self.chunks, self.linked = [], 0
 
     def start(self, tag, attrs):
-        if self.off or dropped(tag, attrs):
+        self.number += 1
+        if self.off or dropped(tag, attrs) or self.number not in self.spared and named(tag, attrs):
             if not self.off and tag in BLOCK:
                 self.flush()
             self.off += 1
@@ -91,7 +157,9 @@ def main_text(html: str | None) -> str:
     """The article of a page, one line a block."""
     if not html:
         return ""
-    tree = Tree()
+    survey = Survey()
+    survey.read(html)
+    tree = Tree(survey.spared())
     tree.read(html)
     tree.flush()
     nodes, blocks = tree.nodes, tree.blocks
@@ -127,7 +195,8 @@ def main_text(html: str | None) -> str:
     for i in range(1, n):
         if i != best and nodes[i][0] == nodes[best][0] and best and size[i]:
             density = linked[i] / size[i]
-            if points[i] >= max(10, 0.2 * points[best]) or nodes[i][1] == "p" and size[i] >= 80 and density < 0.25 or nodes[i][1] in HEADINGS and density < 0.5:
+            plain = density < 0.25 and (nodes[best][1] not in ("article", "main") or nodes[i][1] == "p" and size[i] >= 80)
+            if points[i] >= max(10, 0.2 * points[best]) or plain or nodes[i][1] in HEADINGS and density < 0.5:
                 keep.add(i)
     inside = [False] * n
     for i in range(n):
@@ -141,7 +210,9 @@ def extract(pages: DataFrame) -> DataFrame:
     Blocks give 1 point, one more for each comma and up to 3 for their length to the
     element around them, less to those further up; an element's points are discounted
     by the share of its text that stands in links. The best container (the article or
-    main element around it, if there is one) and its well-scored siblings are kept.
+    main element around it, if there is one) and its well-scored siblings are kept, without
+    an article or main element all siblings of little linked text. Names of class and id
+    drop an element unless it is or holds the article or most of the text.
     Null or empty html, or a page without text: empty text, 0. Repeated rows and null
     ids are rows like others; an empty table gives no rows; other columns are ignored.
     """

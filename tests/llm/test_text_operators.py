@@ -316,6 +316,26 @@ def test_html(spark):
     assert by_text(tuple(r) for r in html_extract.extract(df).collect()) == by_text([(1, "u", want, len(want))] * 2 + [(None, None, "", 0)])
 
 
+def test_html_names_do_not_drop_the_article():
+    p = "<p>One, two, three and a text of some length that is the article.</p>"
+    want = "One, two, three and a text of some length that is the article."
+    junk = "<div class='sidebar'><p>no</p></div><section class='comments'><article class='comment'><p>nice, nice, nice</p></article></section>"
+    for page in (
+        f"<div class='layout has-sidebar'><article>{p}</article>{junk}</div>", f"<article class='post comments-open'>{p}</article>{junk}",
+        f"<div id='page-header-wrap'><article class='entry no-header'>{p}</article></div>{junk}", f"<div class='no-sidebar'>{p}</div><div class='ad'>no</div>",
+        f"<main><div class='has-sidebar'>{p}</div><div class='widget'>no</div></main>", f"<article><div class='with-sidebar'>{p}</div><p class='share'>no</p></article>",
+    ):
+        assert html_extract.main_text(f"<html><body>{page}</body></html>") == want, page
+    table = "<article><table><tr class='header'><th class='header'>a</th><th>b</th></tr><tr><td>1</td><td>2</td></tr></table></article>"
+    assert html_extract.main_text(table) == "a\nb\n1\n2"
+
+
+def test_html_keeps_short_sections_without_an_article():
+    long = "<p>" + "many, many words, " * 30 + "</p>"
+    got = html_extract.main_text(f"<body><div>{long}</div><div><p>Short second one.</p></div><p>End.</p><div><a href='/'>one</a> <a href='/'>two</a></div></body>")
+    assert got.split("\n")[1:] == ["Short second one.", "End."]
+
+
 def test_html_query(spark):
     """The pages' articles, read off their source by another way."""
     import html
