@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from conftest import DATA
 
 from pedigrove.llm import embedding_dedup
@@ -30,14 +31,52 @@ def test_near_duplicates(spark, monkeypatch):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "'x' as node", "1 as cell")
     want = brute(rows)
     assert sorted((tuple(r) for r in embedding_dedup.near_duplicates(df).collect()), key=str) == want
-    # Many cells and small blocks give the same.
+    # Many cells and small blocks give the same, with every cell that can hold a partner visited or simply all.
     monkeypatch.setattr(embedding_dedup, "CELL_ROWS", 6)
-    monkeypatch.setattr(embedding_dedup, "BLOCK_ROWS", 4)
-    assert sorted((tuple(r) for r in embedding_dedup.near_duplicates(df.repartition(5)).collect()), key=str) == want
+    monkeypatch.setattr(embedding_dedup, "BLOCK_ROWS", 8)
+    for way in ({"exact": True}, {"visits": 1000}):
+        assert sorted((tuple(r) for r in embedding_dedup.near_duplicates(df.repartition(5), **way).collect()), key=str) == want
     assert embedding_dedup.near_duplicates(df.limit(0)).isEmpty()
     assert sorted((tuple(r) for r in embedding_dedup.near_duplicates(df.where("vec_id = 2001")).collect()), key=str) == [(2001, 0, 2001, True)]
 
 
+def planted(n, cosine, dim=64, seed=3):
+    """n random unit vectors, then one partner of each at the given cosine."""
+    rng = np.random.default_rng(seed)
+    x, z = rng.normal(size=(2, n, dim))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    z -= (z * x).sum(1)[:, None] * x
+    z /= np.linalg.norm(z, axis=1)[:, None]
+    return np.concatenate([x, cosine * x + np.sqrt(1 - cosine**2) * z])
+
+
+@pytest.mark.parametrize("codebook, directions", [(1024, False), (16, True)])
+def test_recall_near_the_threshold(monkeypatch, codebook, directions):
+    """Pairs just above 0.9 and at 0.95 in 64 dimensions, with cells of one codebook and of two: met in some cell."""
+    monkeypatch.setattr(embedding_dedup, "CODEBOOK", codebook)
+    for cosine, least in ((0.9001, 0.99), (0.95, 0.998)):
+        x = planted(4000, cosine)
+        cells = embedding_dedup.fit(x[::2], 160)
+        assert (cells.directions is not None) == directions and len(cells) >= 160
+        to = cells.nearest(x, 1 + embedding_dedup.VISITS * (embedding_dedup.WIDER if directions else 1))
+        a, b = to[:4000], to[4000:]
+        met = (a[:, :1] == b).any(1) | (b[:, :1] == a).any(1)
+        assert met.mean() >= least
+
+
+def test_planted_links_are_found(spark, monkeypatch):
+    """3,000 links in 64 dimensions over many cells: the default way against all pairs, and none below the threshold."""
+    monkeypatch.setattr(embedding_dedup, "CELL_ROWS", 32)
+    x = np.concatenate([planted(1500, 0.901), planted(1500, 0.96, seed=4), planted(500, 0.899, seed=5)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    exact = {r.vec_id: r for r in embedding_dedup.near_duplicates(df, exact=True).collect()}
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(df).collect()}
+    assert sum(r.n_links for r in exact.values()) == 2 * 3000
+    assert all(r.n_links <= exact[i].n_links for i, r in got.items())
+    assert sum(r.n_links for r in got.values()) >= 0.99 * 6000
+    assert all(r.component_id in (r.vec_id, exact[r.vec_id].component_id) for r in got.values())
+
+
 def test_pipeline(spark):
     import corpus_pipeline as c
     from pedigrove.llm import _common, ngram_jaccard, quality, toxicity
