@@ -9,15 +9,20 @@ Template, one block a turn::
 The control strings are ``### `` and ``</turn>``. Inside a text each occurrence gets
 one more backslash in front (``\\### ``), whatever backslashes stand there already,
 so that unescaping takes exactly one away. The line break before ``</turn>`` keeps a
-text's own last backslash apart from the control string.
+text's own last backslash apart from the control string. The loss mask stands beside the
+string: spans of the assistant's texts, in code points.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._common import written
+
 OPEN, CLOSE = "### ", "\n</turn>\n"
+#: The role whose text is under the loss.
+LEARNED = "assistant"
 
 
 def escape(text: Column) -> Column:
@@ -36,14 +41,13 @@ def fold_events(events: DataFrame) -> DataFrame:
     again from their text. A repeated ``message`` op with the same id starts another
     message, so repeated rows are kept. Unknown ops count as ``delta``. Events of equal
     seq apply in order (message number, role, text). Null text or role: empty. Null
-    ids are an id of their own. A ``delta`` before any ``message`` starts one.
+    ids are an id of their own. A ``delta`` before any ``message`` starts one. seq and
+    message are of any type that can be ordered.
 
     Returns conv_id, turn (place of its first event), role, text: one row a message.
     The fold is keyed by (conversation, message), so a long conversation is folded in
     many tasks; only its final messages meet, in :func:`render`.
     """
-    from pyspark.sql import Window
-
     e = events.select(
         "conv_id",
         "seq",
@@ -66,28 +70,58 @@ def fold_events(events: DataFrame) -> DataFrame:
 
 
 def render(messages: DataFrame) -> DataFrame:
-    """One formatted string a conversation, turns in order; the row is as long as the conversation."""
-    block = F.concat(F.lit(OPEN), F.url_encode("role"), F.lit("\n"), escape(F.col("text")), F.lit(CLOSE))
-    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text", block.alias("block"))))
-    return messages.groupBy("conv_id").agg(F.array_join(F.transform(turns, lambda x: x["block"]), "").alias("formatted"))
+    """conv_id, formatted, loss: one string a conversation, its messages in order, and its loss mask.
+
+    loss has a span a message, in order: start and length in code points of ``formatted``;
+    length 0 where the message is not the assistant's. The row is as long as the
+    conversation. No messages give no rows; null roles and texts are empty before here.
+    """
+    head = F.concat(F.lit(OPEN), F.url_encode("role"), F.lit("\n"))
+    m = messages.select("conv_id", "turn", "role", head.alias("head"), escape(F.col("text")).alias("body"))
+    before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.length("head") + F.length("body") + len(CLOSE)
+    start = F.coalesce(F.sum(size.cast("long")).over(before), F.lit(0)) + F.length("head")
+    span = F.struct(start.alias("start"), F.when(F.col("role") == LEARNED, F.length("body")).otherwise(0).cast("long").alias("length"))
+    m = m.select("conv_id", "turn", F.concat("head", "body", F.lit(CLOSE)).alias("block"), span.alias("span"))
+    turns = F.array_sort(F.collect_list(F.struct("turn", "span", "block")))
+    m = m.groupBy("conv_id").agg(turns.alias("t"))
+    return m.select("conv_id", F.array_join("t.block", "").alias("formatted"), F.col("t.span").alias("loss"))
+
+
+def _blocks() -> Column:
+    parts = F.split("formatted", CLOSE)
+    return F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))
+
+
+def _role(block: Column) -> Column:
+    return F.url_decode(F.substr(F.substring_index(block, "\n", 1), F.lit(len(OPEN) + 1)))
+
+
+def _text(block: Column) -> Column:
+    return unescape(F.substr(block, F.length(F.substring_index(block, "\n", 1)) + 2))
 
 
 def parse(formatted: DataFrame) -> DataFrame:
-    """Reads the turns back from ``formatted``: adds turns, an array of (role, text)."""
-    blocks = F.slice(F.split("formatted", CLOSE), 1, F.greatest(F.size(F.split("formatted", CLOSE)) - 1, F.lit(0)))
-    head = lambda b: F.substring_index(b, "\n", 1)
-    turns = F.transform(
-        blocks,
-        lambda b: F.struct(
-            F.url_decode(F.substr(head(b), F.lit(len(OPEN) + 1))).alias("role"),
-            unescape(F.substr(b, F.length(head(b)) + 2)).alias("text"),
-        ),
-    )
-    return formatted.withColumn("turns", turns)
+    """Reads the turns back from ``formatted``: adds turns, an array of (role, text); empty for an empty string."""
+    return formatted.withColumn("turns", F.transform(_blocks(), lambda b: F.struct(_role(b).alias("role"), _text(b).alias("text"))))
+
+
+def read_back(chats: DataFrame) -> DataFrame:
+    """conv_id, i, role, text, under_loss: one row a turn, read from ``formatted`` and ``loss``.
+
+    under_loss is what the mask marks of the turn, cut out of ``formatted`` at the span's
+    place and unescaped. The places of the turns are summed up from the string, so that
+    a long conversation is cut once, not once a span.
+    """
+    t = chats.select("conv_id", F.posexplode(F.arrays_zip(_blocks().alias("block"), F.col("loss").alias("span"))).alias("i", "t"))
+    before = Window.partitionBy("conv_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    t = t.withColumn("at", F.coalesce(F.sum((F.length("t.block") + len(CLOSE)).cast("long")).over(before), F.lit(0)))
+    marked = F.substr("t.block", (F.col("t.span.start") - F.col("at") + 1).cast("int"), F.col("t.span.length").cast("int"))
+    return t.select("conv_id", "i", _role(F.col("t.block")).alias("role"), _text(F.col("t.block")).alias("text"), unescape(marked).alias("under_loss"))
 
 
 def format_chats(events: DataFrame) -> DataFrame:
-    """Event log to conv_id, formatted, turns (read back from formatted).
+    """Event log to conv_id, formatted, loss, turns (read back from formatted).
 
     An empty log gives no rows. Further columns of the log are ignored.
     """
@@ -95,30 +129,37 @@ def format_chats(events: DataFrame) -> DataFrame:
 
 
 def turn_events(conversations: DataFrame) -> DataFrame:
-    """A table with one row a turn as an event log: each row is one ``message``, kept even if repeated."""
-    return conversations.select(
-        "conv_id",
-        F.col("turn").alias("seq"),
-        F.col("turn").alias("message"),
-        F.lit("message").alias("op"),
-        "role",
-        "text",
-    )
+    """A table with one row a turn as the event log that a chat service would have kept of it.
+
+    Each row is a message of its own, even if repeated, in five events: a message opens
+    with the first half of the text, is regenerated, streams the second half, is edited
+    to the first half and streams the second one. Rows of one turn are in order of role and text.
+    """
+    alike = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
+    c = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    c = c.withColumn("n", F.row_number().over(alike))
+    half = (F.length("text") / 2).cast("int")
+    first, second = F.substr("text", F.lit(1), half), F.substr("text", half + 1)
+    log = (("message", first), ("regenerate", F.lit("")), ("delta", second), ("edit", first), ("delta", second))
+    steps = F.array(*[F.struct(F.lit(i).alias("step"), F.lit(op).alias("op"), text.alias("text")) for i, (op, text) in enumerate(log)])
+    c = c.select("conv_id", "turn", "n", "role", F.explode(steps).alias("e"))
+    return c.select("conv_id", F.struct("turn", "e.step").alias("seq"), F.struct("turn", "n").alias("message"), "e.op", "role", "e.text")
 
 
 def digests(chats: DataFrame) -> DataFrame:
-    """Digest columns of formatted chats; everything is computed from what was read back."""
-    spoken = F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"])
-    loss = F.array_join(spoken, "")
-    every = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return chats.select(
+    """Digest columns of formatted chats; everything is computed from what is read back of ``formatted`` and ``loss``."""
+    turns = F.array_sort(F.collect_list(F.struct("i", "role", "text", "under_loss")))
+    t = read_back(chats).groupBy("conv_id").agg(turns.alias("t"))
+    t = t.select("conv_id", F.transform("t", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))).alias("every"), F.array_join("t.under_loss", "").alias("learned"))
+    t = t.select(
         "conv_id",
-        F.size("turns").cast("long").alias("n_turns"),
-        F.sha2(every, 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"),
-        F.sha2(loss, 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
+        F.size("every").cast("long").alias("n_turns"),
+        F.sha2(F.array_join("every", ""), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
     )
+    sizes = chats.select(F.col("conv_id").alias("_c"), F.length("formatted").cast("long").alias("formatted_chars"))
+    return t.join(sizes, F.col("conv_id").eqNullSafe(F.col("_c"))).drop("_c")
 
 
 #: A conversation whose texts hold the control strings.
@@ -133,7 +174,7 @@ def op9_chat_format(spark, sf_dir: str) -> DataFrame:
         F.lit(HOSTILE).alias("text"),
     )
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
-    return digests(format_chats(turn_events(rows.unionByName(own))))
+    return digests(written(render(fold_events(turn_events(rows.unionByName(own)))), "chats"))
 
 
 OP9_SQL = r"""
