@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +17,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that the cluster shares: spark.checkpoint.dir, or what the caller gave to setCheckpointDir.
+
+    Without either, a session on one machine (tests) takes a temporary folder; on a
+    cluster it is an error, as such a folder would lie on single machines.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and re.fullmatch(r"local(\[.*\])?", sc.master):
+            folder = tempfile.mkdtemp(prefix="spark-")
+        if not folder:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder)
         current = sc.getCheckpointDir()
     return current
 
@@ -34,10 +46,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Rows in an Arrow batch: long texts must not add up to more than a worker can hold."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def in_batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of few rows, so that what is made of long texts at a time stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

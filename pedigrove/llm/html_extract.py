@@ -1,4 +1,9 @@
-"""HTML extraction by tree scoring."""
+"""HTML extraction by tree scoring.
+
+Paragraphs pass points to the elements around them; what is marked as being beside an
+article (by its tag, role or names) passes none, unless it is or holds the article. The best container
+and its siblings are kept, less the lists of links in them.
+"""
 
 from __future__ import annotations
 
@@ -8,110 +13,74 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ._common import in_batches
 from ._html import BLOCK, Reader, attributes, decode
 
-DROPPED = frozenset("script style noscript template head title nav header footer aside form button input select textarea iframe object embed svg canvas menu dialog audio video math".split())
-DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
-#: Words of class and id names that mark what is not the article.
-DROPPED_NAMES = frozenset(
-    "ad ads adv advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus donate footer gdpr header hidden login masthead menu modal nav "
-    "navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related remark replies responses share sharing sidebar signup social sponsor sponsored "
+#: Elements without text of the page.
+DROPPED = frozenset("script style noscript template head title button input select textarea iframe object embed svg canvas dialog audio video math".split())
+#: Elements, roles and words of class and id names that mark what is beside an article.
+MARKED = frozenset("nav header footer aside form menu".split())
+#: Of these, what holds no article unless an article or main element in it says so.
+FIRM_TAGS = frozenset("nav footer aside menu".split())
+MARKED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
+COMMENTS = frozenset("comment comments disqus remark replies responses".split())
+NAMES = COMMENTS | frozenset(
+    "ad ads adv advert advertisement adverts banner breadcrumb breadcrumbs consent cookie cookies donate footer gdpr header hidden login masthead menu modal nav "
+    "navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related share sharing sidebar signup social sponsor sponsored "
     "subscribe subscription toolbar tooltip topbar widget widgets".split()
 )
-NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Words that names of an article's own parts have too (related-work): as a part of a name they mark no prose.
+UNSURE = frozenset("header hidden promotion related remark replies responses social".split())
+#: A name that begins or ends so tells a state (has-sidebar, comments-open), not what the element is.
+STATE_FIRST, STATE_LAST = frozenset("has no not with without".split()), frozenset("closed disabled enabled open".split())
+NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 LEAVES = frozenset("p pre h1 h2 h3 h4 h5 h6 li dt dd figcaption td th blockquote caption summary address".split())
 HEADINGS = frozenset(("h1", "h2", "h3"))
 #: Of a table's parts and headings, "header" and "footer" tell their place, not that they are around the article.
 PLACED = frozenset("th td tr thead tbody tfoot caption h1 h2 h3 h4 h5 h6".split())
+#: Headings of reader comments.
+COMMENTED = re.compile(r"(\d+ |reader |user )*(comments?|replies|responses)( \(?\d+\)?)?|leave a (comment|reply).*", re.I)
 
+#: Marks, weakest first: a word within a name that may be an article's; a word within a name; tag, role or whole name; firm tag; comments.
+MAYBE, PART, WHOLE, FIRM, COMMENT = 1, 2, 3, 4, 5
 
-def dropped(tag: str, text: str) -> bool:
-    if tag in DROPPED:
-        return True
-    if not text or tag in ("html", "body", "main"):
-        return False
-    a = attributes(text)
-    if "hidden" in a or a.get("aria-hidden") == "true" or a.get("role", "").lower() in DROPPED_ROLES:
-        return True
-    if "style" in a and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a["style"], re.I):
-        return True
-    return False
-
-
-def named(tag: str, text: str) -> str:
-    """"whole" if a name of class or id is one of DROPPED_NAMES, "part" if a word of one is (has-sidebar), else nothing."""
-    if not text or tag in ("html", "body", "main"):
-        return ""
-    a = attributes(text)
-    names = f"{a.get('class', '')} {a.get('id', '')}"
-    words = DROPPED_NAMES - {"header", "footer"} if tag in PLACED else DROPPED_NAMES
-    if words.isdisjoint(x.lower() for x in NAME.findall(names)):
-        return ""
-    return "part" if words.isdisjoint(names.lower().split()) else "whole"
-
-
-class Survey(Reader):
-    """Where elements with dropped names stand, by the numbers of their tags, and how much unlinked text they hold."""
 
-    def __init__(self):
-        super().__init__()
-        self.number = self.total = self.links = self.off = 0
-        self.held: list[tuple[int, str, str, int]] = []  # open elements that are kept
-        self.named: list[tuple[int, int, str, str, int]] = []  # first and last number, tag, name, text
-        self.articles: list[tuple[str, int, int, int]] = []  # tag, text, first and last number
-
-    def start(self, tag, attrs):
-        self.number += 1
-        if self.off or dropped(tag, attrs):
-            self.off += 1
-            return
-        self.held.append((self.number, tag, named(tag, attrs), self.total))
-        self.links += tag == "a"
-
-    def end(self, tag):
-        if self.off:
-            self.off -= 1
-            return
-        number, tag, name, before = self.held.pop()
-        self.links -= tag == "a"
-        if name:
-            self.named.append((number, self.number, tag, name, self.total - before))
-        if tag in ("article", "main"):
-            self.articles.append((tag, self.total - before, number, self.number))
-
-    def text(self, chunk):
-        if not self.off and not self.links:
-            self.total += len(decode(chunk).strip())
-
-    def spared(self) -> set[int]:
-        """Named elements that are kept: what is or holds the page's article (or main), or most of its text.
-
-        The largest article is meant, or the largest main element where there is none.
-        Other articles go only by a whole name, as those of single comments have. Within
-        the article, what has a whole name has to be nearly all of it.
-        """
-        _, most, first, last = max(self.articles, key=lambda x: (x[0] == "article", x[1], -x[2]), default=("", self.total, 0, self.number))
-        plain = not any(x[0] == "article" for x in self.articles)
-        out = set()
-        for a, b, tag, name, size in self.named:
-            around = a <= first <= b
-            inside = first < a <= last and (size * 10 > most * 9 if name == "whole" else size * 2 > most)
-            if around or inside or plain and size * 2 > self.total or tag == "article" and name == "part":
-                out.add(a)
-        return out
+def hidden(a: dict[str, str]) -> bool:
+    if "hidden" in a or a.get("aria-hidden") == "true":
+        return True
+    return "style" in a and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a["style"], re.I) is not None
+
+
+def mark(tag: str, a: dict[str, str]) -> int:
+    """How an element is marked as being beside the article; 0: not."""
+    found = FIRM if tag in FIRM_TAGS else WHOLE if tag in MARKED or a.get("role", "").lower() in MARKED_ROLES else 0
+    if tag in ("html", "body", "main"):
+        return found
+    words = NAMES - {"header", "footer"} if tag in PLACED else NAMES
+    for name in f"{a.get('class', '')} {a.get('id', '')}".split():
+        parts = [x.lower() for x in NAME.findall(name)]
+        hit = words.intersection(parts)
+        if not hit or parts[0] in STATE_FIRST or parts[-1] in STATE_LAST:
+            continue
+        if hit & COMMENTS and (len(parts) == 1 or not hit <= UNSURE):
+            found = COMMENT
+        elif len(parts) == 1:
+            found = max(found, WHOLE)
+        else:
+            found = max(found, MAYBE if hit <= UNSURE else PART)
+    return found
 
 
 class Tree(Reader):
-    """nodes: (parent, tag); blocks: (node, text, characters in links), in page order."""
+    """nodes: parent, tag, mark, links; blocks: (node, text, characters in links), in page order."""
 
-    def __init__(self, spared: set[int] = frozenset()):
+    def __init__(self):
         super().__init__()
-        self.number, self.spared = 0, spared
-        self.nodes: list[tuple[int, str]] = [(-1, "#root")]
+        self.parent, self.tag, self.mark, self.count = [-1], ["#root"], [0], [0]
         self.blocks: list[tuple[int, str, int]] = []
         self.chunks: list[str] = []
         self.linked = self.links = self.off = 0
-        self.at = 0  # innermost open block element that is kept
+        self.at = 0  # innermost open block element
 
     def flush(self):
         if self.chunks:
@@ -120,20 +89,27 @@ class Tree(Reader):
             self.chunks, self.linked = [], 0
 
     def start(self, tag, attrs):
-        self.number += 1
-        if self.off or dropped(tag, attrs) or self.number not in self.spared and named(tag, attrs):
-            if not self.off and tag in BLOCK:
-                self.flush()
+        block = tag in BLOCK
+        if block and not self.off:
+            self.flush()
+        a = attributes(attrs) if attrs and not self.off else {}
+        if self.off or tag in DROPPED or a and hidden(a):
             self.off += 1
             return
-        if tag in BLOCK:
-            self.flush()
-            self.nodes.append((self.at, tag))
-            self.at = len(self.nodes) - 1
+        how = mark(tag, a) if a or tag in MARKED else 0
+        if block:
+            self.parent.append(self.at)
+            self.tag.append(tag)
+            self.mark.append(how)
+            self.count.append(0)
+            self.at = len(self.tag) - 1
+        elif how >= WHOLE:  # within a line: no container of anything
+            self.off += 1
         elif tag == "br":
             self.chunks.append(" ")
         elif tag == "a":
             self.links += 1
+            self.count[self.at] += 1
 
     def end(self, tag):
         if self.off:
@@ -141,7 +117,7 @@ class Tree(Reader):
             return
         if tag in BLOCK:
             self.flush()
-            self.at = self.nodes[self.at][0]
+            self.at = self.parent[self.at]
         elif tag == "a":
             self.links -= 1
 
@@ -157,50 +133,113 @@ def main_text(html: str | None) -> str:
     """The article of a page, one line a block."""
     if not html:
         return ""
-    survey = Survey()
-    survey.read(html)
-    tree = Tree(survey.spared())
+    tree = Tree()
     tree.read(html)
     tree.flush()
-    nodes, blocks = tree.nodes, tree.blocks
+    parent, tag, marks, blocks = tree.parent, tree.tag, tree.mark, tree.blocks
     if not blocks:
         return ""
-    n = len(nodes)
-    points, size, linked = [0.0] * n, [0] * n, [0] * n
-    for node, text, inside in blocks:
+    n = len(parent)
+    size, linked, links = [0] * n, [0] * n, list(tree.count)
+    first = [""] * n  # text of an element's first block, if that is a heading
+    for node, text, inside in reversed(blocks):
         size[node] += len(text)
         linked[node] += min(inside, len(text))
+        first[node] = text if tag[node] in HEADINGS or tag[node] == "h4" else ""
+    for i in range(n - 1, 0, -1):  # a node comes after its parent
+        size[parent[i]] += size[i]
+        linked[parent[i]] += linked[i]
+        links[parent[i]] += links[i]
+    began = set()
+    for node, _, _ in blocks:  # the heading that an element's text begins with
+        up = parent[node]
+        while up > 0 and up not in began:
+            began.add(up)
+            first[up] = first[node]
+            up = parent[up]
+    plain = [a - b for a, b in zip(size, linked)]
+    for i in range(1, n):
+        if marks[i] == MAYBE and plain[i] >= 50 and linked[i] * 3 < size[i]:
+            marks[i] = 0
+        if tag[i] in ("section", "div") and first[i] and len(first[i]) < 60 and COMMENTED.fullmatch(first[i].strip(" :")):
+            marks[i] = COMMENT
+
+    def covered() -> list[int]:
+        """The strongest mark of a node and of what is around it."""
+        out = [0] * n
+        for i in range(1, n):
+            out[i] = max(out[parent[i]], marks[i])
+        return out
+
+    # The page's article, if an element says so: not one among comments, and rather one that nothing around marks.
+    around = covered()
+    free = sum(len(t) - min(k, len(t)) for i, t, k in blocks if not around[i])
+    stated = [i for i in range(n) if tag[i] in ("article", "main") and plain[i] and (around[i] < COMMENT or not free)]
+    chosen = max(stated, key=lambda i: (around[parent[i]] == 0, tag[i] == "article", plain[i], -i), default=0)
+    up = chosen
+    while up > 0:
+        marks[up] = 0
+        up = parent[up]
+    # What holds most of the article (or of a page without one) is not beside it.
+    inner = [False] * n
+    for i in range(n):
+        inner[i] = i == chosen or parent[i] >= 0 and inner[parent[i]]
+    for i in range(1, n):
+        if marks[i] and inner[i] and chosen:
+            most = 0.5 if marks[i] <= PART else 0.9 if marks[i] == WHOLE else 1.0
+            if plain[i] > most * plain[chosen]:
+                marks[i] = 0
+        elif marks[i] and not chosen and plain[i] * 2 > plain[0]:
+            # By a word within a name it never is; else only where nearly all text is marked.
+            if marks[i] <= PART or marks[i] == WHOLE and free * 10 < plain[0] or marks[i] == COMMENT and not free:
+                marks[i] = 0
+    for i in range(1, n):  # an article's own header: its headings stay
+        if marks[i] == WHOLE and tag[i] == "header" and inner[i] and tag[chosen] == "article" and linked[i] * 2 < size[i]:
+            marks[i] = 0
+            for j in range(i + 1, n):
+                if parent[j] == i and tag[j] not in HEADINGS and tag[j] not in ("hgroup", "div"):
+                    marks[j] = WHOLE
+    around = covered()
+
+    points = [0.0] * n
+    for node, text, _ in blocks:
+        if around[node]:
+            continue
         given = 1 + text.count(",") + min(len(text) / 100, 3)
-        up = nodes[node][0] if nodes[node][1] in LEAVES else node
+        up = parent[node] if tag[node] in LEAVES else node
         for level in range(5):
             if up < 0:
                 break
             points[up] += given / (1, 2, 6, 9, 12)[level]
-            up = nodes[up][0]
-    for i in range(n - 1, 0, -1):  # a node comes after its parent
-        size[nodes[i][0]] += size[i]
-        linked[nodes[i][0]] += linked[i]
+            up = parent[up]
     for i in range(n):
         points[i] *= 1 - linked[i] / size[i] if size[i] else 0
-        if nodes[i][1] == "article" and size[i]:
-            points[i] += 25
-        elif nodes[i][1] == "main" and size[i]:
-            points[i] += 15
+    if chosen and points[chosen]:
+        points[chosen] += 25 if tag[chosen] == "article" else 15
     best = max(range(n), key=lambda i: (points[i], -i))
+    if around[best]:  # nothing but menus and the like
+        return ""
     up = best
-    while up > 0 and nodes[up][1] not in ("article", "main"):
-        up = nodes[up][0]
+    while up > 0 and tag[up] != "article" and not (tag[up] == "main" and plain[best] * 2 >= plain[up]):
+        up = parent[up]
     best = up if up > 0 else best
     keep = {best}
+    stated = tag[best] in ("article", "main")
+    titled = any(tag[i] in HEADINGS and inner[i] for i in range(n)) if best == chosen and chosen else False
     for i in range(1, n):
-        if i != best and nodes[i][0] == nodes[best][0] and best and size[i]:
+        if i != best and parent[i] == parent[best] and best and size[i] and not around[i]:
             density = linked[i] / size[i]
-            plain = density < 0.25 and (nodes[best][1] not in ("article", "main") or nodes[i][1] == "p" and size[i] >= 80)
-            if points[i] >= max(10, 0.2 * points[best]) or plain or nodes[i][1] in HEADINGS and density < 0.5:
+            if points[i] >= max(10, 0.2 * points[best]) or density < 0.25 and not stated or tag[i] in HEADINGS and density < 0.5 and not titled:
                 keep.add(i)
     inside = [False] * n
     for i in range(n):
-        inside[i] = i in keep or nodes[i][0] >= 0 and inside[nodes[i][0]]
+        inside[i] = i in keep or parent[i] >= 0 and inside[parent[i]]
+    # Lists of links, wherever they stand in what is kept.
+    for i in range(1, n):
+        if i not in keep and inside[i] and links[i] >= 3 and linked[i] * 5 > size[i] * 3 or around[i]:
+            inside[i] = False
+        elif i not in keep and parent[i] >= 0 and not inside[parent[i]]:
+            inside[i] = False
     return "\n".join(text for node, text, _ in blocks if inside[node])
 
 
@@ -209,16 +248,18 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Blocks give 1 point, one more for each comma and up to 3 for their length to the
     element around them, less to those further up; an element's points are discounted
-    by the share of its text that stands in links. The best container (the article or
-    main element around it, if there is one) and its well-scored siblings are kept, without
-    an article or main element all siblings of little linked text. Names of class and id
-    drop an element unless it is or holds the article or most of the text.
+    by the share of its text that stands in links. The best container (the article
+    element around it, if there is one) and its well-scored siblings are kept, without
+    an article or main element all siblings of little linked text; lists of three or
+    more links that hold most of their text in links go. Tags, roles and names mark
+    what is beside an article; a mark counts for nothing on what is or holds the article,
+    or nearly all of the text.
     Null or empty html, or a page without text: empty text, 0. Repeated rows and null
     ids are rows like others; an empty table gives no rows; other columns are ignored.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_batches(batches):
             texts = [main_text(x.as_py()) for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"]

@@ -228,8 +228,24 @@ def test_separator_scan_edges(spark, tmp_path):
 
 
 def test_token_counts_query(spark):
-    r = queries.QUERIES["op10_token_counts"](spark, DATA).collect()
-    assert len({x.doc_id for x in r}) == len(r) == spark.read.parquet(f"{DATA}/documents.parquet").count()
+    """Every document of the tables against the JSON file's tokenizer, the separator's string taken as ordinary text."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    got = queries.QUERIES["op10_token_counts"](spark, DATA).collect()
+    assert len(got) == len(docs)
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert {r.doc_id: r.n_tokens for r in got} == {d: len(plain.encode(t, add_special_tokens=False).ids) for d, t in docs.items() if "<|endoftext|>" not in t}
+    for f in {r.file for r in got}:  # documents follow each other without a gap
+        rows, at = sorted((r for r in got if r.file == f), key=lambda r: r.doc_index), 0
+        for i, r in enumerate(rows):
+            assert (r.doc_index, r.start) == (i, at)
+            at += r.n_tokens + 1
+
+
+def test_token_files_of_an_empty_table(spark, odd, tmp_path):
+    assert token_counts.write_token_files(odd.limit(0), f"file://{tmp_path}/e").isEmpty()
 
 
 def brute_targets(sizes, weights=(3, 1, 2), share=1.5, most=2):
@@ -295,6 +311,30 @@ def test_chat_events(spark):
     assert [tuple(t) for t in chat_format.format_chats(df.repartition(3)).first().turns] == [("user", "hey"), ("assistant", "XY"), ("", "late")]
 
 
+def test_loss_mask(spark):
+    """Spans cut out of the string in Python; each assistant text once, nothing of another role or of the template."""
+    texts = ["", None, "\\", "\\### ", "é</turn>\\", "\n</turn>\n", "😀 ### x", "plain"]
+    rows = [(1, i, ("assistant", "user", "assistant", "tool")[i % 4], t) for i, t in enumerate(texts * 2)] + [(2, 0, "user", "no loss here"), (3, 0, "assistant", "twice"), (3, 0, "assistant", "twice")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    chats = chat_format.render(chat_format.fold_events(chat_format.turn_events(df)))
+    for r in chats.collect():
+        want = [t or "" for c, _, role, t in rows if c == r.conv_id and role == "assistant"]
+        cut = [r.formatted[s.start : s.start + s.length] for s in r.loss]
+        plain = [x.replace("\\### ", "### ").replace("\\</turn>", "</turn>") for x in cut]
+        assert [x for x in plain if x] == [x for x in want if x] and len(cut) == sum(c == r.conv_id for c, *_ in rows)
+    back = {(r.conv_id, r.i): (r.role, r.text, r.under_loss) for r in chat_format.read_back(chats).collect()}
+    for c in (1, 2, 3):
+        for i, (_, _, role, t) in enumerate(x for x in rows if x[0] == c):
+            assert back[c, i] == (role, t or "", (t or "") if role == "assistant" else "")
+
+
+def test_turn_events_hold_every_op(spark):
+    df = spark.createDataFrame([(1, 0, "user", "abcde")], "conv_id long, turn long, role string, text string")
+    log = chat_format.turn_events(df)
+    assert {r.op for r in log.collect()} == {"message", "delta", "edit", "regenerate"}
+    assert [r.text for r in chat_format.fold_events(log).collect()] == ["abcde"]
+
+
 def test_chat_query(spark, same):
     same(queries.QUERIES["op9_chat_format"](spark, DATA), queries.SQL["op9_chat_format"])
 
@@ -313,7 +353,9 @@ def test_html(spark):
     deep = "<div>" * 20_000 + "<p>deep</p>"
     assert html_extract.main_text(deep) == "deep"
     df = spark.createDataFrame([(1, "u", PAGE), (1, "u", PAGE), (None, None, None)], "page_id long, url string, html string")
+    df = df.selectExpr("*", "'mine' as text", "0 as n_chars", "1 as node")
     assert by_text(tuple(r) for r in html_extract.extract(df).collect()) == by_text([(1, "u", want, len(want))] * 2 + [(None, None, "", 0)])
+    assert html_extract.extract(df.limit(0)).isEmpty()
 
 
 def test_html_names_do_not_drop_the_article():
@@ -330,6 +372,27 @@ def test_html_names_do_not_drop_the_article():
     assert html_extract.main_text(table) == "a\nb\n1\n2"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='layout has-sidebar'><article>{p}{p}</article></div>", "<article class='post no-comments'>{p}{p}</article>", "<form><div>{p}{p}</div></form>",
+        "<form><article>{p}{p}</article><input></form>", "<article>{p}<div id='related-work'>{p}</div></article>", "<main>{l}{p}{p}</main>", "<div>{l}{p}{p}</div>",
+        "<article>{p}{p}{l}</article>", "<div><div>{p}{p}</div>{l}</div>", "<div class=post>{p}{p}</div><div id=comments>{p}{p}{p}{p}{p}</div>",
+        "<article>{p}{p}</article><section><h3>3 Comments</h3>{p}{p}{p}{p}</section>", "<main><div class=body>{p}{p}</div><ol class='comment-list'><li>{p}</li><li>{p}</li></ol></main>",
+        "<main><div>{p}{p}</div><section class='comments'><article class=comment>{p}{p}{p}</article></section></main>", "<main><article>{p}<aside>{p}</aside>{p}</article></main>",
+        "<div class=wrap><div class=content>{p}{p}</div><div class='sidebar'>{p}</div></div>", "<div class='cookie-notice'>{p}</div><div>{p}{p}</div>",
+        "<header><h1>Site</h1>{p}</header><main>{p}{p}</main><footer>{p}</footer>", "<div role=banner>{p}</div><div>{p}{p}</div><div role=contentinfo>x, y</div>",
+        "<article>{p}<form><p>Subscribe, now, please.</p></form>{p}</article>", "<article><header><h1>{t}</h1><p>By someone</p></header>{p}</article>", "<div class='sidebar'>{p}{p}</div>",
+        "<article>{p}<div class='newsletter-signup'>{p}</div>{p}</article>", "<article>{p}{p}<footer>{p}</footer></article>",
+    ],
+)
+def test_html_scores_before_it_drops(page):
+    """Names and tags around the article cost it nothing; menus, comments and the like go, whatever marks them."""
+    t = "One, two, three and a text of some length that is the article, really."
+    links = "<ul>" + "".join(f"<li><a href='/{i}'>Nav link {i}</a></li>" for i in range(6)) + "</ul>"
+    assert html_extract.main_text("<html><body>" + page.format(p=f"<p>{t}</p>", t=t, l=links) + "</body></html>") == f"{t}\n{t}"
+
+
 def test_html_keeps_short_sections_without_an_article():
     long = "<p>" + "many, many words, " * 30 + "</p>"
     got = html_extract.main_text(f"<body><div>{long}</div><div><p>Short second one.</p></div><p>End.</p><div><a href='/'>one</a> <a href='/'>two</a></div></body>")
