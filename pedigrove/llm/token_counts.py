@@ -31,6 +31,8 @@ def write_token_files(documents: DataFrame, path: str, separator: int = SEPARATO
     then moved, so that a repeated task replaces its file. Returns, once written, file,
     doc_index, doc_id: which document stands where, for comparison only; the files
     carry no index. The separator never comes from a text: its string is ordinary text.
+    A null or empty text is a document of no tokens; repeated rows and null ids are
+    documents of their own; an empty table gives no rows. Other columns are ignored.
     """
     ranks = tokenizer or ranks_path()
 
@@ -56,7 +58,7 @@ def scan_separators(spark: SparkSession, path: str, separator: int = SEPARATOR,
     """Where the separators of flat token files stand: file, block, first, n, ends (positions, ascending).
 
     Files are listed, not read, by Spark; each block is then read by one task and
-    searched in one vectorised comparison.
+    searched in one vectorised comparison. An empty file, or a folder of none, has no blocks.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(path).where("length > 0").select("path", "length")
     blocks = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("length") / (block * width)) - 1)).alias("block"))
@@ -85,23 +87,30 @@ def scan_separators(spark: SparkSession, path: str, separator: int = SEPARATOR,
 def stitch(scanned: DataFrame) -> DataFrame:
     """Documents of scanned blocks: file, doc_index, start, n_tokens (without separator), ended.
 
-    A prefix scan over the blocks of a file, one row a block, gives each block the
-    number of documents that ended before it and where the one it opens with began.
-    Tokens after a file's last separator are a document with ended = false; two
-    separators in a row enclose a document of no tokens.
+    A prefix scan over the blocks of a file gives each block the number of documents that
+    ended before it and where the one it opens with began. It moves one small row a
+    block (how many separators, the last one); the arrays of separators stay where they
+    are, meet the result by (file, block), and become documents there. Tokens after a
+    file's last separator are a document with ended = false; two separators in a row
+    enclose a document of no tokens. No blocks give no rows.
     """
+    scanned = written(scanned, "separators")  # read twice, so that the files are not
+    heads = scanned.select("file", "block", F.size("ends").alias("k"), F.array_max("ends").alias("last"), (F.col("first") + F.col("n")).alias("stop"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("file")
-    s = scanned.withColumn("base", F.coalesce(F.sum(F.size("ends")).over(earlier), F.lit(0)))
-    s = s.withColumn("open", F.coalesce(F.max(F.array_max("ends")).over(earlier) + 1, F.lit(0)))
-    s = s.withColumn("total", F.max(F.col("first") + F.col("n")).over(whole))
-    begins = F.concat(F.array("open"), F.transform("ends", lambda x: x + 1))
-    found = s.select("file", "base", begins.alias("begins"), F.posexplode("ends").alias("i", "end"))
-    found = found.select("file", (F.col("base") + F.col("i")).alias("doc_index"), F.element_at("begins", F.col("i") + 1).alias("start"), "end")
-    found = found.select("file", "doc_index", "start", (F.col("end") - F.col("start")).alias("n_tokens"), F.lit(True).alias("ended"))
-    tail = s.where(F.col("first") + F.col("n") == F.col("total")).select("file", (F.col("base") + F.size("ends")).alias("doc_index"), F.element_at(begins, -1).alias("start"), "total")
-    tail = tail.where("start < total").select("file", "doc_index", "start", (F.col("total") - F.col("start")).alias("n_tokens"), F.lit(False).alias("ended"))
-    return found.unionByName(tail)
+    heads = heads.select(
+        "file",
+        "block",
+        F.coalesce(F.sum("k").over(earlier), F.lit(0)).alias("base"),
+        F.coalesce(F.max("last").over(earlier) + 1, F.lit(0)).alias("open"),
+        (F.col("stop") == F.max("stop").over(Window.partitionBy("file"))).alias("closes"),
+    )
+    s = scanned.join(written(heads, "block-heads"), ["file", "block"])
+    begin = lambda i: F.when(i == 0, F.col("open")).otherwise(F.get("ends", i - 1) + 1)
+    found = F.transform("ends", lambda x, i: F.struct((F.col("base") + i).alias("doc_index"), begin(i).alias("start"), (x - begin(i)).alias("n_tokens"), F.lit(True).alias("ended")))
+    stop, open_ = F.col("first") + F.col("n"), F.coalesce(F.get("ends", F.size("ends") - 1) + 1, F.col("open"))
+    rest = F.struct((F.col("base") + F.size("ends")).alias("doc_index"), open_.alias("start"), (stop - open_).alias("n_tokens"), F.lit(False).alias("ended"))
+    rest = F.when(F.col("closes") & (open_ < stop), F.array(rest)).otherwise(F.filter(F.array(rest), lambda x: F.lit(False)))
+    return s.select("file", F.explode(F.concat(found, rest)).alias("d")).select("file", "d.*")
 
 
 def op10_token_counts(spark, sf_dir: str) -> DataFrame:
