@@ -41,8 +41,8 @@ from ._common import connected_components, written
 BATCH_TOKENS, RANGE_TOKENS = 500_000, 800_000
 #: Documents that hold a token of the frequent class, at least.
 FREQUENT = 32
-#: Documents of a signature that are compared with each other at once.
-BLOCK = 2048
+#: Documents of a signature that are compared with each other at once, and documents that one is verified against.
+BLOCK, PARTNERS = 2048, 1024
 BITS = 2048
 #: Place of a token that several documents of a batch hold; above any document's.
 MANY = 65535
@@ -279,27 +279,36 @@ def index(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5, frequent
 
 
 def _verify(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
-    """a, b of the pairs (a, b) whose sets are similar enough, by exact intersection of their tokens."""
+    """a, b of the distinct pairs (a, b) whose sets are similar enough, by exact intersection of their tokens.
+
+    The tokens of a are sent once to a task's PARTNERS of its partners, not once a pair;
+    an a with more partners is cut into as many parts as that makes.
+    """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, fresh = [], False  # sets of the a at hand (two rows of one doc_id are two)
         for batch in batches:
-            n1, n2 = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            ok = [
-                den * (s := len(np.intersect1d(_unpack(x.as_py()), _unpack(y.as_py()), assume_unique=True))) >= num * (p + q - s)
-                for x, y, p, q in zip(batch.column(4), batch.column(5), n1.tolist(), n2.tolist())
-            ]
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
-
-    # Written, the pairs' size is known before the join is planned: few pairs go to the tokens, not all tokens to the pairs.
+            ok = []
+            for i, (other, q, tokens) in enumerate(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), batch.column(4))):
+                tokens = _unpack(tokens.as_py())
+                if not other:  # sorted so that they come before their partners
+                    own = [*own, (q, tokens)] if fresh else [(q, tokens)]
+                elif any(den * min(n, q) >= num * max(n, q) and den * (s := len(np.intersect1d(x, tokens, assume_unique=True))) >= num * (n + q - s) for n, x in own):
+                    ok.append(i)
+                fresh = not other
+            yield batch.select([0, 2]).take(pa.array(ok, pa.int64())).rename_columns(["a", "b"])
+
+    # Written, the pairs' size is known before the joins are planned: few pairs go to the tokens, not all tokens to the pairs.
     pairs = written(pairs, "jaccard-pairs")
-
-    def side(x: str) -> DataFrame:
-        some = nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("tokens").alias(f"t_{x}"))
-        return some.join(pairs.select(x).distinct(), x, "left_semi")
-
-    rows = pairs.join(side("a"), "a").join(side("b"), "b")
-    rows = rows.where((F.lit(den) * F.least("n_a", "n_b")) >= (F.lit(num) * F.greatest("n_a", "n_b")))
-    return rows.select("a", "b", "n_a", "n_b", "t_a", "t_b").mapInArrow(check, "a long, b long")
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).alias("parts")).where("parts > 1")
+    pairs = pairs.join(written(many, "jaccard-parts"), "a", "left")
+    pairs = written(pairs.select("a", "b", F.pmod(F.xxhash64("b", F.lit(9)), F.coalesce("parts", F.lit(1))).alias("part")), "jaccard-dealt")
+    some = nodes.select("node", "n", "tokens")
+    own = pairs.select("a", "part").distinct().withColumns({"other": F.lit(False), "node": F.col("a")}).join(some, "node")
+    others = pairs.withColumns({"other": F.lit(True), "node": F.col("b")}).join(some, "node")
+    kinds = ("a", "part", "other", "node", "n", "tokens")
+    rows = own.select(*kinds).unionByName(others.select(*kinds)).repartition("a", "part").sortWithinPartitions("a", "part", "other")
+    return rows.select("a", "other", "node", "n", "tokens").mapInArrow(check, "a long, b long")
 
 
 def _compare(blocks: DataFrame, num: int, den: int) -> DataFrame:
@@ -367,20 +376,24 @@ def similar_components(documents: DataFrame, k: int = 5, num: int = 4, den: int
         F.count("*").alias("size"), F.min("node").alias("leader"),
         F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(2))).alias("y"),
     )
-    kept = named.where("size > 1").groupBy("size", "leader", "x", "y").agg(F.min("sig").alias("sig")).select("sig", "size", "leader")
-    posted = written(posted.join(kept, "sig"), "jaccard-posted")
+    kept = named.where("size > 1").groupBy("size", "leader", "x", "y").agg(F.min("sig").alias("sig")).select("sig", "leader")
+    posted = written(posted.join(written(kept, "jaccard-signatures"), "sig"), "jaccard-posted")
 
     led = posted.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = written(_verify(led, nodes, num, den), "jaccard-led")
     parts = connected_components(links)
     of = nodes.join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-    split = posted.join(of, "node")
-    open_ = split.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("sig")
+    split = written(posted.select("sig", "node").join(of, "node"), "jaccard-split")
+    # Signatures whose documents are in several components stay open: written, so that the join is planned by their size.
+    per = split.groupBy("sig", "component").agg(F.count("*").alias("c")).groupBy("sig")
+    open_ = per.agg(F.max(F.struct("c", "component")).alias("most"), F.sum("c").alias("size"), F.count("*").alias("k")).where("k > 1")
+    open_ = written(open_.select("sig", F.col("most.component").alias("top"), F.ceil(F.col("most.c") / BLOCK).alias("tops"), F.ceil((F.col("size") - F.col("most.c")) / BLOCK).alias("rests")), "jaccard-open")
     split = split.join(open_, "sig").join(nodes.select("node", "n", "m", "bits"), "node")
-    # Blocks of a signature's documents, each against itself and each other one.
-    count = F.ceil(F.col("size") / BLOCK)
-    own = F.pmod(F.xxhash64("node", F.lit(5)), count)
-    other = F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("other")
+    # Blocks of a signature's documents: those of its largest component meet the others only, the others meet all.
+    at = F.xxhash64("node", F.lit(5))
+    of_top = F.col("component") == F.col("top")
+    own = F.when(of_top, F.pmod(at, F.col("tops"))).otherwise(F.col("tops") + F.pmod(at, F.col("rests")))
+    other = F.explode(F.sequence(F.when(of_top, F.col("tops")).otherwise(0), F.col("tops") + F.col("rests") - 1)).alias("other")
     split = split.select("sig", "node", "component", "n", "m", "bits", own.alias("own"), other)
     blocks = split.select(
         F.xxhash64("sig", F.least("own", "other"), F.greatest("own", "other")).alias("key"), (F.col("own") != F.col("other")).alias("mixed"),

@@ -107,6 +107,34 @@ def test_jaccard_hot_shingle_is_one_entry_a_batch():
     assert own[0] < 0 and sorted(np.frombuffer(own[3], np.uint16).tolist()) == sorted(list(range(400)) * 50)
 
 
+def test_jaccard_hot_signatures(spark, monkeypatch):
+    """A line that every document holds, one large group of near copies, ids that two texts share; parts and blocks of few rows."""
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randrange(4000)}"
+    line, base = [word() for _ in range(20)], [word() for _ in range(40)]
+    rows = []
+    for i in range(150):
+        t = list(base if i % 3 == 0 else [word() for _ in range(4)])
+        if i % 3 == 0:
+            t[rng.randrange(len(t))] = word()
+        rows.append((i // 2 if i % 10 == 0 else i, " ".join(t + line)))
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", 4)
+    monkeypatch.setattr(ngram_jaccard, "PARTNERS", 3)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = by_text(tuple(r) for r in ngram_jaccard.similar_components(df, frequent=8).collect())
+    want = brute_components(rows)
+    low = {}  # sets of one doc_id are nodes of one component id
+    for (d, _), (_, _, c) in zip(rows, want):
+        low.setdefault(d, set()).add(c)
+    for _ in range(len(rows)):
+        for x in low.values():
+            for y in low.values():
+                if x & y and x != y:
+                    x |= y
+                    y |= x
+    assert got == by_text((d, n, min(low[d])) for d, n, _ in want)
+
+
 def test_prefix_signatures_lose_no_pair():
     rng = np.random.default_rng(0)
     for _ in range(300):
