@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +27,8 @@ def family_expand(genotypes: DataFrame, pedigree: DataFrame | None = None, regio
 
     genotypes: one row a (site, sample). Without a pedigree it has the family already.
     regions: only records that overlap one. The carriers' (site, family) pairs are
-    narrowed first, so the wide rows meet only them.
+    narrowed first, so the wide rows meet only them. Rows with a null in a site column
+    or without a family match none and go.
     """
     rows = genotypes if regions is None else region_semi_join(genotypes, regions, keys, region_keys)
     rows = rows if pedigree is None else with_family(rows, pedigree, sample, family)
@@ -44,8 +47,22 @@ def extra_samples(called: DataFrame, pedigree: DataFrame, sample: str = "sample"
     return pedigree.select(F.col("sample").alias(sample)).distinct().join(called.select(_q(sample).alias("_s")), _q(sample) == F.col("_s"), "left_anti")
 
 
+def _told(samples: DataFrame, sample: str) -> tuple[int, str]:
+    """How many samples, and the first 25 of them as text."""
+    first = [str(r[0]) for r in samples.orderBy(sample).limit(25).collect()]
+    n = samples.count() if len(first) == 25 else len(first)
+    return n, ", ".join(first) + (f" ... (+{n - 25} more)" if n > 25 else "")
+
+
 def require_known_samples(called: DataFrame, pedigree: DataFrame, sample: str = "sample") -> None:
-    """Raises with the first 25 called samples that the pedigree does not have."""
-    gone = missing_samples(called, pedigree, sample)
-    if first := [r[0] for r in gone.orderBy(sample).limit(25).collect()]:
-        raise ValueError(f"samples not in the pedigree: {', '.join(map(str, first))}")
+    """Raises with the number of called samples that the pedigree does not have and the first 25 of them."""
+    n, names = _told(missing_samples(called, pedigree, sample), sample)
+    if n:
+        raise ValueError(f"{n} samples not in the pedigree: {names}")
+
+
+def warn_of_extra_samples(called: DataFrame, pedigree: DataFrame, sample: str = "sample") -> None:
+    """Warns of the number of the pedigree's samples that were not called and the first 25 of them."""
+    n, names = _told(extra_samples(called, pedigree, sample), sample)
+    if n:
+        warnings.warn(f"{n} samples of the pedigree were not called: {names}", stacklevel=2)

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 KEYS = ("#CHROM", "POS0", "END")
 #: Bins of an interval at its level, about, before the next level takes it.
 FACTOR = 16
+#: Rows aimed at in a bin of a scan.
+BIN_ROWS = 2048
 
 
 def _q(name: str) -> Column:
@@ -90,21 +92,68 @@ def _attach(df: DataFrame, found: DataFrame, keys) -> DataFrame:
     return df.join(found, on, "left").drop(*mine.values())
 
 
+def _bin_width(df: DataFrame, chrom: str, pos: str) -> int:
+    """Width of bins of about BIN_ROWS rows, if rows are spread over the positions."""
+    per = df.groupBy(_q(chrom)).agg(F.count("*").alias("n"), (F.max(_q(pos)) - F.min(_q(pos)) + 1).alias("extent"))
+    n, extent = per.agg(F.sum("n"), F.sum("extent")).first()
+    return max(1, int(extent or 1) * BIN_ROWS // int(n or 1))
+
+
+def _overlap_sums(spans: DataFrame, regions: DataFrame, keys, right_keys, values: dict[str, Column]) -> DataFrame:
+    """keys, n, and the sum of each value over the overlapping regions, without a pair of them.
+
+    What overlaps [s, e) started before e and did not end up to s. So both are running
+    sums along a chromosome: of what starts, read at e, less what ends, read at s. The
+    scan is cut in bins with one row a bin carried on. values: whole numbers, exact.
+    """
+    c, s, e = keys
+    rc, rs, re = right_keys
+    good = regions.where((_q(re) > _q(rs)) & _q(rc).isNotNull()).withColumns({f"_w{i}": F.coalesce(v, F.lit(0)).cast("long") for i, v in enumerate(values.values())} | {"_w": F.lit(1).cast("long")})
+    weights = ["_w", *[f"_w{i}" for i in range(len(values))]]
+    # At equal positions: ends (0), then spans (1), then starts (2). Each side is read once.
+    at = lambda kind, pos: F.struct(F.lit(kind).alias("k"), pos.cast("long").alias("pos"))
+    both = lambda kinds: F.explode(F.array(*kinds)).alias("x")
+    none, zero = F.lit(None).cast("long"), [F.lit(0).cast("long").alias(w) for w in weights]
+    events = good.select(_q(rc).alias("c"), both([at(0, _q(re)), at(2, _q(rs))]), none.alias("s"), none.alias("e"), *weights)
+    asked = spans.where((_q(e) > _q(s)) & _q(c).isNotNull())
+    events = events.unionByName(asked.select(_q(c).alias("c"), both([at(1, _q(s)), at(1, _q(e))]), _q(s).cast("long").alias("s"), _q(e).cast("long").alias("e"), *zero))
+    width = _bin_width(good, rc, rs)
+    ends, starts = ([F.when(F.col("x.k") == k, F.col(w)).otherwise(0).alias(f"{w}{t}") for w in weights] for k, t in ((0, "e"), (2, "s")))
+    events = events.select("c", "x.pos", "x.k", "s", "e", F.floor(F.col("x.pos") / width).alias("bin"), *ends, *starts)
+    sums = [f"{w}{t}" for w in weights for t in "es"]
+    before = Window.partitionBy("c").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    carry = events.groupBy("c", "bin").agg(*[F.sum(x).alias(x) for x in sums]).select("c", "bin", *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"{x}_0") for x in sums])
+    along = Window.partitionBy("c", "bin").orderBy("pos", "k").rowsBetween(Window.unboundedPreceding, 0)
+    ran = events.select("*", *[F.sum(x).over(along).alias(f"{x}_r") for x in sums]).where("k = 1").join(carry, ["c", "bin"])
+    read = [(F.when(F.col("pos") == F.col("e"), F.col(f"{w}s_r") + F.col(f"{w}s_0")).otherwise(-F.col(f"{w}e_r") - F.col(f"{w}e_0"))).alias(w) for w in weights]
+    out = ran.select("c", "s", "e", *read).groupBy("c", "s", "e").agg(*[F.sum(w).alias(w) for w in weights])
+    return out.select(F.col("c").alias(c), F.col("s").alias(s), F.col("e").alias(e), F.col("_w").alias("n"), *[F.col(f"_w{i}").alias(name) for i, name in enumerate(values)])
+
+
 def overlap_mean(df: DataFrame, valued: DataFrame, values: dict[str, str], keys=KEYS, right_keys=("chrom", "start", "end")) -> DataFrame:
     """Adds, for each value column of valued, its mean over the overlapping intervals (null if none; nulls and NaN left out).
 
-    values: column of valued to output column.
+    values: column of valued to output column. Whole numbers are summed exactly by two
+    scans; of other numbers, differences of running sums would not be exact, so their
+    overlapping pairs are joined and averaged.
     """
+    kinds = dict(valued.select(*[_q(v) for v in values]).dtypes)
+    if all(k in ("tinyint", "smallint", "int", "bigint") for k in kinds.values()):
+        asked = {}
+        for i, v in enumerate(values):
+            asked |= {f"_sum{i}": _q(v), f"_n{i}": _q(v).isNotNull().cast("long")}
+        found = _overlap_sums(_spans(df, keys), valued, keys, right_keys, asked)
+        means = [F.when(F.col(f"_n{i}") > 0, F.col(f"_sum{i}").cast("double") / F.col(f"_n{i}")).alias(out) for i, out in enumerate(values.values())]
+        return _attach(df, found.select(*map(_q, keys), *means), keys)
     pairs = overlap_join(_spans(df, keys), valued.select(*map(_q, right_keys), *[_q(v).alias(f"_v{i}") for i, v in enumerate(values)]), keys, right_keys)
     means = [F.avg(F.nanvl(F.col(f"_v{i}").cast("double"), F.lit(None).cast("double"))).alias(out) for i, out in enumerate(values.values())]
     return _attach(df, pairs.groupBy(*map(_q, keys)).agg(*means), keys)
 
 
 def overlap_count(df: DataFrame, regions: DataFrame, out_col: str, keys=KEYS, right_keys=("chrom", "start", "end")) -> DataFrame:
-    """Adds the number of overlapping regions, 0 if none. Coordinates are counted once, whatever repeats them."""
-    pairs = overlap_join(_spans(df, keys), regions.select(*map(_q, right_keys)), keys, right_keys)
-    counted = pairs.groupBy(*map(_q, keys)).agg(F.count("*").alias(out_col))
-    return _attach(df, counted, keys).withColumn(out_col, F.coalesce(_q(out_col), F.lit(0).cast("long")))
+    """Adds the number of overlapping regions, 0 if none. Coordinates are counted once, whatever repeats them; no pair is made."""
+    counted = _overlap_sums(_spans(df, keys), regions, keys, right_keys, {}).withColumnRenamed("n", "_n")
+    return _attach(df, counted, keys).withColumn(out_col, F.coalesce("_n", F.lit(0).cast("long"))).drop("_n")
 
 
 def overlap_labels(df: DataFrame, features: DataFrame, label: str, out_col: str, keys=KEYS, right_keys=("chrom", "start", "end")) -> DataFrame:
@@ -126,14 +175,16 @@ def region_semi_join(records: DataFrame, regions: DataFrame, keys=KEYS, right_ke
     return records.join(hits, on, how).select(*map(_q, records.columns))
 
 
-def merge_intervals(df: DataFrame, keys=KEYS, min_dist: int = 1, bin_width: int = 1_000_000) -> DataFrame:
+def merge_intervals(df: DataFrame, keys=KEYS, min_dist: int = 1, bin_width: int | None = None) -> DataFrame:
     """Union of intervals whose gap is at most min_dist: keys only, disjoint.
 
     An island begins where start > the largest end before it + min_dist. The running
     maximum and the island numbers are scans over a chromosome: done within bins of
     start, with one row a bin carried from bin to bin, so a chromosome is many tasks.
+    bin_width: by default what makes bins of about BIN_ROWS rows.
     """
     c, s, e = keys
+    bin_width = bin_width or _bin_width(df, c, s)
     rows = _spans(df, keys).where((_q(e) > _q(s)) & _q(c).isNotNull()).select(_q(c).alias("c"), _q(s).alias("s"), _q(e).alias("e"))
     rows = rows.withColumn("bin", F.floor(F.col("s") / bin_width))
     before = Window.partitionBy("c").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -150,51 +201,69 @@ def merge_intervals(df: DataFrame, keys=KEYS, min_dist: int = 1, bin_width: int
     return merged.select(F.col("c").alias(c), F.col("s").alias(s), F.col("e").alias(e))
 
 
-def nearest_interval(df: DataFrame, genes: DataFrame, symbol: str = "symbol", keys=KEYS, right_keys=("chrom", "start", "end"), out_cols=("nearest_symbol", "nearest_distance"), bin_width: int = 1_000_000) -> DataFrame:
+def nearest_interval(df: DataFrame, genes: DataFrame, symbol: str = "symbol", keys=KEYS, right_keys=("chrom", "start", "end"), out_cols=("nearest_symbol", "nearest_distance"), bin_width: int | None = None) -> DataFrame:
     """Adds the nearest gene's symbol and its distance: the gap between the intervals, 0 if they overlap or touch.
 
     Ties go to the smaller (start, symbol); null where the chromosome has no gene. The
     best gene to the left and to the right are scans, done within bins with one row a
     bin carried on, as in :func:`merge_intervals`.
     """
+    bin_width = bin_width or _bin_width(df, keys[0], keys[1])
     spans = _spans(df, keys).where(_q(keys[2]) > _q(keys[1]))
     a = spans.select(*[_q(k).alias(n) for k, n in zip(keys, "cse")])
     g = genes.select(*[_q(k).alias(n) for k, n in zip(right_keys, ("gc", "gs", "ge"))], _q(symbol).cast("string").alias("name")).where("ge > gs")
     over = overlap_join(a, g, tuple("cse"), ("gc", "gs", "ge")).select("c", "s", "e", F.struct(F.lit(0).cast("long").alias("d"), "gs", "name").alias("best"))
 
-    def side(at_span: str, at_gene: str, better: Column, distance: Column, following: bool):
-        none = F.lit(None).cast("struct<o:bigint,gs:bigint,ge:bigint,name:string>")
-        rows = a.select("c", F.col(at_span).alias("pos"), "s", "e", none.alias("g"))
-        rows = rows.unionByName(g.select(F.col("gc").alias("c"), F.col(at_gene).alias("pos"), F.lit(None).cast("long").alias("s"), F.lit(None).cast("long").alias("e"), F.struct(better.cast("long").alias("o"), "gs", "ge", "name").alias("g")))
-        rows = rows.withColumn("bin", F.floor(F.col("pos") / bin_width))
-        # Running frames only: what follows is what precedes in descending order.
-        along = (lambda c: F.col(c).desc()) if following else F.col
-        bins = Window.partitionBy("c").orderBy(along("bin")).rowsBetween(Window.unboundedPreceding, -1)
-        order = rows.groupBy("c", "bin").agg(F.min("g").alias("g")).select("c", "bin", F.min("g").over(bins).alias("carry"))
-        # Equal positions belong together: a range, not rows.
-        within = Window.partitionBy("c", "bin").orderBy(along("pos")).rangeBetween(Window.unboundedPreceding, 0)
-        rows = rows.withColumn("own", F.min("g").over(within)).where("s is not null").join(order, ["c", "bin"])
-        rows = rows.withColumn("g", F.least("own", "carry")).where("g is not null")
-        return rows.select("c", "s", "e", F.struct(distance.alias("d"), F.col("g.gs").alias("gs"), F.col("g.name").alias("name")).alias("best"))
-
-    left = side("s", "ge", -F.col("ge"), F.col("s") - F.col("g.ge"), False)
-    right = side("e", "gs", F.col("gs"), F.col("g.gs") - F.col("e"), True)
-    best = over.unionByName(left).unionByName(right).groupBy("c", "s", "e").agg(F.min("best").alias("best"))
+    # Both sides in one scan: to the right, positions count backwards.
+    side = lambda right, key, *more: F.struct(F.lit(right).alias("right"), key.cast("long").alias("key"), *more)
+    gene = lambda o: F.struct(o.cast("long").alias("o"), F.col("gs").cast("long").alias("gs"), F.col("ge").cast("long").alias("ge"), "name").alias("g")
+    none, no = F.lit(None).cast("struct<o:bigint,gs:bigint,ge:bigint,name:string>"), F.lit(None).cast("long")
+    rows = a.select("c", F.explode(F.array(side(False, F.col("s"), none.alias("g")), side(True, -F.col("e"), none.alias("g")))).alias("x"), F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"))
+    ends = F.array(side(False, F.col("ge"), gene(-F.col("ge"))), side(True, -F.col("gs"), gene(F.col("gs"))))
+    rows = rows.unionByName(g.select(F.col("gc").alias("c"), F.explode(ends).alias("x"), no.alias("s"), no.alias("e")))
+    rows = rows.select("c", "x.right", "x.key", "x.g", "s", "e", F.floor(F.col("x.key") / bin_width).alias("bin"))
+    bins = Window.partitionBy("c", "right").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    carry = rows.groupBy("c", "right", "bin").agg(F.min("g").alias("g")).select("c", "right", "bin", F.min("g").over(bins).alias("carry"))
+    # Equal positions belong together: a range, not rows.
+    within = Window.partitionBy("c", "right", "bin").orderBy("key").rangeBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("own", F.min("g").over(within)).where("s is not null").join(carry, ["c", "right", "bin"])
+    rows = rows.withColumn("g", F.least("own", "carry")).where("g is not null")
+    distance = F.when(F.col("right"), F.col("g.gs") - F.col("e")).otherwise(F.col("s") - F.col("g.ge"))
+    beside = rows.select("c", "s", "e", F.struct(distance.alias("d"), F.col("g.gs").alias("gs"), F.col("g.name").alias("name")).alias("best"))
+    best = over.unionByName(beside).groupBy("c", "s", "e").agg(F.min("best").alias("best"))
     best = best.select(*[F.col(n).alias(k) for k, n in zip(keys, "cse")], F.col("best.name").alias(out_cols[0]), F.col("best.d").alias(out_cols[1]))
     return _attach(df, best, keys)
 
 
+def in_order(df: DataFrame, chrom: str, pos: str, ties=(), out_col: str = "place", bin_width: int | None = None) -> DataFrame:
+    """Adds a row's place, from 1, along its chromosome by position and ties.
+
+    Rows are numbered within bins of the position, which the counts of the bins before
+    are added to; so a chromosome is many tasks. A null position comes first, a null
+    chromosome is one of its own.
+    """
+    width = bin_width or _bin_width(df, chrom, pos)
+    rows = df.withColumn("_bin", F.floor(_q(pos) / width))
+    before = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(_q(chrom).alias("_c"), F.col("_bin").alias("_b")).agg(F.count("*").alias("_n"))
+    counts = counts.select("_c", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    within = Window.partitionBy(_q(chrom), "_bin").orderBy(_q(pos), *map(_q, ties))
+    rows = rows.withColumn("_row", F.row_number().over(within))
+    rows = rows.join(counts, _q(chrom).eqNullSafe(F.col("_c")) & F.col("_bin").eqNullSafe(F.col("_b")))
+    return rows.withColumn(out_col, F.col("_base") + F.col("_row")).drop("_bin", "_c", "_b", "_base", "_row")
+
+
 def chunk_numbers(regions: DataFrame, size: int, keys=("chrom", "start", "end"), out_col: str = "chunk") -> DataFrame:
     """Adds the chunk of size regions, from 0, that a region falls in along its chromosome (for reports)."""
-    order = Window.partitionBy(_q(keys[0])).orderBy(_q(keys[1]), _q(keys[2]))
-    return regions.withColumn(out_col, F.floor((F.row_number().over(order) - 1) / size).cast("long"))
+    placed = in_order(regions, keys[0], keys[1], keys[2:], "_place")
+    return placed.withColumn(out_col, F.floor((F.col("_place") - 1) / size).cast("long")).drop("_place")
 
 
 def normalize_chrom(df: DataFrame, contigs: DataFrame, chrom: str = "chrom", contig: str = "contig", out_col: str = "contig_name") -> DataFrame:
     """Adds the contig that a chromosome name means: itself, else with 'chr' before it, else without; null if none is known."""
     known = contigs.select(_q(contig).alias("_n")).where("_n is not null").distinct()
     name = _q(chrom)
-    forms = [name, F.concat(F.lit("chr"), name), F.when(name.startswith("chr"), F.substring(name, 4, 1 << 30))]
+    forms = [name, F.when(~name.startswith("chr"), F.concat(F.lit("chr"), name)), F.when(name.startswith("chr"), F.substring(name, 4, 1 << 30))]
     for i, form in enumerate(forms):
         df = df.join(known.withColumnRenamed("_n", f"_n{i}"), form == F.col(f"_n{i}"), "left")
     return df.withColumn(out_col, F.coalesce("_n0", "_n1", "_n2")).drop("_n0", "_n1", "_n2")

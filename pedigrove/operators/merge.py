@@ -53,15 +53,22 @@ def union_stages(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def stage_reconcile(regions: DataFrame, chunks: DataFrame, size: int, chrom: str = "chrom", chunk: str = "chunk", strict: bool = False) -> DataFrame:
-    """chrom, expected, found, agrees: chunks that ceil(regions / size) asks for and distinct ones that are there.
+def stage_reconcile(regions: DataFrame, stages: dict[str, DataFrame], size: int, chrom: str = "chrom", chunk: str = "chunk", strict: bool = False) -> DataFrame:
+    """chrom, expected, a column a stage, agrees: chunks that ceil(regions / size) asks for and distinct ones that each stage has.
 
-    Chromosomes of either side are listed. strict: raise, naming all that disagree.
+    Chromosomes of any side are listed. strict: raise with the number of all that
+    disagree, each stage's counts and the first 25 chromosomes.
     """
-    want = regions.groupBy(_q(chrom).alias("chrom")).agg(ceil_div(F.count("*"), size).alias("expected"))
-    have = chunks.groupBy(_q(chrom).alias("chrom")).agg(F.countDistinct(_q(chunk)).alias("found"))
-    out = want.join(have, "chrom", "full").select("chrom", F.coalesce("expected", F.lit(0)).alias("expected"), F.coalesce("found", F.lit(0)).alias("found"))
-    out = out.withColumn("agrees", F.col("expected") == F.col("found"))
-    if strict and (bad := out.where("not agrees").orderBy("chrom").limit(25).collect()):
-        raise ValueError("; ".join(f"{r.chrom}: {r.found} of {r.expected} chunks" for r in bad))
+    out = regions.groupBy(_q(chrom).alias("chrom")).agg(ceil_div(F.count("*"), size).alias("expected"))
+    for name, rows in stages.items():
+        out = out.join(rows.groupBy(_q(chrom).alias("chrom")).agg(F.countDistinct(_q(chunk)).alias(name)), "chrom", "full")
+    counts = ["expected", *stages]
+    out = out.select("chrom", *[F.coalesce(_q(c), F.lit(0)).cast("long").alias(c) for c in counts])
+    out = out.withColumn("agrees", reduce(lambda a, b: a & b, [F.col("expected") == _q(c) for c in stages], F.lit(True)))
+    if strict:
+        bad = out.where("not agrees")
+        if first := bad.orderBy("chrom").limit(25).collect():
+            n = bad.count() if len(first) == 25 else len(first)
+            told = "; ".join(f"{r.chrom}: " + ", ".join(f"{s} {r[s]}" for s in stages) + f" of {r.expected} chunks" for r in first)
+            raise ValueError(f"{n} chromosomes disagree: {told}" + (f" ... (+{n - 25} more)" if n > 25 else ""))
     return out

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import functions as fn
 from .. import operators as op
+from .. import sources
 from .mappings import view, with_views
 
 SITE = ("chrom", "pos0", "end_", "ref", "alt")
@@ -110,7 +110,11 @@ def chunk_numbers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stage_reconcile(spark: SparkSession, d: str) -> DataFrame:
-    return op.stage_reconcile(view(spark, d, "iv"), op.chunk_numbers(view(spark, d, "iv"), 100, IV), 100)
+    """Three stages' chunks against the regions; some of one chromosome's are missing from the second, all of another's from the third."""
+    regions = view(spark, d, "iv")
+    chunks = op.chunk_numbers(regions, 100, IV)
+    stages = {"scattered": chunks, "queried": chunks.where("not (chrom = 'A' and chunk % 7 = 3)"), "gathered": chunks.where("chrom <> 'N'")}
+    return op.stage_reconcile(regions, stages, 100)
 
 
 def chrom_normalize(spark: SparkSession, d: str) -> DataFrame:
@@ -119,9 +123,9 @@ def chrom_normalize(spark: SparkSession, d: str) -> DataFrame:
 
 def position_sort(spark: SparkSession, d: str) -> DataFrame:
     """The order of the rows as a column: each row's place on its chromosome."""
-    rows = op.position_sort(view(spark, d, "geno"), ("chrom", "pos0"), ("end_", "ref", "family", "sample", "gt", "ad"))
-    order = W.partitionBy("chrom").orderBy("pos0", "end_", "ref", "family", "sample", "gt", F.col("ad"))
-    return rows.withColumn("place", F.row_number().over(order))
+    ties = ("end_", "ref", "family", "sample", "gt", "ad")
+    rows = op.in_order(view(spark, d, "geno"), "chrom", "pos0", ties)
+    return op.position_sort(rows, ("chrom", "pos0"), ties)
 
 
 def chunk_union(spark: SparkSession, d: str) -> DataFrame:
@@ -146,13 +150,126 @@ def genotype_text(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("l_orderkey", "l_linenumber", fn.gt_text("call", "phased").alias("gt"), fn.format_text("call").alias("ad"), fn.first_text("call").alias("dp"))
 
 
+def _text(spark: SparkSession, rows: DataFrame, above: list[str], name: str) -> str:
+    """A text file's folder: the lines above in a file of their own, then a line a row."""
+    path = sources.new_path(spark, name)
+    head = spark.createDataFrame([(x,) for x in above], "value string").coalesce(1)
+    head.unionByName(rows.select("value")).write.text(path)
+    return path
+
+
+def vcf_read(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as sites and their lines as samples, written as a multi-sample VCF and read."""
+    names = [f"S{i}" for i in range(1, 8)]
+    wide = view(spark, d, "calls").groupBy("l_orderkey").pivot("l_linenumber", list(range(1, 8))).agg(F.max("call"))
+    chrom = F.concat(F.lit("chr"), (F.col("l_orderkey") % 3 + 1).cast("string"))
+    site = [chrom, F.col("l_orderkey").cast("string"), F.lit("."), F.lit("AT"), F.lit("A,ATT"), F.lit("."), F.lit("."), F.lit("."), F.lit("GT:AD:DP")]
+    lines = wide.select(F.concat_ws("\t", *site, *[F.coalesce(F.col(str(i)), F.lit("./.")) for i in range(1, 8)]).alias("value"))
+    header = ["##fileformat=VCFv4.2", "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *names])]
+    return sources.read_vcf(spark, _text(spark, lines, header, "vcf"))
+
+
+def bed_read(spark: SparkSession, d: str) -> DataFrame:
+    """Regions as a BED and back."""
+    path = sources.new_path(spark, "bed")
+    sources.write_bed(view(spark, d, "iv"), path, IV)
+    return sources.read_bed(spark, path)
+
+
+def bed_strict_read(spark: SparkSession, d: str) -> DataFrame:
+    """Regions among lines that the strict reader skips, chromosomes named as the contigs are."""
+    lines = view(spark, d, "iv").select(F.concat_ws("\t", "chrom", "start_", "end_", F.lit("more")).alias("value"))
+    path = _text(spark, lines, ["track name=x", "browser position", "# comment", "", " \t\t ", "X9\tno\tnumbers", "X9\t5\t2"], "bed")
+    contigs = spark.createDataFrame([("chrA",), ("N",), ("chrR",)], "contig string")
+    return sources.read_bed_strict(spark, path, contigs)
+
+
+def pedigree_read(spark: SparkSession, d: str) -> DataFrame:
+    """Families of customers among lines that the reader skips."""
+    lines = view(spark, d, "ped").select(F.concat("family", F.lit("\t "), "sample", F.lit(" 0 0\t")).alias("value"))
+    return sources.read_pedigree(spark, _text(spark, lines, ["FamID\tIID\tx", "#F1\tS1", "", "\t", "lonely"], "ped"))
+
+
+def tsv_read(spark: SparkSession, d: str) -> DataFrame:
+    path = sources.new_path(spark, "tsv")
+    sources.write_tsv(view(spark, d, "pk").withColumn("quoted", F.lit('"q')), path)
+    return sources.read_tsv(spark, path)
+
+
+def _genotypes(spark: SparkSession, d: str) -> DataFrame:
+    names = ["#CHROM", "POS0", "END", "POS", "REF", "ALT", "SAMPLE", "GT", "GQ", "DP", "AD", "FAMILY"]
+    return view(spark, d, "genotypes").toDF(*names)
+
+
+def genotype_tsv(spark: SparkSession, d: str) -> DataFrame:
+    """The long genotype table as text, '.' for what is absent, and back."""
+    path = sources.new_path(spark, "genotypes")
+    sources.write_tsv(_genotypes(spark, d), path)
+    return sources.read_genotypes(spark, path)
+
+
+def constraint_read(spark: SparkSession, d: str) -> DataFrame:
+    path = sources.new_path(spark, "constraint")
+    rows = view(spark, d, "cons").withColumnsRenamed({"pli": "lof.pLI", "oe": "lof.oe_ci.upper"}).withColumn("more", F.lit(1))
+    sources.write_tsv(rows, path, null="NA")
+    return sources.read_constraint(spark, path).withColumnsRenamed({"lof.pLI": "pli", "lof.oe_ci.upper": "oe"})
+
+
+def posterior_read(spark: SparkSession, d: str) -> DataFrame:
+    path = sources.new_path(spark, "posterior")
+    sources.write_tsv(view(spark, d, "post").withColumn("more", F.lit("x")), path)
+    return sources.read_gene_posterior(spark, path)
+
+
+def windows_read(spark: SparkSession, d: str) -> DataFrame:
+    """Valued windows from compressed text with further columns."""
+    path = sources.new_path(spark, "windows")
+    rows = view(spark, d, "rg").select("chrom", F.col("start_").alias("start"), F.col("end_").alias("end"), F.lit(0).alias("more"), F.col("z").cast("double").alias("z"), (F.col("z") / 8).alias("oe"))
+    sources.write_tsv(rows, path, compression="gzip")
+    return sources.read_valued_intervals(spark, path)
+
+
+def sorted_table(spark: SparkSession, d: str) -> DataFrame:
+    """The position-sorted table, read back by chromosome; a chromosome 1 stays text."""
+    path = sources.new_path(spark, "final")
+    sources.write_sorted(_genotypes(spark, d), path)
+    return sources.read_stage(spark, path, ["1", "2", "3"])
+
+
+def stage_paths(spark: SparkSession, d: str) -> DataFrame:
+    """One table a chromosome, written as stages and read as one from a list and a pattern."""
+    folder, rows = sources.new_path(spark, "stages"), _genotypes(spark, d)
+    paths = sources.input_paths("1, 2,3", folder + "/{chrom}/genotypes")
+    for chrom, path in paths.items():
+        sources.write_stage(rows.where(F.col("`#CHROM`") == chrom), path)
+    return spark.read.parquet(*paths.values())
+
+
+def clean_columns(spark: SparkSession, d: str) -> DataFrame:
+    rows = view(spark, d, "info").withColumnsRenamed({"info": "(null)", "alt": "CSQALT", "allele_num": "CSQALLELE_NUM"})
+    rows = op.clean_annotation_columns(rows)
+    op.require_columns(rows, ("INFO", "ALT", "ALLELE_NUM"))
+    return rows
+
+
+def optional_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Alleles resolved from genotypes without ALT and AD."""
+    return op.resolve_alleles(family_expand(spark, d).drop("alt", "ad"), SITE, "family", "sample", "gt", "alt", "ad")
+
+
+def first_missing(spark: SparkSession, d: str) -> DataFrame:
+    """What the error about missing samples names: the first 25."""
+    return missing_samples(spark, d).orderBy("sample").limit(25)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         family_expand, resolve_alleles, info_per_allele, interval_overlap, overlap_count, overlap_mean, overlap_labels, merge_intervals,
         region_semi_join, nearest_interval, gene_constraint, transcript_lookup, gene_posterior, exact_lookup, impact_filter, severity_filter,
         packed_split, merge_annotations, missing_samples, extra_samples, chunk_numbers, stage_reconcile, chrom_normalize, position_sort,
-        chunk_union, drop_genotypes, family_region_expand, genotype_text,
+        chunk_union, drop_genotypes, family_region_expand, genotype_text, vcf_read, bed_read, bed_strict_read, pedigree_read, tsv_read, genotype_tsv,
+        constraint_read, posterior_read, windows_read, sorted_table, stage_paths, clean_columns, optional_columns, first_missing,
     )
 }
 
@@ -213,10 +330,13 @@ JOIN ann a ON a.chrom = r.chrom AND a.pos0 = r.pos0 AND a.end_ = r.end_ AND a.re
     "missing_samples": with_views("called", "ped") + " SELECT sample FROM called EXCEPT SELECT sample FROM ped",
     "extra_samples": with_views("called", "ped") + " SELECT sample FROM ped EXCEPT SELECT sample FROM called",
     "chunk_numbers": with_views("iv") + " SELECT *, CAST((row_number() OVER (PARTITION BY chrom ORDER BY start_, end_) - 1) // 50 AS BIGINT) chunk FROM iv",
-    "stage_reconcile": with_views("iv") + " SELECT chrom, CAST(ceil(count(*) / 100.0) AS BIGINT) expected, CAST(ceil(count(*) / 100.0) AS BIGINT) found, true agrees FROM iv GROUP BY chrom",
-    "chrom_normalize": with_views("chroms", "contigs") + """ SELECT n_nationkey, chrom, coalesce((SELECT contig FROM contigs WHERE contig = chrom), (SELECT contig FROM contigs WHERE contig = 'chr' || chrom),
+    "stage_reconcile": with_views("iv") + """, k AS (SELECT chrom, (row_number() OVER (PARTITION BY chrom ORDER BY start_, end_) - 1) // 100 k FROM iv),
+c AS (SELECT chrom, CAST(ceil(count(*) / 100.0) AS BIGINT) expected, count(DISTINCT k) scattered, count(DISTINCT k) FILTER (WHERE NOT (chrom = 'A' AND k % 7 = 3)) queried,
+  count(DISTINCT k) FILTER (WHERE chrom <> 'N') gathered FROM k GROUP BY chrom)
+SELECT *, expected = scattered AND expected = queried AND expected = gathered agrees FROM c""",
+    "chrom_normalize": with_views("chroms", "contigs") + """ SELECT o_orderkey, chrom, coalesce((SELECT contig FROM contigs WHERE contig = chrom), (SELECT contig FROM contigs WHERE contig = 'chr' || chrom),
   (SELECT contig FROM contigs WHERE chrom LIKE 'chr%' AND contig = substr(chrom, 4))) contig_name FROM chroms""",
-    "position_sort": with_views("geno") + " SELECT *, CAST(row_number() OVER (PARTITION BY chrom ORDER BY pos0, end_, ref, family, sample, gt, ad) AS INTEGER) place FROM geno",
+    "position_sort": with_views("geno") + " SELECT *, CAST(row_number() OVER (PARTITION BY chrom ORDER BY pos0, end_, ref, family, sample, gt, ad) AS BIGINT) place FROM geno",
     "chunk_union": with_views("geno") + " SELECT * FROM geno",
     "drop_genotypes": with_views("geno") + " SELECT chrom, pos0, end_, ref, alt FROM geno",
     "family_region_expand": with_views("geno") + """, reg AS (SELECT DISTINCT concat('chr', CAST(o_orderkey % 3 + 1 AS VARCHAR)) chrom, o_orderkey s, o_orderkey + 2 e FROM orders),
@@ -226,4 +346,23 @@ SELECT chrom, pos0, sample, gt, family FROM kept g WHERE EXISTS (
     "genotype_text": """
 SELECT l_orderkey, l_linenumber, concat(CASE WHEN l_linenumber % 3 = 0 THEN '.' ELSE CAST(l_linenumber % 3 - 1 AS VARCHAR) END, CASE WHEN l_orderkey % 2 = 0 THEN '|' ELSE '/' END, CAST(l_linenumber % 2 AS VARCHAR)) gt,
   concat(CAST(l_linenumber % 3 - 1 AS VARCHAR), ',', CAST(l_linenumber % 2 AS VARCHAR)) ad, CAST(l_linenumber % 3 - 1 AS VARCHAR) dp FROM lineitem""",
+    "vcf_read": with_views("calls") + """, site AS (SELECT DISTINCT l_orderkey o FROM calls),
+c AS (SELECT o, k, string_split(coalesce(call, './.'), ':') p FROM site CROSS JOIN range(1, 8) t(k) LEFT JOIN calls ON l_orderkey = o AND l_linenumber = k)
+SELECT concat('chr', CAST(o % 3 + 1 AS VARCHAR)) "#CHROM", o - 1 "POS0", o + 1 "END", o "POS", 'AT' "REF", 'A,ATT' "ALT", concat('S', CAST(k AS VARCHAR)) "SAMPLE",
+  p[1] "GT", '.' "GQ", coalesce(p[3], '.') "DP", coalesce(p[2], '.') "AD" FROM c""",
+    "bed_read": with_views("iv") + ' SELECT chrom, start_ "start", end_ "end" FROM iv',
+    "bed_strict_read": with_views("iv") + """ SELECT CASE chrom WHEN 'N' THEN 'N' ELSE 'chr' || chrom END chrom, start_ "start", end_ "end" FROM iv""",
+    "pedigree_read": with_views("ped") + " SELECT DISTINCT family, sample FROM ped",
+    "tsv_read": with_views("pk") + """ SELECT CAST(p_partkey AS VARCHAR) p_partkey, csq, '"q' quoted FROM pk""",
+    "genotype_tsv": with_views("geno", "genotypes") + """ SELECT chrom "#CHROM", pos0 "POS0", end0 "END", pos "POS", ref "REF", alt "ALT", sample "SAMPLE", gt "GT", gq "GQ", dp "DP", coalesce(ad, '.') "AD", family "FAMILY" FROM genotypes""",
+    "constraint_read": with_views("cons") + " SELECT * FROM cons",
+    "posterior_read": with_views("post") + " SELECT * FROM post",
+    "windows_read": with_views("rg") + ' SELECT chrom, start_ "start", end_ "end", CAST(z AS DOUBLE) z, z / 8.0e0 oe FROM rg',
+    "sorted_table": with_views("geno", "genotypes") + """ SELECT chrom "#CHROM", pos0 "POS0", end0 "END", pos "POS", ref "REF", alt "ALT", sample "SAMPLE", gt "GT", gq "GQ", dp "DP", ad "AD", family "FAMILY" FROM genotypes""",
+    "stage_paths": with_views("geno", "genotypes") + """ SELECT chrom "#CHROM", pos0 "POS0", end0 "END", pos "POS", ref "REF", alt "ALT", sample "SAMPLE", gt "GT", gq "GQ", dp "DP", ad "AD", family "FAMILY" FROM genotypes""",
+    "clean_columns": with_views("info") + ' SELECT l_orderkey, l_linenumber, info "INFO", alt "ALT", allele_num "ALLELE_NUM" FROM info',
+    "optional_columns": with_views("geno") + _RESOLVED + """
+SELECT chrom, pos0, end_, ref, sample, family, gt, allele_num, CAST(NULL AS VARCHAR) AS "ALT_specific", carrier, CAST(NULL AS VARCHAR) AS "AD_ref", CAST(NULL AS VARCHAR) AS "AD_alt",
+  sample_is_multiallelic_het, family_has_multiallelic_het, alleles_in_gt, is_missing_gt FROM resolved""",
+    "first_missing": with_views("called", "ped") + " SELECT sample FROM (SELECT sample FROM called EXCEPT SELECT sample FROM ped) ORDER BY sample LIMIT 25",
 }

@@ -37,7 +37,12 @@ select l_orderkey, l_linenumber, concat('AC=', cast(l_linenumber as varchar(9)),
   'C,G' alt, cast(l_linenumber % 4 as varchar(3)) allele_num from {lineitem}""",
     "pk": "select p_partkey, concat(p_brand, '|', p_type, '|||', p_brand, ',X|', p_name, '|') csq from {part}",
     "contigs": "select 'chr1' contig union all select '2' union all select 'chr4'",
-    "chroms": "select n_nationkey, case n_nationkey % 3 when 0 then concat('chr', cast(n_nationkey as varchar(9))) else cast(n_nationkey as varchar(9)) end chrom from {nation}",
+    "chroms": "select o_orderkey, case o_orderkey % 3 when 0 then concat('chr', cast(o_custkey % 9 as varchar(9))) else cast(o_custkey % 9 as varchar(9)) end chrom from {orders}",
+    "calls": """
+select l_orderkey, l_linenumber, max(concat(case (l_orderkey * 7 + l_linenumber) % 5 when 0 then '0/1' when 1 then '1|2' when 2 then './1' else '0/0' end,
+  ':', cast(l_linenumber as varchar(9)), ',', cast(l_orderkey % 9 as varchar(9)), ',1:', cast(l_partkey as varchar(9)))) call from {lineitem} group by l_orderkey, l_linenumber""",
+    "genotypes": """
+select substr(chrom, 4, 9) chrom, pos0, end_ end0, pos0 + 1 pos, ref, alt, sample, gt, '99' gq, cast(pos0 % 40 as varchar(9)) dp, case when ad = '.' then null else ad end ad, family from geno""",
     "ranks": """
 select 'intron_variant' term, 1 rank union all select 'synonymous_variant', 2 union all select 'splice_region_variant', 3
   union all select 'missense_variant', 4 union all select 'frameshift_variant', 5 union all select 'stop_gained', 6""",
@@ -50,6 +55,8 @@ select concat('Brand#', cast(p_size as varchar(9))) ensg, cast(count(*) as bigin
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql = VIEWS[name]
+    if name == "genotypes":
+        sql = f"with geno as ({VIEWS['geno']}) {sql}"
     return spark.sql(sql, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if f"{{{t}}}" in sql})
 
 

@@ -45,9 +45,13 @@ def run_annotation(spark: SparkSession, variants: DataFrame, resources: Resource
     sources.write_stage(op.merge_intervals(sources.read_stage(spark, f"{out}/consequential")), f"{out}/consequential_regions")
 
 
-def run_families(spark: SparkSession, genotypes: DataFrame, pedigree: DataFrame, regions: DataFrame, out: str) -> None:
-    """Checks the samples, then writes out/families (expanded) and out/resolved."""
-    op.require_known_samples(genotypes.withColumnRenamed("SAMPLE", "sample"), pedigree)
+def run_families(spark: SparkSession, genotypes: DataFrame, pedigree: DataFrame, regions: DataFrame, out: str, chunk_size: int = 1000) -> None:
+    """Checks the samples, then writes out/chunks (regions, numbered), out/families (expanded) and out/resolved."""
+    called = genotypes.select(genotypes["SAMPLE"].alias("sample")).distinct()
+    op.require_known_samples(called, pedigree)
+    op.warn_of_extra_samples(called, pedigree)
+    sources.write_stage(op.chunk_numbers(regions, chunk_size, INTERVAL), f"{out}/chunks")
+    op.stage_reconcile(regions, {"chunks": sources.read_stage(spark, f"{out}/chunks")}, chunk_size, INTERVAL[0], strict=True)
     sources.write_stage(op.family_expand(genotypes, pedigree, regions, region_keys=INTERVAL), f"{out}/families")
     sources.write_stage(op.resolve_alleles(sources.read_stage(spark, f"{out}/families")), f"{out}/resolved")
 

@@ -14,9 +14,10 @@ from .readers import (
     read_vcf,
     vcf_header,
 )
+from .scratch import new_path, shared_dir
 from .writers import write_bed, write_sorted, write_stage, write_tsv
 
 __all__ = [
-    "input_paths", "read_bed", "read_bed_strict", "read_constraint", "read_gene_posterior", "read_genotypes", "read_pedigree", "read_stage",
-    "read_tsv", "read_valued_intervals", "read_vcf", "vcf_header", "write_bed", "write_sorted", "write_stage", "write_tsv",
+    "input_paths", "new_path", "read_bed", "read_bed_strict", "read_constraint", "read_gene_posterior", "read_genotypes", "read_pedigree", "read_stage",
+    "read_tsv", "read_valued_intervals", "read_vcf", "shared_dir", "vcf_header", "write_bed", "write_sorted", "write_stage", "write_tsv",
 ]

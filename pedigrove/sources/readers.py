@@ -14,6 +14,14 @@ from ..schemas import CONSTRAINT, GENE_POSTERIOR, GENOTYPES, VALUED_INTERVALS
 FAMILY_NAMES = ("fam", "famid", "family", "familyid")
 SAMPLE_NAMES = ("iid", "sample", "sampleid")
 
+#: A sorted table's folders: a column that is always text, so that a chromosome 1 is not read as a number.
+FOLDER, FOLDER_NAME = "_chromosome", "chrom-"
+
+
+def _strip(text):
+    """Without white space of any kind at the ends."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
 
 def _strings(spark: SparkSession, path, **options) -> DataFrame:
     # No quote character: text is taken as it stands.
@@ -61,34 +69,34 @@ def read_bed(spark: SparkSession, path) -> DataFrame:
 def read_bed_strict(spark: SparkSession, path, contigs: DataFrame | None = None, contig: str = "contig") -> DataFrame:
     """Intervals with every line checked, chromosomes as the contigs name them.
 
-    Blank lines, comments, track and browser lines are skipped. Fewer than three columns,
-    no whole number or end <= start are errors, as is a file that leaves nothing; lines
-    of a contig that is not known are left out with a warning.
+    Blank lines, comments, track and browser lines are skipped. Fewer than three columns
+    are an error; lines of a contig that is not known are left out with a warning,
+    whatever their numbers; of the others, no whole number or end <= start are errors,
+    as is a file that leaves nothing.
     """
     from ..operators.intervals import normalize_chrom
 
-    text = F.trim("value")
-    lines = spark.read.text(path).where((text != "") & ~text.startswith("#") & ~text.startswith("track") & ~text.startswith("browser"))
+    text = F.col("value")
+    lines = spark.read.text(path).where((_strip(text) != "") & ~text.startswith("#") & ~text.startswith("track") & ~text.startswith("browser"))
     part = F.split(F.col("value"), "\t")
     rows = lines.select(F.size(part).alias("n"), F.get(part, F.lit(0)).alias("chrom"), F.get(part, F.lit(1)).try_cast("long").alias("start"), F.get(part, F.lit(2)).try_cast("long").alias("end"))
-    bad = F.when(F.col("n") < 3, "columns").when(F.col("start").isNull() | F.col("end").isNull(), "numbers").when(F.col("end") <= F.col("start"), "order")
-    rows = rows.withColumn("bad", bad)
     if contigs is not None:
         rows = normalize_chrom(rows, contigs, "chrom", contig, "named")
     else:
         rows = rows.withColumn("named", F.col("chrom"))
+    bad = F.when(F.col("n") < 3, "columns").when(F.col("named").isNull(), "contig").when(F.col("start").isNull() | F.col("end").isNull(), "numbers")
+    rows = rows.withColumn("bad", bad.when(F.col("end") <= F.col("start"), "order"))
     found = rows.agg(
-        *[F.count_if(F.coalesce(F.col("bad") == b, F.lit(False))).alias(b) for b in ("columns", "numbers", "order")],
-        F.count_if(F.col("bad").isNull() & F.col("named").isNull()).alias("unknown"),
-        F.count_if(F.col("bad").isNull() & F.col("named").isNotNull()).alias("usable"),
+        *[F.count_if(F.coalesce(F.col("bad") == b, F.lit(False))).alias(b) for b in ("columns", "contig", "numbers", "order")],
+        F.count_if(F.col("bad").isNull()).alias("usable"),
     ).first()
     if found["columns"] or found["numbers"] or found["order"]:
         raise ValueError(f"regions: {found['columns']} lines with fewer than 3 columns, {found['numbers']} without whole numbers, {found['order']} with end <= start")
+    if found["contig"]:
+        warnings.warn(f"{found['contig']} regions on unknown contigs were left out", stacklevel=2)
     if not found["usable"]:
         raise ValueError("no usable regions")
-    if found["unknown"]:
-        warnings.warn(f"{found['unknown']} regions on unknown contigs were left out", stacklevel=2)
-    return rows.where("named is not null").select(F.col("named").alias("chrom"), "start", "end")
+    return rows.where("bad is null").select(F.col("named").alias("chrom"), "start", "end")
 
 
 def read_pedigree(spark: SparkSession, path, keep: str = "error") -> DataFrame:
@@ -97,9 +105,9 @@ def read_pedigree(spark: SparkSession, path, keep: str = "error") -> DataFrame:
     Blank lines, comments, lines of one column and a header row (both names known) are
     skipped. A sample in two families is an error; keep='last' takes the later line.
     """
-    lines = spark.read.text(path).select(F.trim(F.col("value")).alias("value"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(path).where(~F.col("value").startswith("#")).select(_strip(F.col("value")).alias("value"), F.monotonically_increasing_id().alias("line"))
     part = F.split("value", r"\s+")
-    rows = lines.where((F.col("value") != "") & ~F.col("value").startswith("#")).where(F.size(part) >= 2)
+    rows = lines.where(F.size(part) >= 2)
     rows = rows.select(part[0].alias("family"), part[1].alias("sample"), "line")
     rows = rows.where(~(F.lower("family").isin(*FAMILY_NAMES) & F.lower("sample").isin(*SAMPLE_NAMES)))
     if keep == "last":
@@ -156,8 +164,15 @@ def input_paths(chroms: str, pattern: str) -> dict[str, str]:
 
 
 def read_stage(spark: SparkSession, path: str, chroms: list[str] | None = None, chrom: str = "#CHROM") -> DataFrame:
-    """A stage's Parquet table, of some chromosomes only if asked (partitions are pruned)."""
+    """A stage's Parquet table, of some chromosomes only if asked (folders of a sorted table are pruned).
+
+    Columns have the types that they were written with.
+    """
     df = spark.read.parquet(path)
-    return df if chroms is None else df.where(F.col(f"`{chrom}`").isin(*chroms))
+    if chroms is not None:
+        df = df.where(F.col(f"`{chrom}`").isin(*chroms))
+        if FOLDER in df.columns:
+            df = df.where(F.col(FOLDER).isin(*[f"{FOLDER_NAME}{c}" for c in chroms]))
+    return df.drop(FOLDER)
 
 

@@ -115,6 +115,31 @@ def test_nearest_equals_brute_force(spark):
         assert (r.nearest_distance, r.nearest_symbol) == ((best[0], best[2]) if best else (None, None))
 
 
+@pytest.mark.parametrize("rows_a_bin", [1, 3, 2048])
+def test_counts_and_means_by_scan(spark, monkeypatch, rows_a_bin):
+    """Whole numbers by running sums in bins of few rows against all pairs; touching ends, equal spans, nulls, long regions."""
+    import random
+
+    from pedigrove.operators import intervals as iv
+
+    monkeypatch.setattr(iv, "BIN_ROWS", rows_a_bin)
+    rng = random.Random(4)
+    spans = [(rng.choice("ab"), s := rng.randrange(300), s + rng.randrange(0, 12)) for _ in range(120)] + [("c", 1, 2), ("a", 0, 400)]
+    regions = [(rng.choice("ab"), s := rng.randrange(300), s + rng.randrange(0, 20), rng.choice([None, 3, -7, 10])) for _ in range(150)] + [("a", 0, 300, 5), ("b", 10, 250, None), (None, 1, 5, 1)]
+    left, right = intervals(spark, spans), intervals(spark, regions, "chrom string, start long, end long, z long")
+    k = ("chrom", "start", "end")
+    over = lambda r: [g for g in regions if g[0] == r[0] and r[1] < g[2] and g[1] < r[2] and r[2] > r[1] and g[2] > g[1]]
+    got = op.overlap_mean(op.overlap_count(left, right, "n", k), right, {"z": "m"}, k).collect()
+    assert len(got) == len(spans)
+    for r in got:
+        z = [g[3] for g in over(r) if g[3] is not None]
+        assert r.n == len(over(r)) and r.m == (sum(z) / len(z) if z else None)
+    places = op.in_order(left, "chrom", "start", ("end",)).collect()
+    for c in "abc":
+        mine = sorted((r.place, r.start, r.end) for r in places if r.chrom == c)
+        assert [p for p, *_ in mine] == list(range(1, len(mine) + 1)) and [x[1:] for x in mine] == sorted(x[1:] for x in mine)
+
+
 def test_region_semi_join_modes(spark):
     k = ("chrom", "start", "end")
     v, rg = intervals(spark, [("1", 5, 30), ("1", 50, 51)]), intervals(spark, [("1", 0, 10), ("1", 20, 40)])
@@ -149,13 +174,19 @@ def test_clean_names_and_clash(spark):
 def test_samples_and_reconcile(spark):
     called, ped = spark.createDataFrame([("a",), ("b",)], "sample string"), spark.createDataFrame([("F", "b"), ("F", "c")], "family string, sample string")
     assert [r.sample for r in op.missing_samples(called, ped).collect()] == ["a"] and [r.sample for r in op.extra_samples(called, ped).collect()] == ["c"]
-    with pytest.raises(ValueError, match="a"):
+    with pytest.raises(ValueError, match="1 samples not in the pedigree: a$"):
         op.require_known_samples(called, ped)
+    with pytest.warns(UserWarning, match="1 samples of the pedigree were not called: c$"):
+        op.warn_of_extra_samples(called, ped)
+    with pytest.raises(ValueError, match=r"30 samples .*: s10, .* s34 \.\.\. \(\+5 more\)"):
+        op.require_known_samples(spark.createDataFrame([(f"s{i}",) for i in range(10, 40)], "sample string"), ped)
     regions = intervals(spark, [("1", i, i + 1) for i in range(5)])
     chunks = op.chunk_numbers(regions, 2)
-    assert op.stage_reconcile(regions, chunks, 2).first().agrees
-    with pytest.raises(ValueError):
-        op.stage_reconcile(regions, chunks.where("chunk < 2"), 2, strict=True)
+    assert op.stage_reconcile(regions, {"x": chunks, "y": chunks}, 2, strict=True).first().agrees
+    with pytest.raises(ValueError, match="1 chromosomes disagree: 1: x 3, y 2 of 3 chunks"):
+        op.stage_reconcile(regions, {"x": chunks, "y": chunks.where("chunk < 2")}, 2, strict=True)
+    other = intervals(spark, [("9", 1, 2)]).withColumn("chunk", F.lit(0))
+    assert [tuple(r) for r in op.stage_reconcile(regions, {"x": other}, 2).orderBy("chrom").collect()] == [("1", 3, 0, False), ("9", 0, 1, False)]
 
 
 def test_text_of_calls(spark):

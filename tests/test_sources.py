@@ -14,6 +14,9 @@ def test_bed_strict(spark, tmp_path):
     ok = put(tmp_path / "a.bed", "track x\nbrowser y\n#c\n\n1\t0\t5\nchr2\t3\t4\nchr9\t1\t2\n")
     with pytest.warns(UserWarning):
         assert sorted(tuple(r) for r in sources.read_bed_strict(spark, ok, contigs).collect()) == [("2", 3, 4), ("chr1", 0, 5)]
+    unknown_first = put(tmp_path / "u.bed", " \t\t\nchr9\tno\tnumber\nchr9\t5\t2\n1\t0\t5\n")
+    with pytest.warns(UserWarning, match="2 regions"):
+        assert [tuple(r) for r in sources.read_bed_strict(spark, unknown_first, contigs).collect()] == [("chr1", 0, 5)]
     for i, bad in enumerate(("1\t0\n", "1\ta\t5\n", "1\t5\t5\n", "#only\n")):
         with pytest.raises(ValueError):
             sources.read_bed_strict(spark, put(tmp_path / f"b{i}.bed", bad), contigs)
@@ -22,6 +25,8 @@ def test_bed_strict(spark, tmp_path):
 def test_pedigree(spark, tmp_path):
     path = put(tmp_path / "p.ped", "FAM IID x\n#c\n\nF1 S1 0\nF1\tS2\nlonely\nF2 S3\n")
     assert sorted(tuple(r) for r in sources.read_pedigree(spark, path).collect()) == [("F1", "S1"), ("F1", "S2"), ("F2", "S3")]
+    blank = put(tmp_path / "r.ped", "F1 S1\n\t\n\tF2 S2\t\n \n")
+    assert sorted(tuple(r) for r in sources.read_pedigree(spark, blank).collect()) == [("F1", "S1"), ("F2", "S2")]
     twice = put(tmp_path / "q.ped", "F1 S1\nF2 S1\n")
     with pytest.raises(ValueError):
         sources.read_pedigree(spark, twice)
@@ -57,4 +62,9 @@ def test_whole_run(spark, tmp_path):
     sources.write_bed(regions, str(tmp_path / "bed"))
     assert sources.read_bed(spark, str(tmp_path / "bed")).first().end == 100
     assert sources.read_stage(spark, str(tmp_path / "out" / "final"), ["chr1"]).count() == 3
+    rows = [("1", 5, 7, "b"), ("1", 5, 6, "z"), ("1", 5, 6, "a"), ("10", 1, 2, "a"), ("2", 9, 10, "a"), (None, 1, 2, "a")]
+    sources.write_sorted(spark.createDataFrame(rows, "`#CHROM` string, POS0 long, END long, REF string"), str(tmp_path / "sorted"), partitions=1)
+    back = sources.read_stage(spark, str(tmp_path / "sorted"))
+    assert back.schema["#CHROM"].dataType.simpleString() == "string" and sorted(map(str, map(tuple, back.collect()))) == sorted(map(str, rows))
+    assert [tuple(r) for r in sources.read_stage(spark, str(tmp_path / "sorted"), ["1"]).collect()] == sorted(r for r in rows if r[0] == "1")
     assert sources.input_paths("chr1, chr2", "x/{chrom}.vcf") == {"chr1": "x/chr1.vcf", "chr2": "x/chr2.vcf"}
