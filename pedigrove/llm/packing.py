@@ -13,8 +13,6 @@ from pyspark.sql import DataFrame
 from ._tokens import encode, ranks_path
 
 LENGTH = 2048
-#: Partly filled windows that a task holds at most; beyond it their pieces are cut anew into full ones.
-MAX_OPEN = 4096
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -26,14 +24,15 @@ class Packer:
     the level h (0: a new window) that makes the sum of squared counts least: it takes a
     window from h and puts one at h + s, which changes the sum by
     2 * (counts[h + s] - counts[h]) + 2; a window that becomes full no longer counts.
-    Ties go to the fullest level.
+    Ties go to the fullest level. Windows stay open until they are full: what is held is
+    the ids of the task's own rows in them, four bytes a token, which the size of an
+    input split bounds.
     """
 
-    def __init__(self, length: int, base: int, max_open: int = MAX_OPEN):
-        self.length, self.next_id, self.max_open = length, base, max_open
+    def __init__(self, length: int, base: int):
+        self.length, self.next_id = length, base
         self.counts = np.zeros(length + 1, np.int64)
         self.windows: list[list[list[tuple]]] = [[] for _ in range(length + 1)]
-        self.open = 0
         self.done: list[tuple] = []
 
     def close(self, pieces: list[tuple]) -> None:
@@ -62,7 +61,6 @@ class Packer:
         if level:
             window = self.windows[level].pop()
             self.counts[level] -= 1
-            self.open -= 1
         else:
             window = []
         window.append(piece)
@@ -71,26 +69,20 @@ class Packer:
             return
         self.windows[level + size].append(window)
         self.counts[level + size] += 1
-        self.open += 1
-        if self.open > self.max_open:
-            self.recut(last=False)
 
     def add(self, doc_id, ids: np.ndarray) -> None:
         ids, total = np.ascontiguousarray(ids, "<u4"), len(ids)
         for start in range(0, total, self.length):
             self.place((doc_id, start, ids[start : start + self.length], total))
 
-    def recut(self, last: bool) -> None:
-        """Pieces of all open windows, fullest first, cut into full windows; the rest stays open, or is cut at powers of two."""
+    def recut(self) -> None:
+        """In the end, pieces of all open windows, fullest first, cut anew into full windows and the last tokens into powers of two."""
         pieces = [p for level in reversed(self.windows) for window in level for p in window]
         self.windows = [[] for _ in range(self.length + 1)]
         self.counts[:] = 0
-        self.open = 0
         left = sum(len(p[2]) for p in pieces)
         window: list[tuple] = []
         room = goal = min(self.length, 1 << left.bit_length() - 1) if left else 0
-        if not last and left < self.length:
-            goal = room = self.length
         for doc_id, start, ids, total in pieces:
             while len(ids):
                 part, ids = ids[:room], ids[room:]
@@ -99,12 +91,7 @@ class Packer:
                 if not room:
                     self.close(window)
                     window, left = [], left - goal
-                    if left:
-                        room = goal = min(self.length, 1 << left.bit_length() - 1) if last or left >= self.length else self.length
-        if window:
-            level = self.length - room
-            self.windows[level].append(window)
-            self.counts[level], self.open = 1, 1
+                    room = goal = min(self.length, 1 << left.bit_length() - 1) if left else 0
 
     def take(self) -> list[tuple]:
         done, self.done = self.done, []
@@ -138,7 +125,7 @@ def pack(documents: DataFrame, length: int = LENGTH, end_id: int = 1, tokenizer:
                 packer.add(doc_id, np.concatenate([encode(text.as_py(), path, True), end]))
                 if len(packer.done) >= 20_000:
                     yield rows()
-        packer.recut(last=True)
+        packer.recut()
         if packer.done:
             yield rows()
 
