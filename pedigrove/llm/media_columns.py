@@ -15,9 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._common import in_batches
 from ._html import BLOCK, Reader, attributes, decode
 
 #: Bytes of an image row.
@@ -130,12 +131,16 @@ def sequence(html: str | None) -> list[dict]:
 
 
 def parse_sequences(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """key, parts: every page as an interleaved sequence (null or empty html: no parts)."""
+    """key, parts: every page as an interleaved sequence.
+
+    Null or empty html, or a page without text and media: no parts. Repeated rows and
+    null keys are rows like others; an empty table gives no rows; other columns are ignored.
+    """
     kind = pages.schema[key].dataType.simpleString()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = pa.struct([("position", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("ref", pa.string()), ("caption", pa.string())])
-        for batch in batches:
+        for batch in in_batches(batches):
             parts = [sequence(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts, pa.list_(part))], names=["key", "parts"])
 
@@ -150,7 +155,7 @@ def store_payloads(payloads: DataFrame) -> DataFrame:
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_batches(batches):
             raw = list(dict.fromkeys(x or b"" for x in batch.column(0).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -169,7 +174,7 @@ def read_back(media: DataFrame) -> DataFrame:
     """What the stored bytes hold: digest, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_batches(batches):
             rows = []
             for stored in batch.column(2).to_pylist():
                 samples = load(stored)
@@ -187,18 +192,33 @@ def read_back(media: DataFrame) -> DataFrame:
 
 
 def resolve(sequences: DataFrame, media: DataFrame, key: str = "page_id") -> DataFrame:
-    """One row a media part: key, position, caption and the columns of media by digest (null where no payload is known)."""
+    """One row a media part: key, position, caption and the columns of media by digest.
+
+    They are null where no payload is known, or the reference is to another scheme. A
+    page that shows a payload twice, or is there twice, has a row each time; a page without media has
+    none. media: one row a digest, as :func:`store_payloads` gives it.
+    """
     refs = sequences.select(key, F.explode("parts").alias("part")).where("part.kind = 'media'")
     refs = refs.select(key, "part.position", "part.caption", F.when(F.col("part.ref").startswith(SCHEME), F.substring("part.ref", len(SCHEME) + 1, 64)).alias("digest"))
     return refs.join(media, "digest", "left")
 
 
+def shown(payload_digest: Column, text: Column, caption: Column) -> Column:
+    """HTML of a page that tells a text line by line and, in the middle of the lines, shows a payload in a figure."""
+    plain = F.coalesce(text, F.lit(""))
+    for sign, reference in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        plain = F.replace(plain, F.lit(sign), F.lit(reference))
+    lines = F.split(plain, "\n")
+    half = F.floor(F.size(lines) / 2).cast("int")
+    told = lambda x: F.concat(F.lit("<p>"), F.array_join(x, "</p><p>"), F.lit("</p>"))
+    figure = F.concat(F.lit(f"<figure><img src='{SCHEME}"), payload_digest, F.lit("'><figcaption>"), caption, F.lit("</figcaption></figure>"))
+    return F.concat(F.lit("<article>"), told(F.slice(lines, 1, half)), figure, told(F.slice(lines, half + 1, F.size(lines) - half)), F.lit("</article>"))
+
+
 def op7_media_columns(spark, sf_dir: str) -> DataFrame:
-    """Each document's text as the payload of a page that shows it in a figure captioned with its id."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("payload"))
-    html = F.concat(
-        F.lit("<article><figure><img src='" + SCHEME), F.sha2("payload", 256), F.lit("'><figcaption>"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit("</figcaption></figure></article>")
-    )
+    """Each document as a page of its lines, amid which it shows its own text's payload, captioned with its id."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("payload"))
+    html = shown(F.sha2("payload", 256), F.col("text"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none")))
     parts = parse_sequences(docs.select("doc_id", html.alias("html")), "doc_id")
     found = resolve(parts, read_back(store_payloads(docs)), "doc_id")
     return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption")
