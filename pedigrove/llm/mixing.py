@@ -134,7 +134,8 @@ def mix(documents: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float =
 
     A document's size is its number of words (null or empty text: 0, taken 0 times).
     Rows that agree in doc_id, source and text are one unit and share the decision;
-    null ids and null sources are values of their own. No row is dropped here: rows
+    null ids and null sources are values of their own. The unit's key is a 64-bit hash of
+    them; of some billions of rows a few would share a decision by chance, no more. No row is dropped here: rows
     with copies = 0 are those the mix leaves out. An empty table gives an empty one.
     """
     d = documents.drop("size", "source_size", "target", "copies", "_k", "_s", "_base", "_unit", "_copies").withColumn("size", word_count(F.col("text")))
@@ -144,7 +145,7 @@ def mix(documents: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float =
     per = written(targets(units.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "mix-targets")
     at = per.select(F.col("source").alias("_s"), "source_size", "target")
     units = units.join(at, F.col("source").eqNullSafe(F.col("_s"))).where("size > 0")
-    rate = F.col("target") / F.col("source_size")
+    rate = F.try_divide("target", "source_size")  # null for a source without words
     units = units.select("source", F.col("_k").alias("k"), "size", F.floor(rate).alias("base"), (rate - F.floor(rate)).alias("p"))
     rounded = pivotal_round(units.select("source", "k", "size", "p"), seed=seed)
     base = per.select(F.col("source").alias("_s"), "source_size", "target", F.when(F.col("source_size") > 0, F.floor(rate)).otherwise(0).cast("int").alias("_base"))
