@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ._common import in_batches
 from ._labels import labelled_sample, scored
 
 FOLDS, HELD_OUT = 4, 2
@@ -182,7 +183,7 @@ def score_quality(documents: DataFrame, model: AdditiveModel) -> DataFrame:
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_batches(batches):
             x = np.array([features(t.as_py()) for t in batch.column(1)]).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(x))], names=["doc_id", "score"])
 
@@ -190,11 +191,18 @@ def score_quality(documents: DataFrame, model: AdditiveModel) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, model: AdditiveModel, threshold: float = 0.7) -> DataFrame:
-    """documents without the rows that score under the threshold; all columns stay."""
+    """documents without the rows that score under the threshold; all columns stay.
+
+    Null and empty texts have the score of all-zero features and mostly go; repeated
+    rows stay or go together; null ids are ids like others; an empty table gives an
+    empty one. Where there are not both labels to learn from, nothing can be told and all rows stay.
+    """
+    if not model.tables:
+        return documents
     columns = documents.columns
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_batches(batches):
             x = np.array([features(t.as_py()) for t in batch.column(columns.index("text"))]).reshape(-1, len(FEATURES))
             yield batch.filter(pa.array(model.score(x) >= threshold))
 

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ._common import in_batches
 from ._labels import labelled_sample, scored
 
 FOLDS, HELD_OUT = 3, 1
@@ -217,23 +218,24 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel) -> DataFrame:
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.score(part.column(1).to_pylist()))], names=["doc_id", "score"])
+        for part in in_batches(batches):
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.score(part.column(1).to_pylist()))], names=["doc_id", "score"])
 
     return scored(documents.select("doc_id", "text").mapInArrow(task, "doc_id long, score double"), FOLDS, HELD_OUT)
 
 
 def drop_toxic(documents: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
-    """documents without the rows that score at the threshold or more; all columns stay."""
+    """documents without the rows that score at the threshold or more; all columns stay.
+
+    Null and empty texts score next to 0 and stay; repeated rows stay or go together;
+    null ids are ids like others; an empty table gives an empty one. Where there is no
+    label to learn from, every score is 0.5 and all rows stay.
+    """
     text = documents.columns.index("text")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                yield part.filter(pa.array(model.score(part.column(text).to_pylist()) < threshold))
+        for part in in_batches(batches):
+            yield part.filter(pa.array(model.score(part.column(text).to_pylist()) < threshold))
 
     return documents.mapInArrow(task, documents.schema)
 

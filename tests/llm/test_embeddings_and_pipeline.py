@@ -98,3 +98,24 @@ def test_pipeline(spark):
     assert ids(kept["mixing"]) <= ids(kept["near_duplicates"]) and ids(kept["packing"]) == ids(kept["mixing"])
     rows = c.run(spark, DATA)
     assert rows.columns == kept["packing"].columns and rows.count() > 0
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Null, empty and repeated rows, null ids, columns that are not the documents' own, an empty table: through all stages."""
+    import corpus_pipeline as c
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(40)
+    odd = [(None, "a text without an id, repeated", "en", "s", 30), (None, "a text without an id, repeated", "en", "s", 30), (-1, None, None, None, None), (-2, "", "en", None, 0), (-3, "x y", None, "t", 3), (-3, "x y", None, "t", 3)]
+    rows = docs.select(c.COLUMNS).unionByName(spark.createDataFrame(odd, "doc_id long, text string, lang string, source string, n_chars int").withColumn("n_chars", F.col("n_chars").cast(docs.schema["n_chars"].dataType)))
+    rows = rows.withColumns({n: F.lit("mine") for n in ("size", "score", "node", "component", "target", "copies", "_k")})
+    for name, table in (("full", rows), ("empty", rows.limit(0))):
+        folder = str(tmp_path / name)
+        table.write.parquet(f"{folder}/documents.parquet")
+        spark.read.parquet(f"{DATA}/labels.parquet").write.parquet(f"{folder}/labels.parquet")
+        stage = table
+        for what, f in c.STAGES:
+            before, stage = stage, f(spark, stage, folder)
+            if what in ("toxicity", "quality", "near_duplicates"):
+                assert set(map(str, stage.collect())) <= set(map(str, before.select(c.COLUMNS).collect()))
+        assert c.run(spark, folder).isEmpty() == (name == "empty")

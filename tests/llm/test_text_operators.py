@@ -164,35 +164,48 @@ def test_components(spark):
 
 
 def check_packing(rows, docs, length=packing.LENGTH):
+    """Each id in exactly one piece, whatever rows share an id; sequences gapless, full or at a power of two."""
     import public_tokenizers
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    ids = collections.Counter()
-    pieces, windows = collections.defaultdict(list), collections.defaultdict(list)
+    texts, covered = collections.Counter(), {}
+    for doc_id, text in docs:
+        texts[doc_id, tuple(plain.encode(text or "", add_special_tokens=False).ids + [1])] += 1
+    for doc_id, t in texts:
+        covered[doc_id, t] = np.zeros(len(t), int)
+    of = collections.defaultdict(list)
+    for doc_id, t in texts:
+        of[doc_id].append(t)
+    windows = collections.defaultdict(list)
     for r in rows:
-        pieces[r.doc_id].append(r)
         windows[r.sequence_id].append((r.offset, r.length))
-    for doc_id, text in docs:
-        t = plain.encode(text or "", add_special_tokens=False).ids + [1]
-        ids[doc_id, zlib.crc32(np.array(t, "<u4").tobytes())] += 1
-        for r in pieces[doc_id]:
-            if r.doc_tokens == len(t) and r.start == 0 and r.length == len(t):
-                assert (doc_id, r.ids_crc32) in ids or docs.count((doc_id, text)) < sum(d == doc_id for d, _ in docs)
+        fits = [t for t in of[r.doc_id] if len(t) == r.doc_tokens and zlib.crc32(np.array(t[r.start : r.start + r.length], "<u4").tobytes()) == r.ids_crc32]
+        assert len(fits) == 1 and r.length > 0
+        covered[r.doc_id, fits[0]][r.start : r.start + r.length] += 1
+    for key, times in texts.items():
+        assert (covered[key] == times).all()
     for v in windows.values():
         at = 0
         for offset, n in sorted(v):
-            assert offset == at and n > 0
+            assert offset == at
             at += n
         assert at == length or at & (at - 1) == 0
-    unique = {d: t for d, t in docs if sum(x == d for x, _ in docs) == 1}
-    for doc_id, text in unique.items():
-        t, at = plain.encode(text or "", add_special_tokens=False).ids + [1], 0
-        for r in sorted(pieces[doc_id], key=lambda r: r.start):
-            assert r.start == at and r.doc_tokens == len(t)
-            assert r.ids_crc32 == zlib.crc32(np.array(t[at : at + r.length], "<u4").tobytes())
-            at += r.length
-        assert at == len(t)
+
+
+def test_ids_are_those_of_the_json_tokenizer():
+    """Random strings of odd characters, long runs and special strings: the ranks' encoder against the JSON file's tokenizer."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from pedigrove.llm._tokens import encode, ranks_path
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(9)
+    signs = ["a", "b", " ", "  ", "\n", "\t", "é", "ß", "中", "😀", "\u200d", "\x00", "'s", "1", "23", "...", "\u0301", "\xa0", "<|endoftext|>", "x" * 50, " " * 40, "don't"]
+    for _ in range(4000):
+        t = "".join(rng.choice(signs) for _ in range(rng.randrange(1, 30)))
+        assert encode(t, ranks_path(), True).tolist() == plain.encode(t, add_special_tokens=False).ids, repr(t)
 
 
 def test_packing(spark, odd):
@@ -218,18 +231,19 @@ def test_packer_levels():
             costs[h] = int((c**2).sum())
         assert costs[p.level_for(size)] == min(costs.values())
         p.add(i, np.arange(size, dtype=np.uint32))
-    p.recut(last=True)
+    p.recut()
     assert sum(x[2] for x in p.take()) > 0 and not p.counts.any()
 
 
-def test_recut_bounds_open_windows():
-    p = packing.Packer(64, 0, max_open=8)
-    for i in range(200):
-        p.add(i, np.arange(33, dtype=np.uint32))
-        assert p.open <= 8
-    p.recut(last=True)
+def test_windows_that_no_piece_fits_are_cut_anew_in_the_end():
+    """12,000 documents of just over half a window: each opens one, and nothing is padded in the end."""
+    p = packing.Packer(2048, 0)
+    for i in range(12_000):
+        p.add(i, np.zeros(1100, np.uint32))
+    assert p.counts[1100] == 12_000 and not p.done
+    p.recut()
     done = p.take()
-    assert sum(x[2] for x in done) == 200 * 33 and len({x[5] for x in done}) <= 200 * 33 // 64 + 7
+    assert sum(x[2] for x in done) == 12_000 * 1100 and len({x[5] for x in done}) <= 12_000 * 1100 // 2048 + 12
 
 
 def test_token_counts(spark, odd, tmp_path):
@@ -309,6 +323,9 @@ def test_mixing(spark, odd):
         assert by_text(map(str, rows)) == by_text(map(str, again))
         assert mixing.repeat_rows(mixing.mix(df)).count() == sum(r.copies for r in rows)
     assert mixing.mix(odd.limit(0)).isEmpty()
+    wordless = spark.createDataFrame([(1, "", "a"), (2, None, None), (3, "x y", "b")], "doc_id long, text string, source string")
+    got = {r.doc_id: (r["size"], r.target, r.copies) for r in mixing.mix(wordless).collect()}
+    assert got[1] == got[2] == (0, 0.0, 0) and got[3][:2] == (2, 3.0) and got[3][2] in (1, 2)
 
 
 def test_pivotal_rounding_is_fair_and_exact(spark):
@@ -450,7 +467,35 @@ def test_media(spark, odd):
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(pad), hashlib.sha256(pad).hexdigest(), zlib.crc32(pad[-16:]))
         stored = media_columns.store(pad)
         assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest()) and media_columns.load(stored).tobytes() == pad
-    assert len(queries.QUERIES["op7_media_columns"](spark, DATA).collect()) == spark.read.parquet(f"{DATA}/documents.parquet").count()
+    assert media_columns.read_back(media_columns.store_payloads(odd.limit(0).selectExpr("cast(text as binary) payload"))).isEmpty()
+
+
+def test_media_query(spark):
+    """Every row of the query against Python's own way: payload, stored form, place amid the text's lines, caption."""
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    got = queries.QUERIES["op7_media_columns"](spark, DATA).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        raw = docs[r.doc_id].encode()
+        pad = raw.ljust(max(1, -(-len(raw) // 192)) * 192)
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(pad), hashlib.sha256(pad).hexdigest(), zlib.crc32(pad[-16:]))
+        stored = media_columns.store(pad)
+        assert (r.media_bytes, r.media_sha256, r.feature) == (len(stored), hashlib.sha256(stored).hexdigest(), media_columns.feature(np.frombuffer(pad, np.uint8)))
+        lines = docs[r.doc_id].split("\n")
+        assert r.position == sum(bool(x.split()) for x in lines[: len(lines) // 2]) and r.caption == str(r.doc_id)
+    assert len({r.position for r in got}) > 3
+
+
+def test_shown_pages_keep_the_text(spark):
+    """The text parts of the query's pages are the text's lines, signs of HTML and all."""
+    from pyspark.sql import functions as F
+
+    texts = ["a <b> & c\n\nd", "", None, "one line", "&amp; <p>x</p>\n</article>\nz"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pages = df.select("doc_id", media_columns.shown(F.sha2(F.lit("x"), 256), F.col("text"), F.col("doc_id").cast("string")).alias("html"))
+    for r in media_columns.parse_sequences(pages, "doc_id").collect():
+        assert [p.text for p in r.parts if p.kind == "text"] == [x for x in (texts[r.doc_id] or "").split("\n") if x]
+        assert [p.position for p in r.parts] == list(range(len(r.parts))) and sum(p.kind == "media" for p in r.parts) == 1
 
 
 def test_media_sequence_stays_aligned(spark):
@@ -482,7 +527,8 @@ def test_quality(spark, odd):
     rows = quality.score_quality(odd, model).collect()
     assert len(rows) == len(ODD) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
     assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
-    assert set(quality.keep_good(odd, model).columns) == set(odd.columns)
+    assert quality.keep_good(odd, model).columns == odd.columns and quality.score_quality(odd.limit(0), model).isEmpty() and quality.keep_good(odd.limit(0), model).isEmpty()
+    assert quality.keep_good(odd, quality.train(docs, labels.limit(0))).count() == len(ODD)
     assert quality.train(docs, labels.limit(0)).score(np.zeros((1, len(quality.FEATURES))))[0] == 0.5
 
 
@@ -498,6 +544,30 @@ def test_toxicity(spark, odd):
     long = model.score(["the and " * 5000 + "idiot"])[0]
     assert long == model.score(["the and idiot"])[0] > 0.7
     assert toxicity.train(docs, labels.limit(0)).score(["x"])[0] == 0.5
+    assert toxicity.score_toxicity(odd.limit(0), model).isEmpty() and toxicity.drop_toxic(odd, model).columns == odd.columns
+    scored = toxicity.score_toxicity(docs, toxicity.train(docs, labels))  # as the query learns
+    held = scored.where("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
+    hit = sum(r.predicted and r.toxic for r in held)
+    assert hit / sum(r.toxic for r in held) > 0.85 and hit / sum(r.predicted for r in held) > 0.9
+
+
+def test_sample_is_bounded_by_ids(spark):
+    """Rows that share an id count once, a null text is empty, at most so many ids a class."""
+    from pedigrove.llm._labels import in_fold, labelled_sample
+
+    docs = spark.createDataFrame([(i % 50, f"t{i}") for i in range(500)] + [(3, None), (None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)] + [(None, 1), (7, 1)], "doc_id long, toxic int")
+    rows = labelled_sample(docs, labels, "toxic", 10, 3, 1).collect()
+    assert len(rows) == len({r.doc_id for r in rows}) == 20 and sum(r.y for r in rows) == 10 and all(r.text is not None for r in rows)
+    assert not {r.doc_id for r in rows} & {r.doc_id for r in docs.where(in_fold("doc_id", 3, 1)).collect()}
+
+
+def test_registered_classifiers_cover_every_row(spark):
+    docs = {r.doc_id for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    for name, folds, fold in (("op3_quality", 4, 2), ("op5_toxicity", 3, 1)):
+        rows = queries.QUERIES[name](spark, DATA).collect()
+        assert {r.doc_id for r in rows} == docs and len(rows) == len(docs)
+        assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % folds == fold) for r in rows)
 
 
 def test_toxicity_learns_from_every_word():
