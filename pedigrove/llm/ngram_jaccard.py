@@ -42,7 +42,7 @@ BATCH_TOKENS, RANGE_TOKENS = 500_000, 800_000
 #: Documents that hold a token of the frequent class, at least.
 FREQUENT = 32
 #: Documents of a signature that are compared with each other at once, and documents that one is verified against.
-BLOCK, PARTNERS = 1024, 1024
+BLOCK, PARTNERS = 1024, 128
 BITS = 2048
 #: Place of a token that several documents of a batch hold; above any document's.
 MANY = 65535
