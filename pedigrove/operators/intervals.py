@@ -204,34 +204,38 @@ def merge_intervals(df: DataFrame, keys=KEYS, min_dist: int = 1, bin_width: int
 def nearest_interval(df: DataFrame, genes: DataFrame, symbol: str = "symbol", keys=KEYS, right_keys=("chrom", "start", "end"), out_cols=("nearest_symbol", "nearest_distance"), bin_width: int | None = None) -> DataFrame:
     """Adds the nearest gene's symbol and its distance: the gap between the intervals, 0 if they overlap or touch.
 
-    Ties go to the smaller (start, symbol); null where the chromosome has no gene. The
-    best gene to the left and to the right are scans, done within bins with one row a
-    bin carried on, as in :func:`merge_intervals`.
+    Ties go to the smaller (start, symbol); null where the chromosome has no gene. What
+    ends up to s lies to the left: the best is that with the largest end. Of what ends
+    beyond s, the smallest start is best: it overlaps if it lies before e, and if it does
+    not, nothing overlaps and it is the nearest to the right. So both are scans along the
+    ends, with no pair made, done within bins with one row a bin carried on from either
+    side, as in :func:`merge_intervals`. bin_width: by default what makes bins of about
+    BIN_ROWS rows.
     """
-    bin_width = bin_width or _bin_width(df, keys[0], keys[1])
-    spans = _spans(df, keys).where(_q(keys[2]) > _q(keys[1]))
-    a = spans.select(*[_q(k).alias(n) for k, n in zip(keys, "cse")])
-    g = genes.select(*[_q(k).alias(n) for k, n in zip(right_keys, ("gc", "gs", "ge"))], _q(symbol).cast("string").alias("name")).where("ge > gs")
-    over = overlap_join(a, g, tuple("cse"), ("gc", "gs", "ge")).select("c", "s", "e", F.struct(F.lit(0).cast("long").alias("d"), "gs", "name").alias("best"))
-
-    # Both sides in one scan: to the right, positions count backwards.
-    side = lambda right, key, *more: F.struct(F.lit(right).alias("right"), key.cast("long").alias("key"), *more)
-    gene = lambda o: F.struct(o.cast("long").alias("o"), F.col("gs").cast("long").alias("gs"), F.col("ge").cast("long").alias("ge"), "name").alias("g")
-    none, no = F.lit(None).cast("struct<o:bigint,gs:bigint,ge:bigint,name:string>"), F.lit(None).cast("long")
-    rows = a.select("c", F.explode(F.array(side(False, F.col("s"), none.alias("g")), side(True, -F.col("e"), none.alias("g")))).alias("x"), F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"))
-    ends = F.array(side(False, F.col("ge"), gene(-F.col("ge"))), side(True, -F.col("gs"), gene(F.col("gs"))))
-    rows = rows.unionByName(g.select(F.col("gc").alias("c"), F.explode(ends).alias("x"), no.alias("s"), no.alias("e")))
-    rows = rows.select("c", "x.right", "x.key", "x.g", "s", "e", F.floor(F.col("x.key") / bin_width).alias("bin"))
-    bins = Window.partitionBy("c", "right").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    carry = rows.groupBy("c", "right", "bin").agg(F.min("g").alias("g")).select("c", "right", "bin", F.min("g").over(bins).alias("carry"))
-    # Equal positions belong together: a range, not rows.
-    within = Window.partitionBy("c", "right", "bin").orderBy("key").rangeBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("own", F.min("g").over(within)).where("s is not null").join(carry, ["c", "right", "bin"])
-    rows = rows.withColumn("g", F.least("own", "carry")).where("g is not null")
-    distance = F.when(F.col("right"), F.col("g.gs") - F.col("e")).otherwise(F.col("s") - F.col("g.ge"))
-    beside = rows.select("c", "s", "e", F.struct(distance.alias("d"), F.col("g.gs").alias("gs"), F.col("g.name").alias("name")).alias("best"))
-    best = over.unionByName(beside).groupBy("c", "s", "e").agg(F.min("best").alias("best"))
-    best = best.select(*[F.col(n).alias(k) for k, n in zip(keys, "cse")], F.col("best.name").alias(out_cols[0]), F.col("best.d").alias(out_cols[1]))
+    whole = lambda name: F.col(name).cast("long").alias(name)
+    a = df.select(*[_q(k).alias(n) for k, n in zip(keys, "cse")]).where("e > s and c is not null").select("c", whole("s"), whole("e"))
+    g = genes.select(*[_q(k).alias(n) for k, n in zip(right_keys, ("c", "gs", "ge"))], _q(symbol).cast("string").alias("name")).where("ge > gs and c is not null")
+    g = g.select("c", whole("gs"), whole("ge"), "name")
+    no = F.lit(None).cast("long")
+    places = a.select("c", F.col("s").alias("key")).unionByName(g.select("c", F.col("ge").alias("key")))
+    bin_width = bin_width or _bin_width(places, "c", "key")
+    by_end, by_start = F.struct((-F.col("ge")).alias("o"), "gs", "name"), F.struct("gs", "name")
+    rows = a.distinct().select("c", F.col("s").alias("key"), "s", "e", F.lit(None).cast("struct<o:bigint,gs:bigint,name:string>").alias("l"), F.lit(None).cast("struct<gs:bigint,name:string>").alias("r"))
+    rows = rows.unionByName(g.select("c", F.col("ge").alias("key"), no.alias("s"), no.alias("e"), by_end.alias("l"), by_start.alias("r")))
+    rows = rows.withColumn("bin", F.floor(F.col("key") / bin_width))
+    past = lambda order: Window.partitionBy("c").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    carry = rows.groupBy("c", "bin").agg(F.min("l").alias("l"), F.min("r").alias("r"))
+    carry = carry.select("c", "bin", F.min("l").over(past(F.col("bin"))).alias("l_0"), F.min("r").over(past(F.col("bin").desc())).alias("r_0"))
+    # Ranges of positions, not rows: ends up to s, and ends from s + 1 on.
+    within = Window.partitionBy("c", "bin")
+    rows = rows.withColumn("l", F.min("l").over(within.orderBy("key").rangeBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("r", F.min("r").over(within.orderBy(F.col("key").desc()).rangeBetween(Window.unboundedPreceding, -1)))
+    rows = rows.where("s is not null").join(carry, ["c", "bin"])
+    rows = rows.select("c", "s", "e", F.least("l", "l_0").alias("l"), F.least("r", "r_0").alias("r"))
+    beside = lambda g, d: F.when(F.col(g).isNotNull(), F.struct(d.alias("d"), F.col(f"{g}.gs").alias("gs"), F.col(f"{g}.name").alias("name")))
+    best = F.least(beside("l", F.col("s") + F.col("l.o")), beside("r", F.greatest(F.col("r.gs") - F.col("e"), F.lit(0).cast("long"))))
+    best = rows.select(*[F.col(n).alias(k) for k, n in zip(keys, "cse")], best.alias("best"))
+    best = best.select(*map(_q, keys), F.col("best.name").alias(out_cols[0]), F.col("best.d").alias(out_cols[1]))
     return _attach(df, best, keys)
 
 

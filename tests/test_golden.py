@@ -103,15 +103,23 @@ def test_overlap_join_equals_plain_join(spark):
         assert sorted(((r[0], r[1], r[2]), (r[3], r[4], r[5])) for r in got.collect()) == want
 
 
-def test_nearest_equals_brute_force(spark):
+@pytest.mark.parametrize("width", [1, 50, None])
+def test_nearest_equals_brute_force(spark, width):
+    """Short and long genes, touching and repeated ones, equal spans; nulls and empty intervals have no neighbour and are none."""
     import random
 
     rng = random.Random(2)
     genes = [("1", s := rng.randrange(2000), s + rng.randrange(1, 40), f"g{i % 9}") for i in range(40)]
-    spans = [("1", s := rng.randrange(2100), s + rng.randrange(1, 9)) for _ in range(80)] + [("2", 1, 2)]
-    got = op.nearest_interval(intervals(spark, spans), intervals(spark, genes, "chrom string, start long, end long, symbol string"), keys=("chrom", "start", "end"), bin_width=50)
-    for r in got.collect():
-        best = min(((max(g[1] - r.end, r.start - g[2], 0), g[1], g[3]) for g in genes if g[0] == r.chrom), default=None)
+    genes += [("1", s := rng.randrange(1500), s + rng.randrange(100, 500), f"h{i}") for i in range(3)] + genes[:3]
+    genes += [("1", 700, 700, "empty"), ("1", None, 700, "null"), (None, 1, 2000, "nowhere"), ("3", 5, 9, None)]
+    spans = [("1", s := rng.randrange(2100), s + rng.randrange(1, 9)) for _ in range(80)] + [("2", 1, 2), ("3", 9, 11), ("3", 1, 5), ("3", 1, 5)]
+    spans += [("1", 5, 5), ("1", None, 5), (None, 5, 9)] + [("1", genes[0][2], genes[0][2] + 3), ("1", genes[1][1] - 2, genes[1][1])]
+    got = op.nearest_interval(intervals(spark, spans), intervals(spark, genes, "chrom string, start long, end long, symbol string"), keys=("chrom", "start", "end"), bin_width=width).collect()
+    assert sorted(map(str, ((r.chrom, r.start, r.end) for r in got))) == sorted(map(str, spans))
+    good = [g for g in genes if None not in g[:3] and g[1] < g[2]]
+    for r in got:
+        asked = [g for g in good if g[0] == r.chrom and r.start is not None and r.start < r.end]
+        best = min(((max(g[1] - r.end, r.start - g[2], 0), g[1], g[3]) for g in asked), default=None)
         assert (r.nearest_distance, r.nearest_symbol) == ((best[0], best[2]) if best else (None, None))
 
 
