@@ -240,7 +240,9 @@ def main_text(html: str | None) -> str:
             inside[i] = False
         elif i not in keep and parent[i] >= 0 and not inside[parent[i]]:
             inside[i] = False
-    return "\n".join(text for node, text, _ in blocks if inside[node])
+    # Text that stands in no element of its own beside the container, as its siblings above.
+    loose = parent[best] if best and not stated and not around[parent[best]] else -1
+    return "\n".join(text for node, text, k in blocks if inside[node] or node == loose and k * 4 < len(text))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -250,7 +252,7 @@ def extract(pages: DataFrame) -> DataFrame:
     element around them, less to those further up; an element's points are discounted
     by the share of its text that stands in links. The best container (the article
     element around it, if there is one) and its well-scored siblings are kept, without
-    an article or main element all siblings of little linked text; lists of three or
+    an article or main element all siblings of little linked text, bare text among them; lists of three or
     more links that hold most of their text in links go. Tags, roles and names mark
     what is beside an article; a mark counts for nothing on what is or holds the article,
     or nearly all of the text.

@@ -442,6 +442,8 @@ def test_html_keeps_short_sections_without_an_article():
     long = "<p>" + "many, many words, " * 30 + "</p>"
     got = html_extract.main_text(f"<body><div>{long}</div><div><p>Short second one.</p></div><p>End.</p><div><a href='/'>one</a> <a href='/'>two</a></div></body>")
     assert got.split("\n")[1:] == ["Short second one.", "End."]
+    got = html_extract.main_text(f"<div class=post>Bare before,<br>and more.<div>{long}</div>Bare after. <div><a href='/'>a</a></div><a href='/'>one</a> <a href='/'>two</a></div><div class=ad>Bare, too</div>")
+    assert got.split("\n")[0] == "Bare before, and more." and got.split("\n")[2:] == ["Bare after."]
 
 
 def test_html_query(spark):
