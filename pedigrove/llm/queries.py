@@ -11,6 +11,7 @@ from .mixing import op6_mixing
 from .ngram_jaccard import OP1_SQL, op1_ngram_jaccard
 from .packing import op4_packing
 from .quality import op3_quality
+from .spelling import op13_spelling_variants
 from .token_counts import op10_token_counts
 from .topk_search import OP12_SQL, op12_topk_search
 from .toxicity import op5_toxicity
@@ -28,5 +29,6 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_topk_search": op12_topk_search,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 SQL = {"op1_ngram_jaccard": OP1_SQL, "op8_embedding_dedup": OP8_SQL, "op9_chat_format": OP9_SQL, "op11_hard_negatives": OP11_SQL, "op12_topk_search": OP12_SQL}
