@@ -5,11 +5,12 @@ from __future__ import annotations
 import html as entities
 import re
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>",
-    re.S,
-)
-UNFINISHED = re.compile(r"<(?=[a-zA-Z/!?])")
+START = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+NAME = r"<(/?)([a-zA-Z][^\s/>]*+)"
+#: A tag whose quoted values may hold ">", and one that ends at its first ">".
+QUOTED = re.compile(NAME + r"((?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+)>")
+PLAIN = re.compile(NAME + "([^>]*+)>")
+NUMBER = re.compile(r"&#0*+(\d*+)")
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 # Fixed values of the HTML standard.
@@ -28,24 +29,29 @@ def attributes(text: str) -> dict[str, str]:
     """First value of each attribute, names in lower case, character references decoded."""
     found: dict[str, str] = {}
     for name, a, b, c in ATTRIBUTE.findall(text):
-        found.setdefault(name.lower(), entities.unescape(a or b or c))
+        found.setdefault(name.lower(), decode(a or b or c))
     return found
 
 
 def decode(text: str) -> str:
+    """Character references resolved; numbers of any length."""
+    if "&#" in text:  # int() refuses very long ones; eight digits are beyond all code points already
+        text = NUMBER.sub(lambda m: f"&#{m[1][:8] or '0'}", text)
     return entities.unescape(text) if "&" in text else text
 
 
 class Reader:
     """Walks a page and calls start(tag, attrs), end(tag), text(chunk) with implied ends filled in.
 
-    Comments, declarations and the content of scripts and the like are skipped. ``path``
-    holds the open tags.
+    Comments, declarations and the content of scripts and the like are skipped; a tag
+    that the page breaks off in is no text. ``path`` holds the open tags. The page is
+    scanned forward once, however malformed: where a tag has no end if its quotes count,
+    quotes count no more from there on, and tags end at their first ">".
     """
 
     def __init__(self):
         self.path: list[str] = []
-        self.open: dict[str, int] = {}
+        self.open: dict[str, list[int]] = {}  # places in the path of each tag
 
     def start(self, tag, attrs):
         pass
@@ -56,39 +62,46 @@ class Reader:
     def text(self, chunk):
         pass
 
+    def _innermost(self, names) -> int:
+        return max((self.open[n][-1] for n in names if self.open.get(n)), default=-1)
+
     def _pop(self):
         tag = self.path.pop()
-        self.open[tag] -= 1
+        self.open[tag].pop()
         self.end(tag)
 
     def _pop_to(self, names, until=frozenset()):
         """Closes the innermost of names and all within it, unless an ``until`` tag lies between."""
-        for i in range(len(self.path) - 1, -1, -1):
-            if self.path[i] in names:
-                while len(self.path) > i:
-                    self._pop()
-                return
-            if self.path[i] in until:
-                return
+        i = self._innermost(names)
+        if i > self._innermost(until):
+            while len(self.path) > i:
+                self._pop()
 
     def read(self, html: str) -> None:
-        at, size = 0, len(html)
-        is_open = lambda tag: self.open.get(tag, 0) > 0
+        at, size, tag_at = 0, len(html), QUOTED
+        is_open = lambda tag: bool(self.open.get(tag))
         while at < size:
-            m = TOKEN.search(html, at)
-            if m is None:  # a tag that the page breaks off in is no text
-                self.text(UNFINISHED.split(html[at:], 1)[0])
+            begin = START.search(html, at)
+            if begin is None:
+                self.text(html[at:])
                 break
-            if m.start() > at:
-                self.text(html[at : m.start()])
-            at = m.end()
-            tag = m[2]
-            if tag is None:
+            if begin.start() > at:
+                self.text(html[at : begin.start()])
+            if begin[0] in ("<!--", "<!", "<?"):
+                end = "-->" if begin[0] == "<!--" else ">"
+                at = html.find(end, begin.end())
+                at = size if at < 0 else at + len(end)
                 continue
-            tag = tag.lower()
+            m = tag_at.match(html, begin.start())
+            if m is None and tag_at is QUOTED:
+                tag_at = PLAIN
+                m = PLAIN.match(html, begin.start())
+            if m is None:
+                break
+            at = m.end()
+            tag = m[2].lower()
             if m[1]:
-                if is_open(tag):
-                    self._pop_to({tag})
+                self._pop_to({tag})
                 continue
             if is_open("head") and tag not in HEAD_ONLY and tag != "head":
                 self._pop_to({"head"})
@@ -106,7 +119,7 @@ class Reader:
                 at = html.find(">", at) + 1 or size
                 self.end(tag)
                 continue
+            self.open.setdefault(tag, []).append(len(self.path))
             self.path.append(tag)
-            self.open[tag] = self.open.get(tag, 0) + 1
         while self.path:
             self._pop()

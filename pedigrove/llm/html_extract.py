@@ -29,8 +29,8 @@ NAMES = COMMENTS | frozenset(
     "navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related share sharing sidebar signup social sponsor sponsored "
     "subscribe subscription toolbar tooltip topbar widget widgets".split()
 )
-#: Words that names of an article's own parts have too (related-work): as a part of a name they mark no prose.
-UNSURE = frozenset("header hidden promotion related remark replies responses social".split())
+#: Words that names of an article's own parts have too (related-work, widget-container): as a part of a name they mark no prose.
+UNSURE = frozenset("banner header hidden promotion related remark replies responses social widget widgets".split())
 #: A name that begins or ends so tells a state (has-sidebar, comments-open), not what the element is.
 STATE_FIRST, STATE_LAST = frozenset("has no not with without".split()), frozenset("closed disabled enabled open".split())
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
@@ -41,6 +41,13 @@ PLACED = frozenset("th td tr thead tbody tfoot caption h1 h2 h3 h4 h5 h6".split(
 #: Headings of reader comments.
 COMMENTED = re.compile(r"(\d+ |reader |user )*(comments?|replies|responses)( \(?\d+\)?)?|leave a (comment|reply).*", re.I)
 
+#: Headings of lists that belong to an article, though all of their text may be linked.
+SOURCES = re.compile(r"((works|literature) cited|references|sources|bibliography|citations|literature|foot ?notes|notes|notes and references|further reading)\W*", re.I)
+#: A notice of cookies or rights, as it stands in elements that no name tells of.
+NOTICE = re.compile(r"(?=.*\bcookies?\b)(?=.*\b(accept|agree|consent|continu\w+|decline|experience|preferences|privacy|uses?|using)\b).*|(©|\(c\)|copyright\b).*|.*\ball rights reserved\W*", re.I | re.S)
+#: The end of a sentence, before quotes and brackets that close.
+SENTENCE = re.compile(r"[.!?…。:;][\"'”’»)\]]*\Z")
+
 #: Marks, weakest first: a word within a name that may be an article's; a word within a name; tag, role or whole name; firm tag; comments.
 MAYBE, PART, WHOLE, FIRM, COMMENT = 1, 2, 3, 4, 5
 
@@ -141,14 +148,17 @@ def main_text(html: str | None) -> str:
         return ""
     n = len(parent)
     size, linked, links = [0] * n, [0] * n, list(tree.count)
+    prose = [0] * n  # characters in blocks that end a sentence and are not links throughout
     first = [""] * n  # text of an element's first block, if that is a heading
     for node, text, inside in reversed(blocks):
         size[node] += len(text)
         linked[node] += min(inside, len(text))
+        prose[node] += len(text) if inside < len(text) and SENTENCE.search(text[-9:]) else 0
         first[node] = text if tag[node] in HEADINGS or tag[node] == "h4" else ""
     for i in range(n - 1, 0, -1):  # a node comes after its parent
         size[parent[i]] += size[i]
         linked[parent[i]] += linked[i]
+        prose[parent[i]] += prose[i]
         links[parent[i]] += links[i]
     began = set()
     for node, _, _ in blocks:  # the heading that an element's text begins with
@@ -193,12 +203,13 @@ def main_text(html: str | None) -> str:
             # By a word within a name it never is; else only where nearly all text is marked.
             if marks[i] <= PART or marks[i] == WHOLE and free * 10 < plain[0] or marks[i] == COMMENT and not free:
                 marks[i] = 0
+    opened = set()
     for i in range(1, n):  # an article's own header: its headings stay
         if marks[i] == WHOLE and tag[i] == "header" and inner[i] and tag[chosen] == "article" and linked[i] * 2 < size[i]:
             marks[i] = 0
-            for j in range(i + 1, n):
-                if parent[j] == i and tag[j] not in HEADINGS and tag[j] not in ("hgroup", "div"):
-                    marks[j] = WHOLE
+            opened.add(i)
+        elif parent[i] in opened and tag[i] not in HEADINGS and tag[i] not in ("hgroup", "div"):
+            marks[i] = WHOLE
     around = covered()
 
     points = [0.0] * n
@@ -225,18 +236,33 @@ def main_text(html: str | None) -> str:
     best = up if up > 0 else best
     keep = {best}
     stated = tag[best] in ("article", "main")
+    notices = {node for node, text, _ in blocks if len(text) < 400 and NOTICE.fullmatch(text)} if best else set()
+    noticed = [i in notices for i in range(n)]
+    for i in range(n - 1, 0, -1):
+        noticed[parent[i]] |= noticed[i] and size[parent[i]] <= size[i] + 60
     titled = any(tag[i] in HEADINGS and inner[i] for i in range(n)) if best == chosen and chosen else False
     for i in range(1, n):
-        if i != best and parent[i] == parent[best] and best and size[i] and not around[i]:
+        if i != best and parent[i] == parent[best] and best and size[i] and not around[i] and not noticed[i]:
             density = linked[i] / size[i]
-            if points[i] >= max(10, 0.2 * points[best]) or density < 0.25 and not stated or tag[i] in HEADINGS and density < 0.5 and not titled:
+            alike = tag[i] == tag[best] == "article" and density < 0.25 and plain[i] * 5 >= plain[best]
+            if alike or points[i] >= max(10, 0.2 * points[best]) or density < 0.25 and not stated or tag[i] in HEADINGS and density < 0.5 and not titled:
                 keep.add(i)
     inside = [False] * n
     for i in range(n):
         inside[i] = i in keep or parent[i] >= 0 and inside[parent[i]]
-    # Lists of links, wherever they stand in what is kept.
+    # What follows a heading of sources.
+    cited = [False] * n
+    heading = ""
+    for node, text, _ in blocks:
+        if tag[node] in HEADINGS or tag[node] in ("h4", "h5", "h6"):
+            heading = text
+        elif heading and SOURCES.fullmatch(heading):
+            cited[node] = True
+    for i in range(n - 1, 0, -1):
+        cited[parent[i]] |= cited[i]
+    # Lists of links, wherever they stand in what is kept; paragraphs of sentences are none.
     for i in range(1, n):
-        if i not in keep and inside[i] and links[i] >= 3 and linked[i] * 5 > size[i] * 3 or around[i]:
+        if i not in keep and inside[i] and links[i] >= 3 and linked[i] * 5 > size[i] * 3 and prose[i] * 3 < size[i] and not cited[i] or around[i]:
             inside[i] = False
         elif i not in keep and parent[i] >= 0 and not inside[parent[i]]:
             inside[i] = False
@@ -252,10 +278,12 @@ def extract(pages: DataFrame) -> DataFrame:
     element around them, less to those further up; an element's points are discounted
     by the share of its text that stands in links. The best container (the article
     element around it, if there is one) and its well-scored siblings are kept, without
-    an article or main element all siblings of little linked text, bare text among them; lists of three or
-    more links that hold most of their text in links go. Tags, roles and names mark
+    an article or main element all siblings of little linked text, bare text among them,
+    but notices of cookies and rights; sibling articles of a fifth of the text stay. Lists
+    of three or more links that hold most of their text in links go, unless a third of it
+    is sentences or a heading of sources is above. Tags, roles and names mark
     what is beside an article; a mark counts for nothing on what is or holds the article,
-    or nearly all of the text.
+    or nearly all of the text. Malformed pages are read in one forward scan.
     Null or empty html, or a page without text: empty text, 0. Repeated rows and null
     ids are rows like others; an empty table gives no rows; other columns are ignored.
     """

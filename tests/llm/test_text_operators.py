@@ -446,6 +446,46 @@ def test_html_keeps_short_sections_without_an_article():
     assert got.split("\n")[0] == "Bare before, and more." and got.split("\n")[2:] == ["Bare after."]
 
 
+ARTICLE = "<article><p>Some text, that is long enough, to be kept here.</p>"
+
+
+@pytest.mark.parametrize(
+    "rest",
+    [
+        "<a" * 20000, "a<" * 20000, "<a" * 20000 + ">", "<a x=\"1 " * 20001, "<a x='1 " * 20001, "<a x=\"1\" " * 20001 + "y=\">", "<a " + "x=\"1 " * 20001, "<div>" * 20000 + "<li></li>" * 20000,
+        "<div>" * 20000 + "<li>" * 20000, "<li><div>" * 20000, "<header><h1></h1></header>" * 20000, "<!" * 20000, "<!--" * 20000, "</x" * 20000, "<a " + "= " * 20000, "<b>" * 20000 + "</i>" * 20000,
+        "&#" + "9" * 5000 + ";", "&#" + "0" * 6000 + "65;", "<p style='" + "display " * 20000 + "'>", "<table><tr><td>" * 10000,
+    ],
+)
+def test_no_page_hangs(rest):
+    """Malformed and deep pages are read in time that grows with their length, by both readers; the article before them stays."""
+    import time
+
+    for read in (html_extract.main_text, media_columns.sequence):
+        began = time.process_time()
+        read(ARTICLE + rest)
+        assert time.process_time() - began < 2
+    assert html_extract.main_text(ARTICLE + rest).startswith("Some text, that is long enough, to be kept here.")
+
+
+def test_html_keeps_the_article_and_no_more():
+    t = "A paragraph of the article, with commas, words, and a sentence that makes it long enough."
+    links = "".join(f"<li><a>A linked headline {i}</a></li>" for i in range(3))
+    for page, want in (
+        (f"<article><p>{t}</p><p>See <a>one thing here</a>, <a>another thing here</a>, and <a>the third thing here</a>.</p></article>", f"{t}\nSee one thing here, another thing here, and the third thing here."),
+        (f"<article><p>{t}</p><section id='banner-history'><h2>Banners</h2><p>{t}</p></section></article>", f"{t}\nBanners\n{t}"),
+        (f"<div class='elementor-widget-container'><p>{t}</p></div><div class='elementor-widget-container'><p>{t}</p></div>", f"{t}\n{t}"),
+        (f"<article><p>{t}</p><h2>References</h2><ol>{links}</ol></article>", f"{t}\nReferences\nA linked headline 0\nA linked headline 1\nA linked headline 2"),
+        (f"<article><p>{t}</p><p>{t}</p></article><article><p>{t}</p></article>", f"{t}\n{t}\n{t}"),
+        (f"<article><p>{t}</p></article><article><p>{t}</p><p>{t}</p></article>", f"{t}\n{t}\n{t}"),
+        (f"<div><p>{t}</p><p>{t}</p></div><div>We use cookies to improve your experience.</div><div>© 2020 A Company. All rights reserved.</div>", f"{t}\n{t}"),
+        (f"<article><p>{t}</p><ul>{links}</ul><p><a>Home</a> | <a>About us</a> | <a>Contact</a></p></article>", t),
+        (f"<div><p>{t}</p><p>{t}</p></div><div class='widget-area'><ul>{links}</ul></div>", f"{t}\n{t}"),
+        (f"<article><p>{t}</p><p>{t}</p><div class='cookie-banner'>We use cookies to improve your experience on this site, and more. By going on you agree to it.</div></article>", f"{t}\n{t}"),
+    ):
+        assert html_extract.main_text(f"<html><body>{page}</body></html>") == want, page
+
+
 def test_html_query(spark):
     """The pages' articles, read off their source by another way."""
     import html
