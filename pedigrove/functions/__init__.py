@@ -113,5 +113,11 @@ def without_tail(info: Column | str, key: str = "CSQ") -> Column:
     return F.regexp_replace(_c(info), f";{re.escape(key)}.*", "")
 
 
+def without_key(info: Column | str, key: str) -> Column:
+    """INFO without KEY and its value, wherever it stands; '.' if nothing is left."""
+    rest = F.regexp_replace(_c(info), f"^{re.escape(key)}(=[^;]*)?(;|$)|;{re.escape(key)}(=[^;]*)?(?=;|$)", "")
+    return F.when(rest == "", ".").otherwise(rest)
+
+
 def ceil_div(n: Column | str, size: int) -> Column:
     return F.ceil(_c(n) / F.lit(size)).cast("long")

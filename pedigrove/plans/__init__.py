@@ -158,15 +158,37 @@ def _text(spark: SparkSession, rows: DataFrame, above: list[str], name: str) ->
     return path
 
 
+def _vcf_header(names: list[str], *above: str) -> list[str]:
+    return ["##fileformat=VCFv4.2", *above, "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", *names])]
+
+
 def vcf_read(spark: SparkSession, d: str) -> DataFrame:
-    """Orders as sites and their lines as samples, written as a multi-sample VCF and read."""
-    names = [f"S{i}" for i in range(1, 8)]
-    wide = view(spark, d, "calls").groupBy("l_orderkey").pivot("l_linenumber", list(range(1, 8))).agg(F.max("call"))
+    """Orders as sites and their lines as samples, in block-gzip VCFs of two kinds: samples in order, and in reverse with other FORMAT fields."""
+    numbers = list(range(1, 8))
+    wide = view(spark, d, "calls").groupBy("l_orderkey").pivot("l_linenumber", numbers).agg(F.max("call"))
     chrom = F.concat(F.lit("chr"), (F.col("l_orderkey") % 3 + 1).cast("string"))
-    site = [chrom, F.col("l_orderkey").cast("string"), F.lit("."), F.lit("AT"), F.lit("A,ATT"), F.lit("."), F.lit("."), F.lit("."), F.lit("GT:AD:DP")]
-    lines = wide.select(F.concat_ws("\t", *site, *[F.coalesce(F.col(str(i)), F.lit("./.")) for i in range(1, 8)]).alias("value"))
-    header = ["##fileformat=VCFv4.2", "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *names])]
-    return sources.read_vcf(spark, _text(spark, lines, header, "vcf"))
+    site = [chrom, F.col("l_orderkey").cast("string"), F.lit("."), F.lit("AT"), F.lit("A,ATT"), F.lit("."), F.lit("."), F.lit(".")]
+    paths = []
+    for fields, order in (("GT:AD:DP", numbers), ("GT:AD:GQ", numbers[::-1])):
+        rows = wide.where((F.col("l_orderkey") % 2 == 0) == F.lit(fields == "GT:AD:DP"))
+        lines = rows.select(F.concat_ws("\t", *site, F.lit(fields), *[F.coalesce(F.col(str(i)), F.lit("./.")) for i in order]))
+        paths.append(sources.new_path(spark, "vcf"))
+        sources.write_block_gzip(lines, paths[-1], _vcf_header(["FORMAT", *[f"S{i}" for i in order]]), ".vcf.gz")
+    return sources.read_vcf(spark, paths, split_bytes=1 << 16)
+
+
+def packed_read(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as annotated sites in block-gzip VCFs, whose headers declare the fields, in another order for every third part."""
+    at = ["p_partkey", F.lit("."), F.lit("A"), F.lit("C,G"), F.lit("."), F.lit(".")]
+    rows = view(spark, d, "pk").select(F.concat(F.lit("chr"), (F.col("p_partkey") % 3 + 1).cast("string")).alias("chrom"), F.col("p_partkey").cast("string").alias("p_partkey"), "csq")
+    paths = []
+    for fields, own in (("Allele|Consequence|IMPACT|Extra|SYMBOL", "chrom <> 'chr1'"), ("IMPACT|Allele|Consequence", "chrom = 'chr1'")):
+        info = F.concat(F.lit("AC=1,2;CSQ="), F.regexp_replace("csq", "[ ;]", "_"), F.lit(";DP=9"))
+        lines = rows.where(own).select(F.concat_ws("\t", "chrom", *at, info))
+        paths.append(sources.new_path(spark, "annotated"))
+        told = f'##INFO=<ID=CSQ,Number=.,Type=String,Description="Consequence annotations. Format: {fields}">'
+        sources.write_block_gzip(lines, paths[-1], _vcf_header([], told), ".vcf.gz")
+    return op.clean_annotation_columns(sources.read_packed_annotations(spark, paths, split_bytes=1 << 14))
 
 
 def bed_read(spark: SparkSession, d: str) -> DataFrame:
@@ -268,7 +290,7 @@ QUERIES = {
         family_expand, resolve_alleles, info_per_allele, interval_overlap, overlap_count, overlap_mean, overlap_labels, merge_intervals,
         region_semi_join, nearest_interval, gene_constraint, transcript_lookup, gene_posterior, exact_lookup, impact_filter, severity_filter,
         packed_split, merge_annotations, missing_samples, extra_samples, chunk_numbers, stage_reconcile, chrom_normalize, position_sort,
-        chunk_union, drop_genotypes, family_region_expand, genotype_text, vcf_read, bed_read, bed_strict_read, pedigree_read, tsv_read, genotype_tsv,
+        chunk_union, drop_genotypes, family_region_expand, genotype_text, vcf_read, packed_read, bed_read, bed_strict_read, pedigree_read, tsv_read, genotype_tsv,
         constraint_read, posterior_read, windows_read, sorted_table, stage_paths, clean_columns, optional_columns, first_missing,
     )
 }
@@ -349,7 +371,11 @@ SELECT l_orderkey, l_linenumber, concat(CASE WHEN l_linenumber % 3 = 0 THEN '.'
     "vcf_read": with_views("calls") + """, site AS (SELECT DISTINCT l_orderkey o FROM calls),
 c AS (SELECT o, k, string_split(coalesce(call, './.'), ':') p FROM site CROSS JOIN range(1, 8) t(k) LEFT JOIN calls ON l_orderkey = o AND l_linenumber = k)
 SELECT concat('chr', CAST(o % 3 + 1 AS VARCHAR)) "#CHROM", o - 1 "POS0", o + 1 "END", o "POS", 'AT' "REF", 'A,ATT' "ALT", concat('S', CAST(k AS VARCHAR)) "SAMPLE",
-  p[1] "GT", '.' "GQ", coalesce(p[3], '.') "DP", coalesce(p[2], '.') "AD" FROM c""",
+  p[1] "GT", CASE WHEN o % 2 = 1 THEN coalesce(p[3], '.') ELSE '.' END "GQ", CASE WHEN o % 2 = 0 THEN coalesce(p[3], '.') ELSE '.' END "DP", coalesce(p[2], '.') "AD" FROM c""",
+    "packed_read": with_views("pk") + """, s AS (SELECT p_partkey k, p_partkey % 3 = 0 one, string_split(unnest(string_split(regexp_replace(csq, '[ ;]', '_', 'g'), ',')), '|') p FROM pk)
+SELECT concat('chr', CAST(k % 3 + 1 AS VARCHAR)) "#CHROM", k - 1 "POS0", k "END", k "POS", 'A' "REF", 'C,G' "ALT", '.' "ID", '.' "QUAL", 'AC=1,2;DP=9' "INFO",
+  p[CASE WHEN one THEN 2 ELSE 1 END] "Allele", p[CASE WHEN one THEN 3 ELSE 2 END] "Consequence", p[CASE WHEN one THEN 1 ELSE 3 END] "IMPACT",
+  CASE WHEN NOT one THEN p[4] END "Extra", CASE WHEN NOT one THEN p[5] END "SYMBOL" FROM s""",
     "bed_read": with_views("iv") + ' SELECT chrom, start_ "start", end_ "end" FROM iv',
     "bed_strict_read": with_views("iv") + """ SELECT CASE chrom WHEN 'N' THEN 'N' ELSE 'chr' || chrom END chrom, start_ "start", end_ "end" FROM iv""",
     "pedigree_read": with_views("ped") + " SELECT DISTINCT family, sample FROM ped",

@@ -1,5 +1,7 @@
 """Readers and writers of genomic text and Parquet tables."""
 
+from . import lines
+from .lines import write_block_gzip
 from .readers import (
     input_paths,
     read_bed,
@@ -11,13 +13,13 @@ from .readers import (
     read_stage,
     read_tsv,
     read_valued_intervals,
-    read_vcf,
-    vcf_header,
 )
 from .scratch import new_path, shared_dir
+from .vcf import packed_fields, read_packed_annotations, read_sites, read_vcf, vcf_header, vcf_samples
 from .writers import write_bed, write_sorted, write_stage, write_tsv
 
 __all__ = [
-    "input_paths", "new_path", "read_bed", "read_bed_strict", "read_constraint", "read_gene_posterior", "read_genotypes", "read_pedigree", "read_stage",
-    "read_tsv", "read_valued_intervals", "read_vcf", "shared_dir", "vcf_header", "write_bed", "write_sorted", "write_stage", "write_tsv",
+    "input_paths", "new_path", "packed_fields", "read_bed", "read_bed_strict", "read_constraint", "read_gene_posterior", "read_genotypes", "read_packed_annotations",
+    "read_pedigree", "read_sites", "read_stage", "read_tsv", "read_valued_intervals", "read_vcf", "shared_dir", "vcf_header", "vcf_samples", "write_bed", "write_block_gzip",
+    "write_sorted", "write_stage", "write_tsv",
 ]

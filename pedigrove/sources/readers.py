@@ -120,44 +120,6 @@ def read_pedigree(spark: SparkSession, path, keep: str = "error") -> DataFrame:
     return rows.select("family", "sample")
 
 
-def vcf_header(spark: SparkSession, path) -> list[str]:
-    """Column names of a VCF, from its #CHROM line."""
-    row = spark.read.text(path).where(F.col("value").startswith("#CHROM\t")).first()
-    if row is None:
-        raise ValueError("no #CHROM line")
-    return row[0].split("\t")
-
-
-def read_vcf(spark: SparkSession, path, samples: list[str] | None = None) -> DataFrame:
-    """A multi-sample VCF as the long genotype table (without FAMILY), one row a site and sample.
-
-    POS0 = POS - 1, END = POS0 + length of REF, ALT as it stands. GT, GQ, DP, AD are taken
-    from each sample by the names in FORMAT; absent ones are '.'. Meant as an ingest
-    step: write the result with :func:`pedigrove.sources.write_stage` and query that.
-    """
-    header = vcf_header(spark, path)
-    names = header[9:]
-    chosen = [(i, n) for i, n in enumerate(names) if samples is None or n in samples]
-    part = F.split("value", "\t")
-    rows = spark.read.text(path).where(~F.col("value").startswith("#") & (F.col("value") != ""))
-    rows = rows.select(part.alias("p"))
-    calls = F.array(*[F.struct(F.lit(n).alias("SAMPLE"), F.get("p", F.lit(9 + i)).alias("call")) for i, n in chosen])
-    rows = rows.select(
-        F.get("p", F.lit(0)).alias("#CHROM"), F.get("p", F.lit(1)).cast("long").alias("POS"), F.get("p", F.lit(3)).alias("REF"), F.get("p", F.lit(4)).alias("ALT"),
-        F.split(F.get("p", F.lit(8)), ":").alias("format"), F.explode(calls).alias("c"),
-    )
-    value = F.split("c.call", ":")
-
-    def named(key: str):
-        at = F.array_position("format", key)
-        return F.coalesce(F.when(at > 0, F.get(value, (at - 1).cast("int"))), F.lit("."))
-
-    return rows.select(
-        "#CHROM", (F.col("POS") - 1).alias("POS0"), (F.col("POS") - 1 + F.length("REF")).alias("END"), "POS", "REF", "ALT", F.col("c.SAMPLE").alias("SAMPLE"),
-        named("GT").alias("GT"), F.split(named("GQ"), ",")[0].alias("GQ"), F.split(named("DP"), ",")[0].alias("DP"), named("AD").alias("AD"),
-    )
-
-
 def input_paths(chroms: str, pattern: str) -> dict[str, str]:
     """Chromosome to path for a comma list and a pattern with {chrom}."""
     return {c: pattern.replace("{chrom}", c) for c in (x.strip() for x in chroms.split(",")) if c}
