@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,24 +36,36 @@ def read_tsv(spark: SparkSession, path, schema: T.StructType | None = None, **op
     return spark.read.schema(schema).options(sep="\t", quote="", header=True, **options).csv(path)
 
 
-def _by_name(spark: SparkSession, path, schema: T.StructType, null: str | None = None) -> DataFrame:
-    """Columns of a schema, picked by name from a file that may have more; a null text is null in all columns."""
+def _by_name(spark: SparkSession, path, schema: T.StructType, null: str | None = None, lenient: bool = False) -> DataFrame:
+    """Columns of a schema, picked by name from a file that may have more; a null text is null in all columns.
+
+    Text that is not of a column's type is an error that names the column and the text, as
+    in a strict cast; lenient makes it null.
+    """
     raw = _strings(spark, path, header=True, inferSchema=False, **({"nullValue": null} if null else {}))
     if gone := [f.name for f in schema if f.name not in raw.columns]:
         raise ValueError(f"missing columns: {gone}")
-    return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
+
+    def typed(f: T.StructField):
+        text = F.col(f"`{f.name}`")
+        value = text.try_cast(f.dataType)
+        if not lenient and not isinstance(f.dataType, T.StringType):
+            value = F.when(text.isNotNull() & value.isNull(), F.raise_error(F.concat(F.lit(f"{f.name} is no {f.dataType.simpleString()}: "), text)).cast(f.dataType)).otherwise(value)
+        return value.alias(f.name)
+
+    return raw.select(*map(typed, schema))
 
 
-def read_constraint(spark: SparkSession, path) -> DataFrame:
-    return _by_name(spark, path, CONSTRAINT, "NA")
+def read_constraint(spark: SparkSession, path, lenient: bool = False) -> DataFrame:
+    return _by_name(spark, path, CONSTRAINT, "NA", lenient)
 
 
-def read_gene_posterior(spark: SparkSession, path) -> DataFrame:
-    return _by_name(spark, path, GENE_POSTERIOR)
+def read_gene_posterior(spark: SparkSession, path, lenient: bool = False) -> DataFrame:
+    return _by_name(spark, path, GENE_POSTERIOR, lenient=lenient)
 
 
-def read_valued_intervals(spark: SparkSession, path) -> DataFrame:
-    return _by_name(spark, path, VALUED_INTERVALS)
+def read_valued_intervals(spark: SparkSession, path, lenient: bool = False) -> DataFrame:
+    return _by_name(spark, path, VALUED_INTERVALS, lenient=lenient)
 
 
 def read_genotypes(spark: SparkSession, path) -> DataFrame:
@@ -103,15 +116,24 @@ def read_pedigree(spark: SparkSession, path, keep: str = "error") -> DataFrame:
     """family, sample: first two columns of a pedigree split at white space.
 
     Blank lines, comments, lines of one column and a header row (both names known) are
-    skipped. A sample in two families is an error; keep='last' takes the later line.
+    skipped. A sample in two families is an error; keep='last' takes the later line: of
+    several files that of the path given later (within a folder or pattern, of the
+    later name), and within a file the later line, whatever the files' sizes.
     """
-    lines = spark.read.text(path).where(~F.col("value").startswith("#")).select(_strip(F.col("value")).alias("value"), F.monotonically_increasing_id().alias("line"))
-    part = F.split("value", r"\s+")
+    lines = spark.read.text(path)
+    # Spark packs files by size, so a row's number tells no order; the file and the place in it do.
+    files = [f for p in ([path] if isinstance(path, str) else path) for f in sorted(spark.read.text(p).inputFiles())]
+    rank = spark.createDataFrame(list({re.sub("^file:/+", "file:///", f): i for i, f in enumerate(files)}.items()), "path string, file int")
+    uri = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
+    lines = lines.select(_strip(F.col("value")).alias("text"), "value", uri.alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = lines.where(~F.col("value").startswith("#"))
+    part = F.split("text", r"\s+")
     rows = lines.where(F.size(part) >= 2)
-    rows = rows.select(part[0].alias("family"), part[1].alias("sample"), "line")
+    rows = rows.select(part[0].alias("family"), part[1].alias("sample"), "path", "block", "line")
     rows = rows.where(~(F.lower("family").isin(*FAMILY_NAMES) & F.lower("sample").isin(*SAMPLE_NAMES)))
     if keep == "last":
-        rows = rows.groupBy("sample").agg(F.max_by("family", "line").alias("family"))
+        rows = rows.join(F.broadcast(rank), "path")  # a short row a file
+        rows = rows.groupBy("sample").agg(F.max_by("family", F.struct("file", "block", "line")).alias("family"))
     else:
         twice = rows.groupBy("sample").agg(F.countDistinct("family").alias("n")).where("n > 1").orderBy("sample").limit(25).collect()
         if twice:

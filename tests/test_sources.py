@@ -33,6 +33,26 @@ def test_pedigree(spark, tmp_path):
     assert sources.read_pedigree(spark, twice, keep="last").first().family == "F2"
 
 
+def test_pedigree_of_several_files(spark, tmp_path):
+    """The later of the given paths decides, whatever the sizes; within one the later line; within a folder the later name."""
+    small, large = put(tmp_path / "z.ped", "F1 S1\nF2 S1\n"), put(tmp_path / "a.ped", "F3 S1\n" + "".join(f"G{i} T{i}\n" for i in range(20000)))
+    family = lambda path: sources.read_pedigree(spark, path, keep="last").where("sample = 'S1'").first().family
+    assert [family(p) for p in ([small, large], [large, small], str(tmp_path), small)] == ["F3", "F2", "F2", "F2"]
+
+
+def test_numbers_are_strict(spark, tmp_path):
+    c = put(tmp_path / "c.tsv", "gene\ttranscript\tcanonical\tlof.pLI\tlof.oe_ci.upper\ng\tt\ttrue\tabc\tNA\n")
+    with pytest.raises(Exception, match="lof.pLI is no double: abc"):
+        sources.read_constraint(spark, c).collect()
+    assert sources.read_constraint(spark, c, lenient=True).first()["lof.pLI"] is None
+    w = put(tmp_path / "w.tsv", "chrom\tstart\tend\tz\toe\n1\t1.5\t3\t1\t1\n")
+    with pytest.raises(Exception, match="start is no bigint: 1.5"):
+        sources.read_valued_intervals(spark, w).collect()
+    p = put(tmp_path / "p.tsv", "ensg\tobs_lof\texp_lof\tprior_mean\tpost_mean\tpost_lower_95\tpost_upper_95\ng\t1\t\tx\t1\t1\t1\n")
+    with pytest.raises(Exception, match="prior_mean is no double: x"):
+        sources.read_gene_posterior(spark, p).collect()
+
+
 def test_typed_tables(spark, tmp_path):
     c = put(tmp_path / "c.tsv", "gene\ttranscript\tcanonical\tmore\tlof.pLI\tlof.oe_ci.upper\ng\tt\ttrue\t\"q\t0.5\tNA\n")
     r = sources.read_constraint(spark, c).first()
