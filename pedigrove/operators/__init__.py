@@ -15,7 +15,9 @@ from .annotate import (
 from .family import extra_samples, family_expand, missing_samples, require_known_samples, warn_of_extra_samples
 from .intervals import (
     chunk_numbers,
+    cut_bins,
     in_order,
+    limb_places,
     merge_intervals,
     nearest_interval,
     normalize_chrom,
@@ -29,8 +31,8 @@ from .merge import drop_genotypes, merge_annotations, position_sort, require_col
 from .resolve import resolve_alleles
 
 __all__ = [
-    "annotate_exact", "chunk_numbers", "clean_annotation_columns", "constraint_by_gene", "constraint_by_transcript", "drop_genotypes",
-    "extra_samples", "family_expand", "gene_posterior", "impact_filter", "in_order", "merge_annotations", "merge_intervals", "missing_samples",
+    "annotate_exact", "chunk_numbers", "clean_annotation_columns", "constraint_by_gene", "constraint_by_transcript", "cut_bins", "drop_genotypes",
+    "extra_samples", "family_expand", "gene_posterior", "impact_filter", "in_order", "limb_places", "merge_annotations", "merge_intervals", "missing_samples",
     "nearest_interval", "normalize_chrom", "overlap_count", "overlap_join", "overlap_labels", "overlap_mean", "per_allele_fields",
     "position_sort", "region_semi_join", "require_columns", "require_known_samples", "resolve_alleles", "severity_at_least",
     "split_packed", "stage_reconcile", "strip_info_tail", "union_stages", "warn_of_extra_samples",

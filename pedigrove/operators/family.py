@@ -27,13 +27,18 @@ def family_expand(genotypes: DataFrame, pedigree: DataFrame | None = None, regio
 
     genotypes: one row a (site, sample). Without a pedigree it has the family already.
     regions: only records that overlap one. The carriers' (site, family) pairs are
-    narrowed first, so the wide rows meet only them. Rows with a null in a site column
-    or without a family match none and go.
+    narrowed first, so the wide rows meet only them; where the site holds the records'
+    coordinates it is the carriers alone that are held against the regions. Rows with a
+    null in a site column or without a family match none and go.
     """
-    rows = genotypes if regions is None else region_semi_join(genotypes, regions, keys, region_keys)
+    at = [c for c in site if c in genotypes.columns]
+    narrow = set(keys) <= set(at)
+    rows = genotypes if regions is None or narrow else region_semi_join(genotypes, regions, keys, region_keys)
     rows = rows if pedigree is None else with_family(rows, pedigree, sample, family)
-    at = [c for c in site if c in rows.columns] + [family]
+    at.append(family)
     hit = rows.where(is_carrier_call(_q(gt))).select(*map(_q, at)).distinct()
+    if regions is not None and narrow:
+        hit = region_semi_join(hit, regions, keys, region_keys)
     return rows.join(hit, at, "left_semi").select(*map(_q, rows.columns))
 
 

@@ -6,16 +6,22 @@ do not overlap. Intervals with a null or with end <= start overlap nothing.
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import new_path
+
 KEYS = ("#CHROM", "POS0", "END")
 #: Bins of an interval at its level, about, before the next level takes it.
 FACTOR = 16
-#: Rows aimed at in a bin of a scan.
-BIN_ROWS = 2048
+#: Rows aimed at in a bin of a scan, parts of a bin with many rows at most, and sampled rows that stand for a bin.
+BIN_ROWS, MOST_BINS, EDGE_ROWS = 2048, 1024, 24
+#: Bits of a limb of an exact sum: 2**33 of them can be added in a long.
+LIMB = 30
 
 
 def _q(name: str) -> Column:
@@ -92,11 +98,57 @@ def _attach(df: DataFrame, found: DataFrame, keys) -> DataFrame:
     return df.join(found, on, "left").drop(*mine.values())
 
 
-def _bin_width(df: DataFrame, chrom: str, pos: str) -> int:
-    """Width of bins of about BIN_ROWS rows, if rows are spread over the positions."""
-    per = df.groupBy(_q(chrom)).agg(F.count("*").alias("n"), (F.max(_q(pos)) - F.min(_q(pos)) + 1).alias("extent"))
-    n, extent = per.agg(F.sum("n"), F.sum("extent")).first()
-    return max(1, int(extent or 1) * BIN_ROWS // int(n or 1))
+@dataclass
+class Bins:
+    """What a chromosome's rows are cut at: a width of positions, and edges within those bins that hold many rows."""
+
+    width: int
+    #: _c, _b (chromosome and bin), _edges (array of structs of the ordering columns); None where no bin holds many.
+    edges: DataFrame | None = None
+
+
+def cut_bins(df: DataFrame, chrom: str, by) -> Bins:
+    """Bins of about BIN_ROWS rows for rows in order of chromosome and the ``by`` columns, the first of which is the position.
+
+    df is read once: a sample of it, drawn by a hash of chromosome and by, goes to the shared
+    folder, and all else is found in that. The width follows from where the middle nine
+    tenths of a chromosome's rows lie, so that outliers do not widen it; a bin with more than
+    twice the rows is cut again, at every EDGE_ROWS-th of its sampled rows in order of all by
+    columns (no more than MOST_BINS times): so rows piled up on few positions are cut apart by the
+    columns after it, and only rows equal in all columns stay together. Pass the result to
+    the scans as ``bins`` to compute it once for several.
+    """
+    spark, path = df.sparkSession, new_path(df.sparkSession, "drawn")
+    rate = min(1.0, EDGE_ROWS / BIN_ROWS)
+    rows = df.select(_q(chrom).alias("_c"), F.struct(*[_q(c).alias(f"k{i}") for i, c in enumerate(by)]).alias("k"))
+    rows.where(F.pmod(F.xxhash64("_c", "k"), F.lit(1 << 30)) < rate * (1 << 30)).write.parquet(path)
+    drawn = spark.read.parquet(path)
+    per = drawn.groupBy("_c").agg(F.count("*").alias("n"), F.percentile_approx("k.k0", [0.05, 0.95]).alias("p"))
+    n, extent = per.agg(F.sum("n"), F.sum((F.get("p", F.lit(1)) - F.get("p", F.lit(0))) / 0.9 + 1)).first()
+    width = max(1, int((extent or 1) * EDGE_ROWS / (n or 1)))
+    drawn = drawn.withColumn("_b", F.floor(F.col("k.k0") / width))
+    many = drawn.groupBy("_c", "_b").agg(F.count("*").alias("n")).where(F.col("n") > 2 * EDGE_ROWS)
+    drawn = drawn.join(many.select(F.col("_c").alias("_c2"), F.col("_b").alias("_b2"), "n"), F.col("_c").eqNullSafe(F.col("_c2")) & F.col("_b").eqNullSafe(F.col("_b2")))
+    each = F.greatest(F.lit(EDGE_ROWS), F.ceil(F.col("n") / MOST_BINS))
+    drawn = drawn.withColumn("i", F.row_number().over(Window.partitionBy("_c", "_b").orderBy("k"))).where(F.col("i") % each == 0)
+    edges, path = drawn.groupBy("_c", "_b").agg(F.array_sort(F.collect_list("k")).alias("_edges")), new_path(spark, "edges")
+    edges.write.parquet(path)
+    edges = spark.read.parquet(path)
+    return Bins(width, None if edges.isEmpty() else edges)
+
+
+def _binned(df: DataFrame, chrom: str, by, bins: Bins | None = None) -> DataFrame:
+    """Adds bin: a row's place among the bins of its chromosome, in order."""
+    bins = cut_bins(df, chrom, by) if bins is None else bins
+    at = F.floor(_q(by[0]) / bins.width)
+    if bins.edges is None:
+        return df.withColumn("bin", F.struct(at.alias("b"), F.lit(0).alias("part")))
+    # Few rows have edges; where they stand is found by halving.
+    df = df.join(bins.edges, _q(chrom).eqNullSafe(F.col("_c")) & at.eqNullSafe(F.col("_b")), "left")
+    key = F.struct(*[_q(c).alias(f"k{i}") for i, c in enumerate(by)])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(MOST_BINS.bit_length() + 1))])
+    part = F.aggregate(steps, F.lit(0), lambda i, step: F.when(F.get("_edges", i + step - 1) <= key, i + step).otherwise(i))
+    return df.withColumn("bin", F.struct(at.alias("b"), F.when(F.col("_edges").isNull(), 0).otherwise(part).alias("part"))).drop("_c", "_b", "_edges")
 
 
 def _overlap_sums(spans: DataFrame, regions: DataFrame, keys, right_keys, values: dict[str, Column]) -> DataFrame:
@@ -110,44 +162,114 @@ def _overlap_sums(spans: DataFrame, regions: DataFrame, keys, right_keys, values
     rc, rs, re = right_keys
     good = regions.where((_q(re) > _q(rs)) & _q(rc).isNotNull()).withColumns({f"_w{i}": F.coalesce(v, F.lit(0)).cast("long") for i, v in enumerate(values.values())} | {"_w": F.lit(1).cast("long")})
     weights = ["_w", *[f"_w{i}" for i in range(len(values))]]
-    # At equal positions: ends (0), then spans (1), then starts (2). Each side is read once.
+    # At equal positions: ends (0), then spans (1), then starts (2). Each side is read once; what starts or ends at one place is one event.
     at = lambda kind, pos: F.struct(F.lit(kind).alias("k"), pos.cast("long").alias("pos"))
     both = lambda kinds: F.explode(F.array(*kinds)).alias("x")
     none, zero = F.lit(None).cast("long"), [F.lit(0).cast("long").alias(w) for w in weights]
-    events = good.select(_q(rc).alias("c"), both([at(0, _q(re)), at(2, _q(rs))]), none.alias("s"), none.alias("e"), *weights)
+    events = good.select(_q(rc).alias("c"), both([at(0, _q(re)), at(2, _q(rs))]), *weights).groupBy("c", "x.pos", "x.k").agg(*[F.sum(w).alias(w) for w in weights])
+    events = events.select("c", "pos", "k", none.alias("s"), none.alias("e"), *weights)
     asked = spans.where((_q(e) > _q(s)) & _q(c).isNotNull())
-    events = events.unionByName(asked.select(_q(c).alias("c"), both([at(1, _q(s)), at(1, _q(e))]), _q(s).cast("long").alias("s"), _q(e).cast("long").alias("e"), *zero))
-    width = _bin_width(good, rc, rs)
-    ends, starts = ([F.when(F.col("x.k") == k, F.col(w)).otherwise(0).alias(f"{w}{t}") for w in weights] for k, t in ((0, "e"), (2, "s")))
-    events = events.select("c", "x.pos", "x.k", "s", "e", F.floor(F.col("x.pos") / width).alias("bin"), *ends, *starts)
+    asked = asked.select(_q(c).alias("c"), both([at(1, _q(s)), at(1, _q(e))]), _q(s).cast("long").alias("s"), _q(e).cast("long").alias("e"), *zero)
+    asked = asked.select("c", "x.pos", "x.k", "s", "e", *weights)
+    by = ("pos", "k", "s", "e")
+    places = good.select(_q(rc).alias("c"), both([at(0, _q(re)), at(2, _q(rs))]), none.alias("s"), none.alias("e")).select("c", "x.pos", "x.k", "s", "e")
+    bins = cut_bins(places.unionByName(asked.select("c", *by)), "c", by)  # from what is not added up yet: no shuffle
+    events = _binned(events.unionByName(asked), "c", by, bins)
+    ends, starts = ([F.when(F.col("k") == k, F.col(w)).otherwise(0).alias(f"{w}{t}") for w in weights] for k, t in ((0, "e"), (2, "s")))
+    events = events.select("c", "pos", "k", "s", "e", "bin", *ends, *starts)
     sums = [f"{w}{t}" for w in weights for t in "es"]
     before = Window.partitionBy("c").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     carry = events.groupBy("c", "bin").agg(*[F.sum(x).alias(x) for x in sums]).select("c", "bin", *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"{x}_0") for x in sums])
-    along = Window.partitionBy("c", "bin").orderBy("pos", "k").rowsBetween(Window.unboundedPreceding, 0)
+    along = Window.partitionBy("c", "bin").orderBy("pos", "k", "s", "e").rowsBetween(Window.unboundedPreceding, 0)
     ran = events.select("*", *[F.sum(x).over(along).alias(f"{x}_r") for x in sums]).where("k = 1").join(carry, ["c", "bin"])
     read = [(F.when(F.col("pos") == F.col("e"), F.col(f"{w}s_r") + F.col(f"{w}s_0")).otherwise(-F.col(f"{w}e_r") - F.col(f"{w}e_0"))).alias(w) for w in weights]
     out = ran.select("c", "s", "e", *read).groupBy("c", "s", "e").agg(*[F.sum(w).alias(w) for w in weights])
     return out.select(F.col("c").alias(c), F.col("s").alias(s), F.col("e").alias(e), F.col("_w").alias("n"), *[F.col(f"_w{i}").alias(name) for i, name in enumerate(values)])
 
 
-def overlap_mean(df: DataFrame, valued: DataFrame, values: dict[str, str], keys=KEYS, right_keys=("chrom", "start", "end")) -> DataFrame:
+@dataclass
+class Limbs:
+    """Powers of two of the limbs that hold every finite value of some columns exactly, highest first; whether some are infinite."""
+
+    places: list[int]
+    infinite: bool = True
+
+
+def limb_places(valued: DataFrame, values) -> Limbs:
+    """The limbs of the columns' values (one aggregate)."""
+    sizes = [F.abs(_q(v).cast("double")) for v in values]
+    infinite = F.sum(sum((F.coalesce((x == float("inf")).cast("int"), F.lit(0)) for x in sizes), F.lit(0)))
+    sizes = [F.when((x > 0) & (x < float("inf")), x) for x in sizes]
+    most, least, found = valued.agg(F.greatest(*[F.max(x) for x in sizes], F.lit(None).cast("double")), F.least(*[F.min(x) for x in sizes], F.lit(None).cast("double")), infinite).first()
+    if most is None:
+        return Limbs([0], bool(found))
+    top, low = math.frexp(most)[1], max(math.frexp(least)[1] - 53, -1074)
+    return Limbs(list(range(top - LIMB, low, -LIMB)) + [low], bool(found))
+
+
+def _scales(places: list[int]) -> Column:
+    """Two to the power of each place and of its negative, each as two factors: the smallest powers have no inverse that is a double."""
+    powers = lambda p: (F.lit(2.0 ** (p // 2)), F.lit(2.0 ** (p - p // 2)))
+    return F.array(*[F.struct(*[x.alias(n) for x, n in zip((*powers(-p), *powers(p)), "abcd")]) for p in places])
+
+
+def _limbs(value: Column, places: list[int]) -> Column:
+    """Whole numbers whose sum, each times two to the power of its place, is the value. All steps are exact in doubles."""
+
+    def cut(state: Column, scale: Column) -> Column:
+        scaled = state["rest"] * scale["a"] * scale["b"]
+        part = F.when(scaled < 0, F.ceil(scaled)).otherwise(F.floor(scaled)).cast("long")
+        return F.struct((state["rest"] - part.cast("double") * scale["c"] * scale["d"]).alias("rest"), F.concat(state["limbs"], F.array(part)).alias("limbs"))
+
+    return F.aggregate(_scales(places), F.struct(value.alias("rest"), F.array().cast("array<bigint>").alias("limbs")), cut, lambda state: state["limbs"])
+
+
+def _of_limbs(limbs: list[Column], places: list[int]) -> Column:
+    """The double of a sum of limbs, right but for the rounding of the last additions: carries go up before, from the lowest limb."""
+    gaps = [b - a for a, b in zip(places[1:], places)]
+
+    def carried(state: Column, limb: Column) -> Column:
+        total = limb["v"] + state["carry"]
+        kept = F.when(limb["size"] > 0, F.pmod(total, limb["size"])).otherwise(total)
+        up = F.when(limb["size"] > 0, F.call_function("div", total - kept, limb["size"])).otherwise(F.lit(0).cast("long"))
+        return F.struct(up.alias("carry"), F.concat(F.array(kept), state["limbs"]).alias("limbs"))
+
+    rows = [F.struct(v.alias("v"), F.lit(1 << g if g else 0).cast("long").alias("size")) for v, g in zip(limbs, [0, *gaps])]
+    start = F.struct(F.lit(0).cast("long").alias("carry"), F.array().cast("array<bigint>").alias("limbs"))
+    whole = F.aggregate(F.array(*reversed(rows)), start, carried, lambda state: state["limbs"])
+    terms = F.zip_with(whole, _scales(places), lambda v, scale: v.cast("double") * scale["c"] * scale["d"])
+    return F.aggregate(terms, F.lit(0.0), lambda total, term: total + term)
+
+
+def overlap_mean(df: DataFrame, valued: DataFrame, values: dict[str, str], keys=KEYS, right_keys=("chrom", "start", "end"), limbs: Limbs | None = None) -> DataFrame:
     """Adds, for each value column of valued, its mean over the overlapping intervals (null if none; nulls and NaN left out).
 
-    values: column of valued to output column. Whole numbers are summed exactly by two
-    scans; of other numbers, differences of running sums would not be exact, so their
-    overlapping pairs are joined and averaged.
+    values: column of valued to output column. No overlapping pair is made, whatever the
+    columns' type: values are cut to whole limbs of LIMB bits that hold them exactly, and
+    the limbs are summed by two scans each, so differences of running sums are exact. A mean
+    with infinities is what their sum is. limbs: by default :func:`limb_places`, one
+    aggregate over valued.
     """
-    kinds = dict(valued.select(*[_q(v) for v in values]).dtypes)
-    if all(k in ("tinyint", "smallint", "int", "bigint") for k in kinds.values()):
-        asked = {}
-        for i, v in enumerate(values):
-            asked |= {f"_sum{i}": _q(v), f"_n{i}": _q(v).isNotNull().cast("long")}
-        found = _overlap_sums(_spans(df, keys), valued, keys, right_keys, asked)
-        means = [F.when(F.col(f"_n{i}") > 0, F.col(f"_sum{i}").cast("double") / F.col(f"_n{i}")).alias(out) for i, out in enumerate(values.values())]
-        return _attach(df, found.select(*map(_q, keys), *means), keys)
-    pairs = overlap_join(_spans(df, keys), valued.select(*map(_q, right_keys), *[_q(v).alias(f"_v{i}") for i, v in enumerate(values)]), keys, right_keys)
-    means = [F.avg(F.nanvl(F.col(f"_v{i}").cast("double"), F.lit(None).cast("double"))).alias(out) for i, out in enumerate(values.values())]
-    return _attach(df, pairs.groupBy(*map(_q, keys)).agg(*means), keys)
+    limbs = limb_places(valued, values) if limbs is None else limbs
+    places = limbs.places
+    number = {v: _q(v).cast("double") for v in values}
+    finite = {v: F.when(F.abs(x) < float("inf"), x) for v, x in number.items()}
+    cut = valued.select(*map(_q, right_keys), *[_limbs(x, places).alias(f"_l{i}") for i, x in enumerate(finite.values())], *[x.alias(f"_v{i}") for i, x in enumerate(number.values())])
+    asked = {}
+    for i in range(len(values)):
+        v = F.col(f"_v{i}")
+        asked |= {f"_{j}_{i}": F.get(f"_l{i}", F.lit(j)) for j in range(len(places))}
+        asked[f"_n{i}"] = (v.isNotNull() & ~F.isnan(v)).cast("long")
+        if limbs.infinite:
+            asked |= {f"_up{i}": (v == float("inf")).cast("long"), f"_down{i}": (v == float("-inf")).cast("long")}
+    found = _overlap_sums(_spans(df, keys), cut, keys, right_keys, asked)
+    means = []
+    for i, out in enumerate(values.values()):
+        total = _of_limbs([F.col(f"_{j}_{i}") for j in range(len(places))], places)
+        if limbs.infinite:
+            total = total + F.when(F.col(f"_up{i}") > 0, float("inf")).otherwise(0.0) + F.when(F.col(f"_down{i}") > 0, float("-inf")).otherwise(0.0)
+        means.append(F.when(F.col(f"_n{i}") > 0, total / F.col(f"_n{i}")).alias(out))
+    return _attach(df, found.select(*map(_q, keys), *means), keys)
 
 
 def overlap_count(df: DataFrame, regions: DataFrame, out_col: str, keys=KEYS, right_keys=("chrom", "start", "end")) -> DataFrame:
@@ -157,36 +279,63 @@ def overlap_count(df: DataFrame, regions: DataFrame, out_col: str, keys=KEYS, ri
 
 
 def overlap_labels(df: DataFrame, features: DataFrame, label: str, out_col: str, keys=KEYS, right_keys=("chrom", "start", "end")) -> DataFrame:
-    """Adds the sorted distinct labels of the overlapping features as an array (empty if none)."""
-    pairs = overlap_join(_spans(df, keys), features.select(*map(_q, right_keys), _q(label).alias("_label")), keys, right_keys)
+    """Adds the sorted distinct labels of the overlapping features as an array (empty if none; null labels are none).
+
+    Features of one label are united first, so a span meets a label once an island of
+    it, however many features pile up there.
+    """
+    rc, rs, re = right_keys
+    by_label = features.where(_q(label).isNotNull() & _q(rc).isNotNull()).select(F.struct(_q(rc).alias("c"), _q(label).alias("label")).alias("_of"), _q(rs), _q(re))
+    islands = merge_intervals(by_label, ("_of", rs, re), 0).select(F.col("_of.c").alias(rc), _q(rs), _q(re), F.col("_of.label").alias("_label"))
+    pairs = overlap_join(_spans(df, keys), islands, keys, right_keys)
     found = pairs.groupBy(*map(_q, keys)).agg(F.array_sort(F.collect_set("_label")).alias(out_col))
-    return _attach(df, found, keys).withColumn(out_col, F.coalesce(_q(out_col), F.array().cast("array<string>")))
+    return _attach(df, found, keys).withColumn(out_col, F.coalesce(_q(out_col), F.array().cast(found.schema[out_col].dataType)))
 
 
 def region_semi_join(records: DataFrame, regions: DataFrame, keys=KEYS, right_keys=("chrom", "start", "end"), how: str = "left_semi") -> DataFrame:
-    """Records that overlap a region: once each (left_semi), or once a region (inner), region columns left out."""
-    spans = _spans(records, keys)
+    """Records that overlap a region: once each (left_semi), or once a region (inner), region columns left out.
+
+    For left_semi the regions are united and written to the shared folder; a record then
+    has one key, the bin that it starts in at the level of its length, and a united
+    region the bins in which something that reaches it can start: so records are neither
+    repeated nor joined back, and are not moved at all where the regions are few.
+    """
     if how == "inner":
+        spans = _spans(records, keys)
         hits = overlap_join(spans, regions.select(*map(_q, right_keys)), keys, right_keys)
-    else:  # merged regions give each span few pairs
-        hits = overlap_join(spans, merge_intervals(regions, right_keys, 0), keys, right_keys)
-    hits = hits.select(*[_q(c).alias(f"_k{i}") for i, c in enumerate(keys)])
-    on = [_q(c) == F.col(f"_k{i}") for i, c in enumerate(keys)]
-    return records.join(hits, on, how).select(*map(_q, records.columns))
-
-
-def merge_intervals(df: DataFrame, keys=KEYS, min_dist: int = 1, bin_width: int | None = None) -> DataFrame:
+        hits = hits.select(*[_q(c).alias(f"_k{i}") for i, c in enumerate(keys)])
+        on = [_q(c) == F.col(f"_k{i}") for i, c in enumerate(keys)]
+        return records.join(hits, on, how).select(*map(_q, records.columns))
+    c, s, e = keys
+    spark, path = regions.sparkSession, new_path(regions.sparkSession, "regions")
+    merge_intervals(regions, right_keys, 0).select(*[_q(k).alias(n) for k, n in zip(right_keys, ("_c", "_s", "_e"))]).write.parquet(path)
+    united = spark.read.parquet(path)
+    width = int(united.agg(F.avg(F.col("_e") - F.col("_s"))).first()[0] or 1) + 1
+    # Levels up to the longest record that there can be: none is looked for before.
+    widths = [width]
+    while widths[-1] < 1 << 40:
+        widths.append(widths[-1] * FACTOR)
+    length = _q(e) - _q(s)
+    level, at = F.lit(len(widths) - 1), F.floor(_q(s) / widths[-1])
+    for i in reversed(range(len(widths) - 1)):
+        level, at = F.when(length <= widths[i], i).otherwise(level), F.when(length <= widths[i], F.floor(_q(s) / widths[i])).otherwise(at)
+    reach = F.explode(F.array(*[F.struct(F.lit(i).alias("l"), F.lit(w).cast("long").alias("w")) for i, w in enumerate(widths)]))
+    united = united.withColumn("x", reach).select("_c", "_s", "_e", F.col("x.l").alias("_l"), F.explode(F.sequence(F.floor((F.col("_s") - F.col("x.w")) / F.col("x.w")), F.floor((F.col("_e") - 1) / F.col("x.w")))).alias("_b"))
+    on = (_q(c) == F.col("_c")) & (level == F.col("_l")) & (at == F.col("_b")) & (_q(s) < F.col("_e")) & (F.col("_s") < _q(e)) & (length > 0)
+    return records.join(united, on, "left_semi")
+
+
+def merge_intervals(df: DataFrame, keys=KEYS, min_dist: int = 1, bins: Bins | None = None) -> DataFrame:
     """Union of intervals whose gap is at most min_dist: keys only, disjoint.
 
     An island begins where start > the largest end before it + min_dist. The running
     maximum and the island numbers are scans over a chromosome: done within bins of
-    start, with one row a bin carried from bin to bin, so a chromosome is many tasks.
-    bin_width: by default what makes bins of about BIN_ROWS rows.
+    rows (:func:`cut_bins` by start and end), with one row a bin carried from bin to bin,
+    so a chromosome is many tasks. The chromosome may be a column of any type.
     """
     c, s, e = keys
-    bin_width = bin_width or _bin_width(df, c, s)
     rows = _spans(df, keys).where((_q(e) > _q(s)) & _q(c).isNotNull()).select(_q(c).alias("c"), _q(s).alias("s"), _q(e).alias("e"))
-    rows = rows.withColumn("bin", F.floor(F.col("s") / bin_width))
+    rows = _binned(rows, "c", ("s", "e"), bins)
     before = Window.partitionBy("c").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     carry = rows.groupBy("c", "bin").agg(F.max("e").alias("e")).select("c", "bin", F.max("e").over(before).alias("carry"))
     within = Window.partitionBy("c", "bin").orderBy("s", "e")
@@ -201,35 +350,32 @@ def merge_intervals(df: DataFrame, keys=KEYS, min_dist: int = 1, bin_width: int
     return merged.select(F.col("c").alias(c), F.col("s").alias(s), F.col("e").alias(e))
 
 
-def nearest_interval(df: DataFrame, genes: DataFrame, symbol: str = "symbol", keys=KEYS, right_keys=("chrom", "start", "end"), out_cols=("nearest_symbol", "nearest_distance"), bin_width: int | None = None) -> DataFrame:
+def nearest_interval(df: DataFrame, genes: DataFrame, symbol: str = "symbol", keys=KEYS, right_keys=("chrom", "start", "end"), out_cols=("nearest_symbol", "nearest_distance")) -> DataFrame:
     """Adds the nearest gene's symbol and its distance: the gap between the intervals, 0 if they overlap or touch.
 
     Ties go to the smaller (start, symbol); null where the chromosome has no gene. What
     ends up to s lies to the left: the best is that with the largest end. Of what ends
     beyond s, the smallest start is best: it overlaps if it lies before e, and if it does
     not, nothing overlaps and it is the nearest to the right. So both are scans along the
-    ends, with no pair made, done within bins with one row a bin carried on from either
-    side, as in :func:`merge_intervals`. bin_width: by default what makes bins of about
-    BIN_ROWS rows.
+    ends, with no pair made, done within bins of rows with one row a bin carried on from
+    either side, as in :func:`merge_intervals`.
     """
     whole = lambda name: F.col(name).cast("long").alias(name)
     a = df.select(*[_q(k).alias(n) for k, n in zip(keys, "cse")]).where("e > s and c is not null").select("c", whole("s"), whole("e"))
     g = genes.select(*[_q(k).alias(n) for k, n in zip(right_keys, ("c", "gs", "ge"))], _q(symbol).cast("string").alias("name")).where("ge > gs and c is not null")
     g = g.select("c", whole("gs"), whole("ge"), "name")
     no = F.lit(None).cast("long")
-    places = a.select("c", F.col("s").alias("key")).unionByName(g.select("c", F.col("ge").alias("key")))
-    bin_width = bin_width or _bin_width(places, "c", "key")
     by_end, by_start = F.struct((-F.col("ge")).alias("o"), "gs", "name"), F.struct("gs", "name")
-    rows = a.distinct().select("c", F.col("s").alias("key"), "s", "e", F.lit(None).cast("struct<o:bigint,gs:bigint,name:string>").alias("l"), F.lit(None).cast("struct<gs:bigint,name:string>").alias("r"))
-    rows = rows.unionByName(g.select("c", F.col("ge").alias("key"), no.alias("s"), no.alias("e"), by_end.alias("l"), by_start.alias("r")))
-    rows = rows.withColumn("bin", F.floor(F.col("key") / bin_width))
+    # At equal places ends (0) come before spans (1): they lie to the left.
+    rows = a.distinct().select("c", F.col("s").alias("key"), F.lit(1).alias("k"), "s", "e", F.lit(None).cast("struct<o:bigint,gs:bigint,name:string>").alias("l"), F.lit(None).cast("struct<gs:bigint,name:string>").alias("r"), F.col("e").alias("tie"))
+    rows = rows.unionByName(g.select("c", F.col("ge").alias("key"), F.lit(0).alias("k"), no.alias("s"), no.alias("e"), by_end.alias("l"), by_start.alias("r"), F.col("gs").alias("tie")))
+    rows = _binned(rows, "c", ("key", "k", "tie"))
     past = lambda order: Window.partitionBy("c").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     carry = rows.groupBy("c", "bin").agg(F.min("l").alias("l"), F.min("r").alias("r"))
     carry = carry.select("c", "bin", F.min("l").over(past(F.col("bin"))).alias("l_0"), F.min("r").over(past(F.col("bin").desc())).alias("r_0"))
-    # Ranges of positions, not rows: ends up to s, and ends from s + 1 on.
-    within = Window.partitionBy("c", "bin")
-    rows = rows.withColumn("l", F.min("l").over(within.orderBy("key").rangeBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("r", F.min("r").over(within.orderBy(F.col("key").desc()).rangeBetween(Window.unboundedPreceding, -1)))
+    within = Window.partitionBy("c", "bin").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("l", F.min("l").over(within.orderBy("key", "k", "tie")))
+    rows = rows.withColumn("r", F.min("r").over(within.orderBy(F.col("key").desc(), F.col("k").desc(), F.col("tie").desc())))
     rows = rows.where("s is not null").join(carry, ["c", "bin"])
     rows = rows.select("c", "s", "e", F.least("l", "l_0").alias("l"), F.least("r", "r_0").alias("r"))
     beside = lambda g, d: F.when(F.col(g).isNotNull(), F.struct(d.alias("d"), F.col(f"{g}.gs").alias("gs"), F.col(f"{g}.name").alias("name")))
@@ -239,15 +385,15 @@ def nearest_interval(df: DataFrame, genes: DataFrame, symbol: str = "symbol", ke
     return _attach(df, best, keys)
 
 
-def in_order(df: DataFrame, chrom: str, pos: str, ties=(), out_col: str = "place", bin_width: int | None = None) -> DataFrame:
+def in_order(df: DataFrame, chrom: str, pos: str, ties=(), out_col: str = "place", bins: Bins | None = None) -> DataFrame:
     """Adds a row's place, from 1, along its chromosome by position and ties.
 
-    Rows are numbered within bins of the position, which the counts of the bins before
-    are added to; so a chromosome is many tasks. A null position comes first, a null
+    Rows are numbered within bins (:func:`cut_bins` by position and ties), which the
+    counts of the bins before are added to; so a chromosome is many tasks, and so are the
+    rows of one position if the ties tell them apart. A null position comes first, a null
     chromosome is one of its own.
     """
-    width = bin_width or _bin_width(df, chrom, pos)
-    rows = df.withColumn("_bin", F.floor(_q(pos) / width))
+    rows = _binned(df, chrom, (pos, *ties), bins).withColumnRenamed("bin", "_bin")
     before = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy(_q(chrom).alias("_c"), F.col("_bin").alias("_b")).agg(F.count("*").alias("_n"))
     counts = counts.select("_c", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))

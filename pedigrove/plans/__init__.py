@@ -41,7 +41,9 @@ def overlap_count(spark: SparkSession, d: str) -> DataFrame:
 
 
 def overlap_mean(spark: SparkSession, d: str) -> DataFrame:
-    return op.overlap_mean(view(spark, d, "iv"), view(spark, d, "rg"), {"z": "z_mean"}, IV, IV)
+    """Windows with doubles, as real ones have them; eighths, whose sums any engine has exactly."""
+    windows = view(spark, d, "rg").withColumns({"z": F.col("z").cast("double") / 8, "oe": -F.col("z").cast("double") / 1024})
+    return op.overlap_mean(view(spark, d, "iv"), windows, {"z": "z_mean", "oe": "oe_mean"}, IV, IV)
 
 
 def overlap_labels(spark: SparkSession, d: str) -> DataFrame:
@@ -322,7 +324,7 @@ SELECT l_orderkey, l_linenumber, stripped AS info, alt, allele_num, string_split
   coalesce(string_split(nullif(regexp_extract(stripped, 'MLEAC=([^;]+)', 1), ''), ',')[k], 'NA') AS "MLEAC" FROM p""",
     "interval_overlap": with_views("iv", "rg") + f" SELECT i.chrom, i.start_, i.end_, r.start_ rstart, r.end_ rend FROM iv i JOIN rg r ON {_OVER}",
     "overlap_count": with_views("iv", "rg") + f" SELECT i.chrom, i.start_, i.end_, count(r.start_) n FROM iv i LEFT JOIN rg r ON {_OVER} GROUP BY ALL",
-    "overlap_mean": with_views("iv", "rg") + f" SELECT i.chrom, i.start_, i.end_, CAST(sum(r.z) AS DOUBLE) / nullif(count(r.z), 0) z_mean FROM iv i LEFT JOIN rg r ON {_OVER} GROUP BY ALL",
+    "overlap_mean": with_views("iv", "rg") + f" SELECT i.chrom, i.start_, i.end_, sum(r.z / 8.0e0) / nullif(count(r.z), 0) z_mean, sum(-r.z / 1024.0e0) / nullif(count(r.z), 0) oe_mean FROM iv i LEFT JOIN rg r ON {_OVER} GROUP BY ALL",
     "overlap_labels": with_views("iv", "rg") + f" SELECT i.chrom, i.start_, i.end_, coalesce(string_agg(DISTINCT r.symbol, ',' ORDER BY r.symbol), '') symbols FROM iv i LEFT JOIN rg r ON {_OVER} GROUP BY ALL",
     "merge_intervals": with_views("iv") + """, m AS (
   SELECT *, max(end_) OVER (PARTITION BY chrom ORDER BY start_, end_ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) reach FROM iv),

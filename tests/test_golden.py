@@ -87,7 +87,7 @@ def test_merge_intervals(spark):
     assert merged([(0, 10), (11, 12)]) == [(0, 12)] and merged([(0, 10), (12, 13)]) == [(0, 10), (12, 13)]
     rows = [(i * 7 % 1000, i * 7 % 1000 + i % 13 + 1) for i in range(300)]
     once = merged(rows)
-    assert once == merged(rows, bin_width=10) == merged(once) and all(a[1] + 1 < b[0] for a, b in zip(once, once[1:]))
+    assert once == merged(once) and all(a[1] + 1 < b[0] for a, b in zip(once, once[1:]))
 
 
 def test_overlap_join_equals_plain_join(spark):
@@ -103,18 +103,22 @@ def test_overlap_join_equals_plain_join(spark):
         assert sorted(((r[0], r[1], r[2]), (r[3], r[4], r[5])) for r in got.collect()) == want
 
 
-@pytest.mark.parametrize("width", [1, 50, None])
-def test_nearest_equals_brute_force(spark, width):
+@pytest.mark.parametrize("rows_a_bin", [1, 7, 2048])
+def test_nearest_equals_brute_force(spark, monkeypatch, rows_a_bin):
     """Short and long genes, touching and repeated ones, equal spans; nulls and empty intervals have no neighbour and are none."""
     import random
 
+    from pedigrove.operators import intervals as iv
+
+    monkeypatch.setattr(iv, "BIN_ROWS", rows_a_bin)
+    monkeypatch.setattr(iv, "EDGE_ROWS", 1)
     rng = random.Random(2)
     genes = [("1", s := rng.randrange(2000), s + rng.randrange(1, 40), f"g{i % 9}") for i in range(40)]
     genes += [("1", s := rng.randrange(1500), s + rng.randrange(100, 500), f"h{i}") for i in range(3)] + genes[:3]
     genes += [("1", 700, 700, "empty"), ("1", None, 700, "null"), (None, 1, 2000, "nowhere"), ("3", 5, 9, None)]
     spans = [("1", s := rng.randrange(2100), s + rng.randrange(1, 9)) for _ in range(80)] + [("2", 1, 2), ("3", 9, 11), ("3", 1, 5), ("3", 1, 5)]
     spans += [("1", 5, 5), ("1", None, 5), (None, 5, 9)] + [("1", genes[0][2], genes[0][2] + 3), ("1", genes[1][1] - 2, genes[1][1])]
-    got = op.nearest_interval(intervals(spark, spans), intervals(spark, genes, "chrom string, start long, end long, symbol string"), keys=("chrom", "start", "end"), bin_width=width).collect()
+    got = op.nearest_interval(intervals(spark, spans), intervals(spark, genes, "chrom string, start long, end long, symbol string"), keys=("chrom", "start", "end")).collect()
     assert sorted(map(str, ((r.chrom, r.start, r.end) for r in got))) == sorted(map(str, spans))
     good = [g for g in genes if None not in g[:3] and g[1] < g[2]]
     for r in got:
@@ -131,6 +135,7 @@ def test_counts_and_means_by_scan(spark, monkeypatch, rows_a_bin):
     from pedigrove.operators import intervals as iv
 
     monkeypatch.setattr(iv, "BIN_ROWS", rows_a_bin)
+    monkeypatch.setattr(iv, "EDGE_ROWS", 1)
     rng = random.Random(4)
     spans = [(rng.choice("ab"), s := rng.randrange(300), s + rng.randrange(0, 12)) for _ in range(120)] + [("c", 1, 2), ("a", 0, 400)]
     regions = [(rng.choice("ab"), s := rng.randrange(300), s + rng.randrange(0, 20), rng.choice([None, 3, -7, 10])) for _ in range(150)] + [("a", 0, 300, 5), ("b", 10, 250, None), (None, 1, 5, 1)]
@@ -148,6 +153,98 @@ def test_counts_and_means_by_scan(spark, monkeypatch, rows_a_bin):
         assert [p for p, *_ in mine] == list(range(1, len(mine) + 1)) and [x[1:] for x in mine] == sorted(x[1:] for x in mine)
 
 
+@pytest.mark.parametrize("rows_a_bin", [1, 5])
+def test_merge_in_small_bins(spark, monkeypatch, rows_a_bin):
+    import random
+
+    from pedigrove.operators import intervals as iv
+
+    rng = random.Random(6)
+    rows = [(rng.choice("ab"), s := rng.randrange(3000), s + rng.randrange(-1, 30)) for _ in range(300)] + [("a", 100, 900), ("a", None, 3), (None, 3, 4)]
+    k = ("chrom", "start", "end")
+    want = op.merge_intervals(intervals(spark, rows), k).collect()
+    monkeypatch.setattr(iv, "BIN_ROWS", rows_a_bin)
+    monkeypatch.setattr(iv, "EDGE_ROWS", 1)
+    assert sorted(op.merge_intervals(intervals(spark, rows), k).collect()) == sorted(want)
+    places = op.in_order(intervals(spark, rows), "chrom", "start", ("end",)).collect()
+    for c in ("a", "b", None):
+        mine = sorted(r.place for r in places if r.chrom == c)
+        assert mine == list(range(1, len(mine) + 1))
+        assert [(r.start or -1, r.end) for r in sorted(places, key=lambda r: r.place) if r.chrom == c] == sorted((r[1] or -1, r[2]) for r in rows if r[0] == c)
+
+
+def test_bins_follow_rows_not_positions(spark):
+    """One far outlier, and many rows on three positions: no bin has more than three times the rows aimed at, where ties may be split."""
+    from pedigrove.operators import intervals as iv
+
+    even = spark.range(200_000).selectExpr("'1' as c", "id % 20000 as p", "id as tie").unionByName(spark.createDataFrame([("1", 3_000_000_000, 0)], "c string, p long, tie long"))
+    piled = spark.range(100_000).selectExpr("'2' as c", "id % 3 as p", "id as tie")
+    for rows in (even, piled, even.unionByName(piled)):
+        sizes = [r["count"] for r in iv._binned(rows, "c", ("p", "tie")).groupBy("c", "bin").count().collect()]
+        assert max(sizes) <= 3 * iv.BIN_ROWS and len(sizes) <= 2 * (rows.count() / iv.BIN_ROWS + 2)
+    bins = iv._binned(piled, "c", ("p", "tie")).groupBy("bin").agg(F.min(F.struct("p", "tie")).alias("a"), F.max(F.struct("p", "tie")).alias("b")).orderBy("bin").collect()
+    assert all(x.b < y.a for x, y in zip(bins, bins[1:]))
+    # Given bins are used as they are.
+    k = ("c", "p", "tie")
+    some = even.withColumn("tie", F.col("p") + 1 + F.col("tie") % 3)
+    bins = op.cut_bins(some.select(*k).distinct(), "c", ("p", "tie"))
+    assert sorted(op.merge_intervals(some, k, bins=bins).collect()) == sorted(op.merge_intervals(some, k).collect())
+
+
+def test_means_of_doubles_are_exact(spark):
+    """Values of any size, infinities, NaN and nulls against fractions; no pair of intervals is joined."""
+    import math
+    import random
+    import re
+    from fractions import Fraction
+
+    rng = random.Random(7)
+    odd = [None, float("nan"), 0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, 0.1, -0.3, 1e-300]
+    regions = [("a", s := rng.randrange(400), s + rng.randrange(1, 30), rng.choice(odd) if rng.random() < 0.3 else rng.uniform(-3, 3) * 10 ** rng.randrange(-20, 20)) for _ in range(300)]
+    regions += [("a", 450, 460, float("inf")), ("a", 455, 470, float("-inf")), ("a", 440, 452, 2.5), ("b", 0, 10, 0.1), ("b", 0, 10, 0.2), ("b", 5, 10, 0.3)]
+    spans = [("a", s := rng.randrange(480), s + rng.randrange(1, 9)) for _ in range(150)] + [("b", 1, 2), ("b", 6, 7), ("b", 20, 21), ("a", 450, 452), ("a", 456, 458), ("a", 465, 466)]
+    df = op.overlap_mean(intervals(spark, spans), intervals(spark, regions, "chrom string, start long, end long, z double"), {"z": "m"}, ("chrom", "start", "end"))
+    for r in df.collect():
+        z = [g[3] for g in regions if g[0] == r.chrom and r.start < g[2] and g[1] < r.end and g[3] is not None and not math.isnan(g[3])]
+        if any(map(math.isinf, z)):
+            assert str(r.m) == str(sum(x for x in z if math.isinf(x)))
+        elif z:
+            total = sum(map(Fraction, z), Fraction(0))
+            want = float(total) / len(z) if abs(total) < 2**1023 else None
+            assert want is None or abs(Fraction(r.m) - Fraction(want)) <= abs(Fraction(want)) * Fraction(1, 10**15) + Fraction(1, 2**1074)
+        else:
+            assert r.m is None
+    tidy = df.where("chrom = 'b'").collect()
+    assert {(r.start, r.m) for r in tidy} == {(1, (0.1 + 0.2) / 2), (6, float(Fraction(0.1) + Fraction(0.2) + Fraction(0.3)) / 3), (20, None)}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Join" in line and re.search(r"\b(start|end|s|e)#\d+L? [<>]", line)]
+
+
+def test_labels_meet_a_span_once_an_island(spark):
+    features = spark.range(2000).selectExpr("'1' as chrom", "id % 50 as start", "id % 50 + 60 as end", "concat('L', id % 3) as label")
+    features = features.unionByName(spark.createDataFrame([("1", 500, 510, None), ("1", 505, 506, "x"), (None, 1, 2, "y")], "chrom string, start long, end long, label string"))
+    k = ("chrom", "start", "end")
+    spans = intervals(spark, [("1", i, i + 5) for i in range(100)] + [("1", 504, 506), ("2", 1, 2), ("1", 502, 503)])
+    got = {(r.chrom, r.start): r.labels for r in op.overlap_labels(spans, features, "label", "labels", k).collect()}
+    assert all(got["1", i] == ["L0", "L1", "L2"] for i in range(100)) and got["1", 504] == ["x"] and got["2", 1] == got["1", 502] == []
+
+
+def test_region_semi_join_equals_brute_force(spark):
+    import random
+
+    rng = random.Random(8)
+    regions = [(rng.choice("ab"), s := rng.randrange(100_000), s + rng.choice([1, 5, 40, 3000])) for _ in range(60)] + [("a", 5, 5), ("a", None, 9), (None, 1, 99)]
+    records = [(rng.choice("abc"), s := rng.randrange(-50, 110_000), s + rng.choice([1, 1, 1, 2, 30, 900, 70_000])) for _ in range(3000)] + [("a", 0, 10**9), ("b", 7, 7), ("a", 9, 2), (None, 1, 2), ("a", None, 2)]
+    records += records[:5]
+    k = ("chrom", "start", "end")
+    df = intervals(spark, records).withColumn("more", F.lit(1))
+    got = op.region_semi_join(df, intervals(spark, regions, "rc string, rs long, re long"), k, ("rc", "rs", "re"))
+    good = [g for g in regions if None not in g and g[2] > g[1]]
+    want = [r for r in records if None not in r and r[2] > r[1] and any(g[0] == r[0] and r[1] < g[2] and g[1] < r[2] for g in good)]
+    assert sorted((r.chrom, r.start, r.end) for r in got.collect()) == sorted(want) and got.columns == df.columns
+    assert op.region_semi_join(df, intervals(spark, []), k).isEmpty()
+
+
 def test_region_semi_join_modes(spark):
     k = ("chrom", "start", "end")
     v, rg = intervals(spark, [("1", 5, 30), ("1", 50, 51)]), intervals(spark, [("1", 0, 10), ("1", 20, 40)])
