@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import ceil_div
+from ..functions import ceil_div, info_value
 from ..schemas import INTERVAL, MERGE_KEYS
 
 GENOTYPE_COLUMNS = ("SAMPLE", "GT", "GQ", "DP", "AD", "FAMILY")
@@ -43,6 +43,17 @@ def merge_annotations(resolved: DataFrame, variants: DataFrame, keys=MERGE_KEYS,
     )
 
 
+def end_differs(info: str = "INFO", pos0: str = "POS0", ref: str = "REF"):
+    """Whether INFO tells an END other than POS0 + length of REF (symbolic and structural records): the two rules do not meet in a join then."""
+    told = info_value(info, "END", anchored=True).try_cast("long")
+    return F.coalesce(told != _q(pos0) + F.length(_q(ref)), F.lit(False))
+
+
+def end_differences(sites: DataFrame, chrom: str = "#CHROM", info: str = "INFO", pos0: str = "POS0", ref: str = "REF") -> DataFrame:
+    """chrom, sites, differing: how many records of a chromosome have an INFO/END of their own (see :func:`end_differs`)."""
+    return sites.groupBy(_q(chrom).alias("chrom")).agg(F.count("*").alias("sites"), F.count_if(end_differs(info, pos0, ref)).alias("differing"))
+
+
 def position_sort(df: DataFrame, keys=INTERVAL[:2], ties=("END", "REF", "ALT_specific", "FAMILY", "SAMPLE", "allele_num")) -> DataFrame:
     """By chromosome (binary text order) and numeric start, then by what ties there are."""
     return df.orderBy(*[_q(c) for c in (*keys, *ties) if c in df.columns])

@@ -2,6 +2,7 @@
 
 from . import lines
 from .lines import write_block_gzip
+from .manifest import check_stage, manifest, read_checked, write_checked
 from .readers import (
     input_paths,
     read_bed,
@@ -19,7 +20,7 @@ from .vcf import packed_fields, read_packed_annotations, read_sites, read_vcf, v
 from .writers import write_bed, write_sorted, write_stage, write_tsv
 
 __all__ = [
-    "input_paths", "new_path", "packed_fields", "read_bed", "read_bed_strict", "read_constraint", "read_gene_posterior", "read_genotypes", "read_packed_annotations",
-    "read_pedigree", "read_sites", "read_stage", "read_tsv", "read_valued_intervals", "read_vcf", "shared_dir", "vcf_header", "vcf_samples", "write_bed", "write_block_gzip",
+    "check_stage", "input_paths", "manifest", "new_path", "packed_fields", "read_bed", "read_bed_strict", "read_checked", "read_constraint", "read_gene_posterior", "read_genotypes", "read_packed_annotations",
+    "read_pedigree", "read_sites", "read_stage", "read_tsv", "read_valued_intervals", "read_vcf", "shared_dir", "vcf_header", "vcf_samples", "write_bed", "write_block_gzip", "write_checked",
     "write_sorted", "write_stage", "write_tsv",
 ]

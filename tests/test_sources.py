@@ -81,7 +81,7 @@ def test_whole_run(spark, tmp_path):
     sources.write_tsv(out, str(tmp_path / "tsv"))
     sources.write_bed(regions, str(tmp_path / "bed"))
     assert sources.read_bed(spark, str(tmp_path / "bed")).first().end == 100
-    assert sources.read_stage(spark, str(tmp_path / "out" / "final"), ["chr1"]).count() == 3
+    assert sources.read_checked(spark, str(tmp_path / "out" / "final"), ["chr1"]).count() == 3
     rows = [("1", 5, 7, "b"), ("1", 5, 6, "z"), ("1", 5, 6, "a"), ("10", 1, 2, "a"), ("2", 9, 10, "a"), (None, 1, 2, "a")]
     sources.write_sorted(spark.createDataFrame(rows, "`#CHROM` string, POS0 long, END long, REF string"), str(tmp_path / "sorted"), partitions=1)
     back = sources.read_stage(spark, str(tmp_path / "sorted"))
