@@ -82,6 +82,14 @@ def exact_lookup(spark: SparkSession, d: str) -> DataFrame:
     return op.annotate_exact(view(spark, d, "ann"), view(spark, d, "scores"), on, {"score": "score"}).withColumn("score", F.col("score").cast("double"))
 
 
+def bucketed_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """The same lookup against a score table in buckets of its keys, which is not moved."""
+    path = sources.new_path(spark, "scores")
+    scores = sources.write_bucketed(view(spark, d, "scores"), f"scores_{path[-32:]}", path, ("chrom", "pos0", "ref", "alt"), 16)
+    on = {"chrom": "chrom", "pos0": "pos0", "ref": "ref", "alt_specific": "alt"}
+    return op.annotate_exact(view(spark, d, "ann"), scores, on, {"score": "score"}).withColumn("score", F.col("score").cast("double"))
+
+
 def impact_filter(spark: SparkSession, d: str) -> DataFrame:
     return op.impact_filter(view(spark, d, "ann"), "impact")
 
@@ -260,6 +268,16 @@ def sorted_table(spark: SparkSession, d: str) -> DataFrame:
     return sources.read_stage(spark, path, ["1", "2", "3"])
 
 
+def region_read(spark: SparkSession, d: str) -> DataFrame:
+    """Records of the sorted table that overlap regions, by its index; regions at the first hundredth of the parts, long ones among the records."""
+    path = sources.new_path(spark, "indexed")
+    rows = _genotypes(spark, d).withColumn("END", F.col("END") + F.when(F.col("POS0") % 97 == 0, 500).otherwise(0))
+    sources.write_sorted(rows, path)
+    sources.write_index(spark, path)
+    regions = view(spark, d, "geno").where("pos0 % 100 = 3").select(F.expr("substr(chrom, 4, 9)").alias("chrom"), F.col("pos0").alias("start"), (F.col("pos0") + 2).alias("end"))
+    return sources.read_regions(spark, path, regions)
+
+
 def stage_paths(spark: SparkSession, d: str) -> DataFrame:
     """One table a chromosome, written as stages and read as one from a list and a pattern."""
     folder, rows = sources.new_path(spark, "stages"), _genotypes(spark, d)
@@ -290,10 +308,10 @@ QUERIES = {
     f.__name__: f
     for f in (
         family_expand, resolve_alleles, info_per_allele, interval_overlap, overlap_count, overlap_mean, overlap_labels, merge_intervals,
-        region_semi_join, nearest_interval, gene_constraint, transcript_lookup, gene_posterior, exact_lookup, impact_filter, severity_filter,
+        region_semi_join, nearest_interval, gene_constraint, transcript_lookup, gene_posterior, exact_lookup, bucketed_lookup, impact_filter, severity_filter,
         packed_split, merge_annotations, missing_samples, extra_samples, chunk_numbers, stage_reconcile, chrom_normalize, position_sort,
         chunk_union, drop_genotypes, family_region_expand, genotype_text, vcf_read, packed_read, bed_read, bed_strict_read, pedigree_read, tsv_read, genotype_tsv,
-        constraint_read, posterior_read, windows_read, sorted_table, stage_paths, clean_columns, optional_columns, first_missing,
+        constraint_read, posterior_read, windows_read, sorted_table, region_read, stage_paths, clean_columns, optional_columns, first_missing,
     )
 }
 
@@ -344,6 +362,7 @@ SELECT ann.*, c.a AS "gnomad_lof_pLI_max", c.b AS gnomad_lof_oe_ci_upper_min, c.
     "gene_posterior": with_views("ann", "post") + """ SELECT ann.*, obs_lof AS genebayes_obs_lof, exp_lof AS genebayes_exp_lof, prior_mean AS genebayes_prior_mean, post_mean AS genebayes_post_mean,
   post_lower_95 AS genebayes_post_lower_95, post_upper_95 AS genebayes_post_upper_95 FROM ann LEFT JOIN post ON symbol = ensg""",
     "exact_lookup": with_views("ann", "scores") + " SELECT ann.*, CAST(score AS DOUBLE) score FROM ann LEFT JOIN scores s ON s.chrom = ann.chrom AND s.pos0 = ann.pos0 AND s.ref = ann.ref AND s.alt = alt_specific",
+    "bucketed_lookup": with_views("ann", "scores") + " SELECT ann.*, CAST(score AS DOUBLE) score FROM ann LEFT JOIN scores s ON s.chrom = ann.chrom AND s.pos0 = ann.pos0 AND s.ref = ann.ref AND s.alt = alt_specific",
     "impact_filter": with_views("ann") + " SELECT * FROM ann WHERE impact IN ('HIGH', 'MODERATE')",
     "severity_filter": with_views("ann", "ranks") + " SELECT * FROM ann WHERE (SELECT max(rank) FROM ranks WHERE list_contains(string_split(consequence, '&'), term)) >= 4",
     "packed_split": with_views("pk") + """, s AS (SELECT p_partkey, string_split(unnest(string_split(csq, ',')), '|') p FROM pk)
@@ -387,6 +406,9 @@ SELECT concat('chr', CAST(k % 3 + 1 AS VARCHAR)) "#CHROM", k - 1 "POS0", k "END"
     "posterior_read": with_views("post") + " SELECT * FROM post",
     "windows_read": with_views("rg") + ' SELECT chrom, start_ "start", end_ "end", CAST(z AS DOUBLE) z, z / 8.0e0 oe FROM rg',
     "sorted_table": with_views("geno", "genotypes") + """ SELECT chrom "#CHROM", pos0 "POS0", end0 "END", pos "POS", ref "REF", alt "ALT", sample "SAMPLE", gt "GT", gq "GQ", dp "DP", ad "AD", family "FAMILY" FROM genotypes""",
+    "region_read": with_views("geno", "genotypes") + """, g AS (SELECT chrom "#CHROM", pos0 "POS0", end0 + CASE WHEN pos0 % 97 = 0 THEN 500 ELSE 0 END "END", pos "POS", ref "REF", alt "ALT", sample "SAMPLE", gt "GT", gq "GQ", dp "DP", ad "AD", family "FAMILY" FROM genotypes),
+reg AS (SELECT DISTINCT chrom c, pos0 s, pos0 + 2 e FROM genotypes WHERE pos0 % 100 = 3)
+SELECT * FROM g WHERE EXISTS (SELECT 1 FROM reg WHERE c = "#CHROM" AND "POS0" < e AND s < "END")""",
     "stage_paths": with_views("geno", "genotypes") + """ SELECT chrom "#CHROM", pos0 "POS0", end0 "END", pos "POS", ref "REF", alt "ALT", sample "SAMPLE", gt "GT", gq "GQ", dp "DP", ad "AD", family "FAMILY" FROM genotypes""",
     "clean_columns": with_views("info") + ' SELECT l_orderkey, l_linenumber, info "INFO", alt "ALT", allele_num "ALLELE_NUM" FROM info',
     "optional_columns": with_views("geno") + _RESOLVED + """

@@ -79,3 +79,49 @@ def test_a_stage_half_written_is_refused(spark, tmp_path):
     empty = str(tmp_path / "empty")
     sources.write_checked(df.limit(0), empty, ordered=True)
     assert sources.read_checked(spark, empty).isEmpty() and sources.read_checked(spark, empty).columns == df.columns
+
+
+def test_region_reads_skip_row_groups(spark, tmp_path):
+    """One hundredth of the positions in 30 regions: the ranges touch under a twentieth of the row groups; records that begin far before a region are found."""
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "t")
+    df = spark.range(200_000).select((F.col("id") % 2 + 1).cast("string").alias("#CHROM"), (F.col("id") * 50).alias("POS0"), (F.col("id") * 50 + F.when(F.col("id") == 7777, 3_000_000).otherwise(1)).alias("END"), F.sha2(F.col("id").cast("string"), 256).alias("REF"))
+    spark.conf.set("parquet.block.size", 1 << 15)
+    spark.conf.set("parquet.block.size.row.check.min", 100)
+    try:
+        sources.write_sorted(df, path, partitions=8)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    sources.write_index(spark, path)
+    regions = spark.createDataFrame([("1", 5_000_000 + i * 3000, 5_000_000 + i * 3000 + 50) for i in range(30)] + [("2", 1_000_000, 1_000_010)], "chrom string, start long, end long")
+    got = sources.read_regions(spark, path, regions)
+    want = op.region_semi_join(df, regions)
+    assert sorted((r["#CHROM"], r.POS0) for r in got.collect()) == sorted((r["#CHROM"], r.POS0) for r in want.collect())
+    assert "PushedFilters" in got._jdf.queryExecution().executedPlan().toString()
+    ranges = sources.region_ranges(spark, path, regions)
+    total = touched = 0
+    for f in glob.glob(f"{path}/_chromosome=*/*.parquet"):
+        told, chrom = pq.ParquetFile(f).metadata, f.split("chrom-")[1].split("/")[0]
+        at = [i for i in range(told.num_columns) if told.row_group(0).column(i).path_in_schema == "POS0"][0]
+        for g in range(told.num_row_groups):
+            low, high = told.row_group(g).column(at).statistics.min, told.row_group(g).column(at).statistics.max
+            total += 1
+            touched += any(c == chrom and lo <= high and low < hi for c, lo, hi in ranges)
+    assert total > 100 and touched < 0.05 * total
+    assert sources.read_regions(spark, path, regions.limit(0)).isEmpty()
+
+
+def test_bucketed_lookup_moves_one_side(spark, tmp_path):
+    scores = spark.range(3000).selectExpr("concat('c', id % 3) as chrom", "id as pos", "id / 2 as score")
+    table = sources.write_bucketed(scores, "scores_of_a_test", str(tmp_path / "scores"), ("chrom", "pos"), 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = op.annotate_exact(spark.createDataFrame([("c1", 1), ("c1", 2), (None, 4)], "chrom string, pos long"), table, {"chrom": "chrom", "pos": "pos"}, {"score": "s"})
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert {(r.chrom, r.pos, r.s) for r in out.collect()} == {("c1", 1, 0.5), ("c1", 2, None), (None, 4, None)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop table scores_of_a_test")
+    scan = plan.index("Bucketed: true")
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange" not in plan[plan.rindex("Sort [", 0, scan) : scan]
