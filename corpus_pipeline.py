@@ -19,12 +19,21 @@ def _labels(spark, sf_dir: str) -> DataFrame:
 
 
 def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier rejects go."""
+    """Documents that the toxicity classifier rejects go.
+
+    Null and empty texts are scored as texts without words, repeated rows alike; rows
+    without an id are scored and kept or dropped by their texts. Without labels nothing
+    goes; an empty table stays empty. Columns other than those of documents are left out.
+    """
     return toxicity.drop_toxic(docs.select(COLUMNS), toxicity.train(docs, _labels(spark, sf_dir)))
 
 
 def keep_good(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go.
+
+    Odd rows as in :func:`drop_toxic`: a null text is an empty one and is scored, repeated
+    rows are scored alike, without labels nothing goes.
+    """
     return quality.keep_good(docs.select(COLUMNS), quality.train(docs, _labels(spark, sf_dir)))
 
 
@@ -39,12 +48,20 @@ def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows repeated or left out so that sources meet their target weights."""
+    """Rows repeated or left out so that sources meet their target weights.
+
+    A null source is one of its own, last. Rows without words are taken 0 times. Repeated
+    rows and rows without an id are rows like others; an empty table stays empty.
+    """
     return mixing.repeat_rows(mixing.mix(docs.select(COLUMNS))).select(COLUMNS)
 
 
 def pack_sequences(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of packed sequences."""
+    """Pieces of packed sequences: doc_id, start, length and place of each.
+
+    A null text is an empty one and gives its end id; repeated rows are packed one by one,
+    rows without an id too. An empty table gives no piece.
+    """
     return packing.pack(docs)
 
 
