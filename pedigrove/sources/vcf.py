@@ -45,14 +45,15 @@ def vcf_header(spark: SparkSession, path) -> list[str]:
 def _with_names(spark: SparkSession, rows: DataFrame, files: list[str]) -> DataFrame:
     """Adds names, the sample columns of the row's own file. Equal headers are kept once."""
     heads = _headers(spark, files).select("path", F.slice(F.split("value", "\t"), 10, 1 << 30).alias("names"), F.xxhash64("value").alias("header"), F.length("value").alias("size"))
-    of_file = {r["path"]: r["header"] for r in heads.select("path", "header").collect()}  # a row a file, as Spark's own list of them
+    found = heads.select("path", "header", "size").collect()  # a short row a file, as Spark's own list of them
+    of_file = {r["path"]: r["header"] for r in found}
     if gone := [f for f in files if f not in of_file]:
         raise ValueError(f"no #CHROM line in {gone[:5]}")
-    lists = heads.groupBy("header").agg(F.first("names").alias("names"), F.first("size").alias("size"))
+    lists = heads.groupBy("header").agg(F.first("names").alias("names"))
     known = F.broadcast(spark.createDataFrame(list(of_file.items()), "path string, header long"))
-    if lists.agg(F.sum("size")).first()[0] <= BROADCAST_BYTES:
+    if sum({r["header"]: r["size"] for r in found}.values()) <= BROADCAST_BYTES:
         lists = F.broadcast(lists)
-    return rows.join(known, "path").join(lists.drop("size"), "header").drop("path", "header")
+    return rows.join(known, "path").join(lists, "header").drop("path", "header")
 
 
 def read_vcf(spark: SparkSession, path, samples: list[str] | None = None, **options) -> DataFrame:
