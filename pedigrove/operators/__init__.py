@@ -17,6 +17,7 @@ from .intervals import (
     chunk_numbers,
     cut_bins,
     in_order,
+    interval_lengths,
     limb_places,
     merge_intervals,
     nearest_interval,
@@ -32,7 +33,7 @@ from .resolve import resolve_alleles
 
 __all__ = [
     "annotate_exact", "chunk_numbers", "clean_annotation_columns", "constraint_by_gene", "constraint_by_transcript", "cut_bins", "drop_genotypes",
-    "end_differences", "end_differs", "extra_samples", "family_expand", "gene_posterior", "impact_filter", "in_order", "limb_places", "merge_annotations", "merge_intervals", "missing_samples",
+    "end_differences", "end_differs", "extra_samples", "family_expand", "gene_posterior", "impact_filter", "in_order", "interval_lengths", "limb_places", "merge_annotations", "merge_intervals", "missing_samples",
     "nearest_interval", "normalize_chrom", "overlap_count", "overlap_join", "overlap_labels", "overlap_mean", "per_allele_fields",
     "position_sort", "region_semi_join", "require_columns", "require_known_samples", "resolve_alleles", "severity_at_least",
     "split_packed", "stage_reconcile", "strip_info_tail", "union_stages", "warn_of_extra_samples",

@@ -28,48 +28,57 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _lengths(df: DataFrame, keys) -> tuple[float, float]:
-    """90th percentile and maximum of the lengths (one aggregate)."""
-    length = _q(keys[2]) - _q(keys[1])
-    row = df.where(length > 0).agg(F.percentile_approx(length, 0.9), F.max(length)).first()
-    return (row[0] or 1, row[1] or 1)
+@dataclass
+class Lengths:
+    """What the bins of a pair join follow from: a usual length of intervals and the longest one, of both sides."""
+
+    usual: int
+    longest: int
+
 
+def interval_lengths(left: DataFrame, right: DataFrame, keys=KEYS, right_keys=KEYS) -> Lengths:
+    """The larger 90th percentile of lengths and the largest length of two tables (one aggregate over both)."""
+    of = lambda df, k, side: df.select(F.lit(side).alias("side"), (_q(k[2]) - _q(k[1])).alias("length")).where("length > 0")
+    sides = of(left, keys, 0).unionAll(of(right, right_keys, 1)).groupBy("side").agg(F.percentile_approx("length", 0.9).alias("usual"), F.max("length").alias("longest"))
+    row = sides.agg(F.max("usual"), F.max("longest")).first()
+    return Lengths(int(row[0] or 1), int(row[1] or 1))
 
-def overlap_join(left: DataFrame, right: DataFrame, keys=KEYS, right_keys=KEYS, width: int | None = None, suffix: str = "_right") -> DataFrame:
+
+def overlap_join(left: DataFrame, right: DataFrame, keys=KEYS, right_keys=KEYS, width: int | None = None, suffix: str = "_right", lengths: Lengths | None = None) -> DataFrame:
     """Pairs of overlapping intervals: left's columns, then right's (renamed by suffix where names clash, in either case).
 
     Both sides are cut to bins and joined on (chromosome, level, bin), so that neither a
     chromosome nor a long interval is one task's work: an interval's level is that at
     which it spans about FACTOR bins at most, a pair meets at the higher of its two
     levels, in the later of the two first bins. Lower-level intervals are sent up only to
-    levels that the other side has. width: of the finest bins, by default the larger
-    90th percentile of lengths.
+    levels up to that of the longest. lengths: by default :func:`interval_lengths`, which reads
+    both sides' coordinates; pass it to start no job here. Pairs are right whatever it says.
+    width: of the finest bins, by default the usual length.
     """
     taken = {c.lower() for c in left.columns}
     clash = {c: f"{c}{suffix}" for c in right.columns if c.lower() in taken}
     right = right.withColumnsRenamed(clash)
     right_keys = tuple(clash.get(c, c) for c in right_keys)
-    (p1, m1), (p2, m2) = _lengths(left, keys), _lengths(right, right_keys)
-    width = int(width or max(p1, p2, 1))
-    levels = [0]
-    while width * FACTOR ** (levels[-1] + 1) < max(m1, m2):
-        levels.append(levels[-1] + 1)
+    lengths = interval_lengths(left, right, keys, right_keys) if lengths is None else lengths
+    widths = [int(width or max(lengths.usual, 1))]
+    while widths[-1] * FACTOR < lengths.longest:
+        widths.append(widths[-1] * FACTOR)
+    top = len(widths) - 1
 
     def level_of(df, k):
         length = _q(k[2]) - _q(k[1])
-        out = F.lit(len(levels) - 1)
-        for i in reversed(levels[:-1]):
-            out = F.when(length <= width * FACTOR ** (i + 1), i).otherwise(out)
-        return df.where(length > 0).where(_q(k[0]).isNotNull()).withColumn("_level", out)
+        out = F.lit(top)
+        for i in reversed(range(top)):
+            out = F.when(length <= widths[i + 1], i).otherwise(out)
+        return df.where((length > 0) & _q(k[0]).isNotNull()).withColumn("_l", out)
 
     def bins(df, k, above: bool):
         """At the own level, or at all levels above it."""
-        at = [F.struct(F.lit(i).alias("l"), F.lit(width * FACTOR**i).cast("long").alias("w")) for i in levels]
-        chosen = F.filter(F.array(*at), lambda x: (x["l"] > F.col("_level")) if above else (x["l"] == F.col("_level")))
-        df = df.withColumn("_at", F.explode(chosen))
-        first = F.floor(_q(k[1]) / F.col("_at.w"))
-        df = df.withColumn("_first", first).withColumn("_bin", F.explode(F.sequence(first, F.floor((_q(k[2]) - 1) / F.col("_at.w")))))
-        return df.withColumn("_l", F.col("_at.l")).drop("_at", "_level")
+        if above:
+            df = df.where(F.col("_l") < top).withColumn("_l", F.explode(F.sequence(F.col("_l") + 1, F.lit(top))))
+        w = F.element_at(F.array(*[F.lit(x).cast("long") for x in widths]), F.col("_l") + 1) if top else F.lit(widths[0])
+        first, last = F.floor(_q(k[1]) / w), F.floor((_q(k[2]) - 1) / w)
+        return df.withColumn("_first", first).withColumn("_bin", F.explode(F.sequence(F.col("_first"), last)))
 
     a, b = level_of(left, keys), level_of(right, right_keys)
 
@@ -80,7 +89,7 @@ def overlap_join(left: DataFrame, right: DataFrame, keys=KEYS, right_keys=KEYS,
         return x.join(y, on).drop("_first", "_bin", "_l", "_first2", "_bin2", "_l2")
 
     pairs = [meet(bins(a, keys, False), bins(b, right_keys, False))]
-    if len(levels) > 1:
+    if top:
         pairs += [meet(bins(a, keys, False), bins(b, right_keys, True)), meet(bins(a, keys, True), bins(b, right_keys, False))]
     return reduce(DataFrame.unionByName, pairs)
 
@@ -278,16 +287,21 @@ def overlap_count(df: DataFrame, regions: DataFrame, out_col: str, keys=KEYS, ri
     return _attach(df, counted, keys).withColumn(out_col, F.coalesce("_n", F.lit(0).cast("long"))).drop("_n")
 
 
-def overlap_labels(df: DataFrame, features: DataFrame, label: str, out_col: str, keys=KEYS, right_keys=("chrom", "start", "end")) -> DataFrame:
+def overlap_labels(df: DataFrame, features: DataFrame, label: str, out_col: str, keys=KEYS, right_keys=("chrom", "start", "end"), bins: Bins | None = None) -> DataFrame:
     """Adds the sorted distinct labels of the overlapping features as an array (empty if none; null labels are none).
 
     Features of one label are united first, so a span meets a label once an island of
-    it, however many features pile up there.
+    it, however many features pile up there. The islands are written to the shared
+    folder, as they are read for their lengths and at several levels. bins: of the
+    features by (chromosome, label), see :func:`merge_intervals`.
     """
     rc, rs, re = right_keys
+    spark, path = features.sparkSession, new_path(features.sparkSession, "islands")
     by_label = features.where(_q(label).isNotNull() & _q(rc).isNotNull()).select(F.struct(_q(rc).alias("c"), _q(label).alias("label")).alias("_of"), _q(rs), _q(re))
-    islands = merge_intervals(by_label, ("_of", rs, re), 0).select(F.col("_of.c").alias(rc), _q(rs), _q(re), F.col("_of.label").alias("_label"))
-    pairs = overlap_join(_spans(df, keys), islands, keys, right_keys)
+    merge_intervals(by_label, ("_of", rs, re), 0, bins).select(F.col("_of.c").alias("_c"), _q(rs).alias("_s"), _q(re).alias("_e"), F.col("_of.label").alias("_label")).write.parquet(path)
+    islands = spark.read.parquet(path)
+    lengths = interval_lengths(df, islands, keys, ("_c", "_s", "_e"))
+    pairs = overlap_join(_spans(df, keys), islands, keys, ("_c", "_s", "_e"), lengths=lengths)
     found = pairs.groupBy(*map(_q, keys)).agg(F.array_sort(F.collect_set("_label")).alias(out_col))
     return _attach(df, found, keys).withColumn(out_col, F.coalesce(_q(out_col), F.array().cast(found.schema[out_col].dataType)))
 
@@ -302,7 +316,7 @@ def region_semi_join(records: DataFrame, regions: DataFrame, keys=KEYS, right_ke
     """
     if how == "inner":
         spans = _spans(records, keys)
-        hits = overlap_join(spans, regions.select(*map(_q, right_keys)), keys, right_keys)
+        hits = overlap_join(spans, regions.select(*map(_q, right_keys)), keys, right_keys, lengths=interval_lengths(records, regions, keys, right_keys))
         hits = hits.select(*[_q(c).alias(f"_k{i}") for i, c in enumerate(keys)])
         on = [_q(c) == F.col(f"_k{i}") for i, c in enumerate(keys)]
         return records.join(hits, on, how).select(*map(_q, records.columns))

@@ -51,6 +51,12 @@ def overlap_labels(spark: SparkSession, d: str) -> DataFrame:
     return found.withColumn("symbols", F.array_join("symbols", ","))
 
 
+def overlap_types(spark: SparkSession, d: str) -> DataFrame:
+    """A few labels whose features pile up: a span meets each once."""
+    found = op.overlap_labels(view(spark, d, "iv"), view(spark, d, "types"), "label", "labels", IV, IV)
+    return found.withColumn("labels", F.array_join("labels", ","))
+
+
 def merge_intervals(spark: SparkSession, d: str) -> DataFrame:
     return op.merge_intervals(view(spark, d, "iv"), IV)
 
@@ -307,7 +313,7 @@ def first_missing(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        family_expand, resolve_alleles, info_per_allele, interval_overlap, overlap_count, overlap_mean, overlap_labels, merge_intervals,
+        family_expand, resolve_alleles, info_per_allele, interval_overlap, overlap_count, overlap_mean, overlap_labels, overlap_types, merge_intervals,
         region_semi_join, nearest_interval, gene_constraint, transcript_lookup, gene_posterior, exact_lookup, bucketed_lookup, impact_filter, severity_filter,
         packed_split, merge_annotations, missing_samples, extra_samples, chunk_numbers, stage_reconcile, chrom_normalize, position_sort,
         chunk_union, drop_genotypes, family_region_expand, genotype_text, vcf_read, packed_read, bed_read, bed_strict_read, pedigree_read, tsv_read, genotype_tsv,
@@ -344,6 +350,7 @@ SELECT l_orderkey, l_linenumber, stripped AS info, alt, allele_num, string_split
     "overlap_count": with_views("iv", "rg") + f" SELECT i.chrom, i.start_, i.end_, count(r.start_) n FROM iv i LEFT JOIN rg r ON {_OVER} GROUP BY ALL",
     "overlap_mean": with_views("iv", "rg") + f" SELECT i.chrom, i.start_, i.end_, sum(r.z / 8.0e0) / nullif(count(r.z), 0) z_mean, sum(-r.z / 1024.0e0) / nullif(count(r.z), 0) oe_mean FROM iv i LEFT JOIN rg r ON {_OVER} GROUP BY ALL",
     "overlap_labels": with_views("iv", "rg") + f" SELECT i.chrom, i.start_, i.end_, coalesce(string_agg(DISTINCT r.symbol, ',' ORDER BY r.symbol), '') symbols FROM iv i LEFT JOIN rg r ON {_OVER} GROUP BY ALL",
+    "overlap_types": with_views("iv", "types") + f" SELECT i.chrom, i.start_, i.end_, coalesce(string_agg(DISTINCT r.label, ',' ORDER BY r.label), '') labels FROM iv i LEFT JOIN types r ON {_OVER} GROUP BY ALL",
     "merge_intervals": with_views("iv") + """, m AS (
   SELECT *, max(end_) OVER (PARTITION BY chrom ORDER BY start_, end_ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) reach FROM iv),
 n AS (SELECT *, sum(CASE WHEN reach IS NULL OR start_ > reach + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY start_, end_ ROWS UNBOUNDED PRECEDING) island FROM m)

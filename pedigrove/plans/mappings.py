@@ -19,6 +19,10 @@ select distinct l_returnflag chrom, l_orderkey start_, l_orderkey + cast(l_quant
     "rg": """
 select case o_orderstatus when 'F' then 'R' when 'O' then 'N' else 'A' end chrom, o_orderkey start_, o_orderkey + 1 + o_custkey % 40 end_,
   cast(floor(o_totalprice) as bigint) z, o_orderstatus label, concat('G', cast(o_orderkey as varchar(12))) symbol
+from {orders}""",
+    "types": """
+select case o_orderstatus when 'F' then 'R' when 'O' then 'N' else 'A' end chrom, o_orderkey - o_orderkey % 8 start_, o_orderkey + 20 + o_custkey % 200 end_,
+  case when o_custkey % 9 = 0 then null else o_orderpriority end label
 from {orders}""",
     "ann": """
 select concat('chr', cast(p_partkey % 3 + 1 as varchar(9))) chrom, p_partkey pos0, p_partkey + 1 end_, 'A' ref, n allele_num,

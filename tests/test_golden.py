@@ -98,8 +98,11 @@ def test_overlap_join_equals_plain_join(spark):
     a, b = make(200, 30), make(150, 30) + [("a", 0, 3000), ("b", 10, 2500)]
     want = sorted((x, y) for x in a for y in b if x[0] == y[0] and x[1] < y[2] and y[1] < x[2] and x[2] > x[1] and y[2] > y[1])
     left, right = intervals(spark, a), intervals(spark, b, "c string, s long, e long")
-    for width in (None, 3, 1000):
-        got = op.overlap_join(left, right, ("chrom", "start", "end"), ("c", "s", "e"), width)
+    own, other = ("chrom", "start", "end"), ("c", "s", "e")
+    told = op.interval_lengths(left, right, own, other)
+    assert told.longest == 3000 and 20 < told.usual < 30 and op.interval_lengths(left.limit(0), right.limit(0), own, other) == type(told)(1, 1)
+    for width, lengths in ((None, None), (3, None), (1000, None), (None, told), (None, type(told)(2, 9))):  # whatever the lengths say
+        got = op.overlap_join(left, right, own, other, width, lengths=lengths)
         assert sorted(((r[0], r[1], r[2]), (r[3], r[4], r[5])) for r in got.collect()) == want
 
 
