@@ -194,14 +194,14 @@ class BlockWriter(DataSourceWriter):
         made = f"{where}/_writing/{name}"
         system.create_dir(f"{where}/_writing", recursive=True)
         with system.open_output_stream(made, compression=None) as out:
-            kept = b"".join(x.encode() + b"\n" for x in self.header)
+            kept = bytearray(b"".join(x.encode() + b"\n" for x in self.header))
             for row in rows:
                 kept += (row[0] or "").encode() + b"\n"
                 while len(kept) >= BLOCK_TEXT:
-                    out.write(packed(kept[:BLOCK_TEXT]))
-                    kept = kept[BLOCK_TEXT:]
+                    out.write(packed(bytes(kept[:BLOCK_TEXT])))
+                    del kept[:BLOCK_TEXT]
             if kept:
-                out.write(packed(kept))
+                out.write(packed(bytes(kept)))
             out.write(END)
         return Written(made, f"{where}/{name}")
 
