@@ -99,11 +99,19 @@ def _spans(df: DataFrame, keys) -> DataFrame:
     return df.select(*map(_q, keys)).distinct()
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the shared folder once: what a scan reads several times."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _attach(df: DataFrame, found: DataFrame, keys) -> DataFrame:
     """found's columns by equal coordinates; df's rows all stay."""
     mine = {c: f"_k{i}" for i, c in enumerate(keys)}
     found = found.withColumnsRenamed(mine)
-    on = [_q(c) == F.col(k) for c, k in mine.items()]
+    # Positions before the chromosome: rows are sorted by a prefix of the first key.
+    on = [_q(c) == F.col(mine[c]) for c in (*keys[1:], keys[0])]
     return df.join(found, on, "left").drop(*mine.values())
 
 
@@ -127,37 +135,37 @@ def cut_bins(df: DataFrame, chrom: str, by) -> Bins:
     columns after it, and only rows equal in all columns stay together. Pass the result to
     the scans as ``bins`` to compute it once for several.
     """
-    spark, path = df.sparkSession, new_path(df.sparkSession, "drawn")
     rate = min(1.0, EDGE_ROWS / BIN_ROWS)
     rows = df.select(_q(chrom).alias("_c"), F.struct(*[_q(c).alias(f"k{i}") for i, c in enumerate(by)]).alias("k"))
-    rows.where(F.pmod(F.xxhash64("_c", "k"), F.lit(1 << 30)) < rate * (1 << 30)).write.parquet(path)
-    drawn = spark.read.parquet(path)
+    drawn = _kept(rows.where(F.pmod(F.xxhash64("_c", "k"), F.lit(1 << 30)) < rate * (1 << 30)), "drawn")
     per = drawn.groupBy("_c").agg(F.count("*").alias("n"), F.percentile_approx("k.k0", [0.05, 0.95]).alias("p"))
     n, extent = per.agg(F.sum("n"), F.sum((F.get("p", F.lit(1)) - F.get("p", F.lit(0))) / 0.9 + 1)).first()
     width = max(1, int((extent or 1) * EDGE_ROWS / (n or 1)))
-    drawn = drawn.withColumn("_b", F.floor(F.col("k.k0") / width))
-    many = drawn.groupBy("_c", "_b").agg(F.count("*").alias("n")).where(F.col("n") > 2 * EDGE_ROWS)
-    drawn = drawn.join(many.select(F.col("_c").alias("_c2"), F.col("_b").alias("_b2"), "n"), F.col("_c").eqNullSafe(F.col("_c2")) & F.col("_b").eqNullSafe(F.col("_b2")))
+    bin_of = Window.partitionBy("_b", "_c")
+    drawn = drawn.withColumn("_b", _bin_at(F.col("k.k0"), width)).withColumns({"n": F.count("*").over(bin_of), "i": F.row_number().over(bin_of.orderBy("k"))})
     each = F.greatest(F.lit(EDGE_ROWS), F.ceil(F.col("n") / MOST_BINS))
-    drawn = drawn.withColumn("i", F.row_number().over(Window.partitionBy("_c", "_b").orderBy("k"))).where(F.col("i") % each == 0)
-    edges, path = drawn.groupBy("_c", "_b").agg(F.array_sort(F.collect_list("k")).alias("_edges")), new_path(spark, "edges")
-    edges.write.parquet(path)
-    edges = spark.read.parquet(path)
+    drawn = drawn.where((F.col("n") > 2 * EDGE_ROWS) & (F.col("i") % each == 0))
+    edges = _kept(drawn.groupBy("_b", "_c").agg(F.array_sort(F.collect_list("k")).alias("_edges")), "edges")
     return Bins(width, None if edges.isEmpty() else edges)
 
 
+def _bin_at(position: Column, width: int) -> Column:
+    """The bin of a position; beyond 2**51 bins either way there is one, and a null's is the first."""
+    return F.least(F.greatest(F.floor(position / width), F.lit(-1 << 51)), F.lit(1 << 51))
+
+
 def _binned(df: DataFrame, chrom: str, by, bins: Bins | None = None) -> DataFrame:
-    """Adds bin: a row's place among the bins of its chromosome, in order."""
+    """Adds bin: a row's place among the bins of its chromosome, in order; a whole number."""
     bins = cut_bins(df, chrom, by) if bins is None else bins
-    at = F.floor(_q(by[0]) / bins.width)
+    at = _bin_at(_q(by[0]), bins.width)
     if bins.edges is None:
-        return df.withColumn("bin", F.struct(at.alias("b"), F.lit(0).alias("part")))
-    # Few rows have edges; where they stand is found by halving.
-    df = df.join(bins.edges, _q(chrom).eqNullSafe(F.col("_c")) & at.eqNullSafe(F.col("_b")), "left")
+        return df.withColumn("bin", at)
+    # Few rows have edges; where they stand is found by halving. No bin has as many parts as the factor.
+    df = df.join(bins.edges, _q(chrom).eqNullSafe(F.col("_c")) & (at == F.col("_b")), "left")
     key = F.struct(*[_q(c).alias(f"k{i}") for i, c in enumerate(by)])
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(MOST_BINS.bit_length() + 1))])
     part = F.aggregate(steps, F.lit(0), lambda i, step: F.when(F.get("_edges", i + step - 1) <= key, i + step).otherwise(i))
-    return df.withColumn("bin", F.struct(at.alias("b"), F.when(F.col("_edges").isNull(), 0).otherwise(part).alias("part"))).drop("_c", "_b", "_edges")
+    return df.withColumn("bin", at * (2 * MOST_BINS) + F.when(F.col("_edges").isNull(), 0).otherwise(part)).drop("_c", "_b", "_edges")
 
 
 def _overlap_sums(spans: DataFrame, regions: DataFrame, keys, right_keys, values: dict[str, Column]) -> DataFrame:
@@ -180,19 +188,17 @@ def _overlap_sums(spans: DataFrame, regions: DataFrame, keys, right_keys, values
     asked = spans.where((_q(e) > _q(s)) & _q(c).isNotNull())
     asked = asked.select(_q(c).alias("c"), both([at(1, _q(s)), at(1, _q(e))]), _q(s).cast("long").alias("s"), _q(e).cast("long").alias("e"), *zero)
     asked = asked.select("c", "x.pos", "x.k", "s", "e", *weights)
-    by = ("pos", "k", "s", "e")
-    places = good.select(_q(rc).alias("c"), both([at(0, _q(re)), at(2, _q(rs))]), none.alias("s"), none.alias("e")).select("c", "x.pos", "x.k", "s", "e")
-    bins = cut_bins(places.unionByName(asked.select("c", *by)), "c", by)  # from what is not added up yet: no shuffle
-    events = _binned(events.unionByName(asked), "c", by, bins)
+    # Written once: the bins' sample, the sums of bins and the scan all read it, with only the columns that they need.
+    events = _binned(_kept(events.unionByName(asked), "events"), "c", ("pos", "k", "s", "e"))
     ends, starts = ([F.when(F.col("k") == k, F.col(w)).otherwise(0).alias(f"{w}{t}") for w in weights] for k, t in ((0, "e"), (2, "s")))
     events = events.select("c", "pos", "k", "s", "e", "bin", *ends, *starts)
     sums = [f"{w}{t}" for w in weights for t in "es"]
     before = Window.partitionBy("c").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    carry = events.groupBy("c", "bin").agg(*[F.sum(x).alias(x) for x in sums]).select("c", "bin", *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"{x}_0") for x in sums])
-    along = Window.partitionBy("c", "bin").orderBy("pos", "k", "s", "e").rowsBetween(Window.unboundedPreceding, 0)
-    ran = events.select("*", *[F.sum(x).over(along).alias(f"{x}_r") for x in sums]).where("k = 1").join(carry, ["c", "bin"])
+    carry = events.groupBy("bin", "c").agg(*[F.sum(x).alias(x) for x in sums]).select("c", "bin", *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"{x}_0") for x in sums])
+    along = Window.partitionBy("bin", "c").orderBy("pos", "k", "s", "e").rowsBetween(Window.unboundedPreceding, 0)
+    ran = events.select("*", *[F.sum(x).over(along).alias(f"{x}_r") for x in sums]).where("k = 1").join(carry, ["bin", "c"])
     read = [(F.when(F.col("pos") == F.col("e"), F.col(f"{w}s_r") + F.col(f"{w}s_0")).otherwise(-F.col(f"{w}e_r") - F.col(f"{w}e_0"))).alias(w) for w in weights]
-    out = ran.select("c", "s", "e", *read).groupBy("c", "s", "e").agg(*[F.sum(w).alias(w) for w in weights])
+    out = ran.select("s", "e", "c", *read).groupBy("s", "e", "c").agg(*[F.sum(w).alias(w) for w in weights])
     return out.select(F.col("c").alias(c), F.col("s").alias(s), F.col("e").alias(e), F.col("_w").alias("n"), *[F.col(f"_w{i}").alias(name) for i, name in enumerate(values)])
 
 
@@ -349,17 +355,17 @@ def merge_intervals(df: DataFrame, keys=KEYS, min_dist: int = 1, bins: Bins | No
     """
     c, s, e = keys
     rows = _spans(df, keys).where((_q(e) > _q(s)) & _q(c).isNotNull()).select(_q(c).alias("c"), _q(s).alias("s"), _q(e).alias("e"))
-    rows = _binned(rows, "c", ("s", "e"), bins)
+    rows = _binned(_kept(rows, "spans") if bins is None else rows, "c", ("s", "e"), bins)
     before = Window.partitionBy("c").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    carry = rows.groupBy("c", "bin").agg(F.max("e").alias("e")).select("c", "bin", F.max("e").over(before).alias("carry"))
-    within = Window.partitionBy("c", "bin").orderBy("s", "e")
-    rows = rows.join(carry, ["c", "bin"])
+    carry = rows.groupBy("bin", "c").agg(F.max("e").alias("e")).select("c", "bin", F.max("e").over(before).alias("carry"))
+    within = Window.partitionBy("bin", "c").orderBy("s", "e")
+    rows = rows.join(carry, ["bin", "c"])
     reach = F.greatest("carry", F.max("e").over(within.rowsBetween(Window.unboundedPreceding, -1)))
     rows = rows.withColumn("new", (reach.isNull() | (F.col("s") > reach + min_dist)).cast("long"))
     rows = rows.withColumn("island", F.sum("new").over(within.rowsBetween(Window.unboundedPreceding, 0)))
-    parts = rows.groupBy("c", "bin", "island").agg(F.min("s").alias("s"), F.max("e").alias("e"))
-    begun = parts.groupBy("c", "bin").agg(F.max("island").alias("n")).select("c", "bin", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    parts = parts.join(begun, ["c", "bin"]).withColumn("island", F.col("base") + F.col("island"))
+    parts = rows.groupBy("bin", "c", "island").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    begun = parts.groupBy("bin", "c").agg(F.max("island").alias("n")).select("c", "bin", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    parts = parts.join(begun, ["bin", "c"]).withColumn("island", F.col("base") + F.col("island"))
     merged = parts.groupBy("c", "island").agg(F.min("s").alias("s"), F.max("e").alias("e"))
     return merged.select(F.col("c").alias(c), F.col("s").alias(s), F.col("e").alias(e))
 
@@ -383,14 +389,14 @@ def nearest_interval(df: DataFrame, genes: DataFrame, symbol: str = "symbol", ke
     # At equal places ends (0) come before spans (1): they lie to the left.
     rows = a.distinct().select("c", F.col("s").alias("key"), F.lit(1).alias("k"), "s", "e", F.lit(None).cast("struct<o:bigint,gs:bigint,name:string>").alias("l"), F.lit(None).cast("struct<gs:bigint,name:string>").alias("r"), F.col("e").alias("tie"))
     rows = rows.unionByName(g.select("c", F.col("ge").alias("key"), F.lit(0).alias("k"), no.alias("s"), no.alias("e"), by_end.alias("l"), by_start.alias("r"), F.col("gs").alias("tie")))
-    rows = _binned(rows, "c", ("key", "k", "tie"))
+    rows = _binned(_kept(rows, "places"), "c", ("key", "k", "tie"))
     past = lambda order: Window.partitionBy("c").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    carry = rows.groupBy("c", "bin").agg(F.min("l").alias("l"), F.min("r").alias("r"))
+    carry = rows.groupBy("bin", "c").agg(F.min("l").alias("l"), F.min("r").alias("r"))
     carry = carry.select("c", "bin", F.min("l").over(past(F.col("bin"))).alias("l_0"), F.min("r").over(past(F.col("bin").desc())).alias("r_0"))
-    within = Window.partitionBy("c", "bin").rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("bin", "c").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("l", F.min("l").over(within.orderBy("key", "k", "tie")))
     rows = rows.withColumn("r", F.min("r").over(within.orderBy(F.col("key").desc(), F.col("k").desc(), F.col("tie").desc())))
-    rows = rows.where("s is not null").join(carry, ["c", "bin"])
+    rows = rows.where("s is not null").join(carry, ["bin", "c"])
     rows = rows.select("c", "s", "e", F.least("l", "l_0").alias("l"), F.least("r", "r_0").alias("r"))
     beside = lambda g, d: F.when(F.col(g).isNotNull(), F.struct(d.alias("d"), F.col(f"{g}.gs").alias("gs"), F.col(f"{g}.name").alias("name")))
     best = F.least(beside("l", F.col("s") + F.col("l.o")), beside("r", F.greatest(F.col("r.gs") - F.col("e"), F.lit(0).cast("long"))))
@@ -409,11 +415,11 @@ def in_order(df: DataFrame, chrom: str, pos: str, ties=(), out_col: str = "place
     """
     rows = _binned(df, chrom, (pos, *ties), bins).withColumnRenamed("bin", "_bin")
     before = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    counts = rows.groupBy(_q(chrom).alias("_c"), F.col("_bin").alias("_b")).agg(F.count("*").alias("_n"))
+    counts = rows.groupBy(F.col("_bin").alias("_b"), _q(chrom).alias("_c")).agg(F.count("*").alias("_n"))
     counts = counts.select("_c", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    within = Window.partitionBy(_q(chrom), "_bin").orderBy(_q(pos), *map(_q, ties))
+    within = Window.partitionBy("_bin", _q(chrom)).orderBy(_q(pos), *map(_q, ties))
     rows = rows.withColumn("_row", F.row_number().over(within))
-    rows = rows.join(counts, _q(chrom).eqNullSafe(F.col("_c")) & F.col("_bin").eqNullSafe(F.col("_b")))
+    rows = rows.join(counts, (F.col("_bin") == F.col("_b")) & _q(chrom).eqNullSafe(F.col("_c")))
     return rows.withColumn(out_col, F.col("_base") + F.col("_row")).drop("_bin", "_c", "_b", "_base", "_row")
 
 
