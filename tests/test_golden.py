@@ -187,6 +187,10 @@ def test_bins_follow_rows_not_positions(spark):
         assert max(sizes) <= 3 * iv.BIN_ROWS and len(sizes) <= 2 * (rows.count() / iv.BIN_ROWS + 2)
     bins = iv._binned(piled, "c", ("p", "tie")).groupBy("bin").agg(F.min(F.struct("p", "tie")).alias("a"), F.max(F.struct("p", "tie")).alias("b")).orderBy("bin").collect()
     assert all(x.b < y.a for x, y in zip(bins, bins[1:]))
+    # Positions at both ends of a long, and none, keep their order.
+    far = [(p, i) for i, p in enumerate([None, -(1 << 62), -(1 << 61), -5, 0, 3, 1 << 61, 1 << 62])]
+    placed = op.in_order(spark.createDataFrame([("1", p, i) for p, i in far[::-1]], "c string, p long, tie long"), "c", "p", ("tie",))
+    assert [r.tie for r in sorted(placed.collect(), key=lambda r: r.place)] == [i for _, i in far]
     # Given bins are used as they are.
     k = ("c", "p", "tie")
     some = even.withColumn("tie", F.col("p") + 1 + F.col("tie") % 3)
