@@ -38,7 +38,7 @@ def family_expand(genotypes: DataFrame, pedigree: DataFrame | None = None, regio
     at.append(family)
     hit = rows.where(is_carrier_call(_q(gt))).select(*map(_q, at)).distinct()
     if regions is not None and narrow:
-        hit = region_semi_join(hit, regions, keys, region_keys)
+        hit = region_semi_join(hit, regions, keys, region_keys, among=genotypes)
     return rows.join(hit, at, "left_semi").select(*map(_q, rows.columns))
 
 

@@ -20,6 +20,8 @@ KEYS = ("#CHROM", "POS0", "END")
 FACTOR = 16
 #: Rows aimed at in a bin of a scan, parts of a bin with many rows at most, and sampled rows that stand for a bin.
 BIN_ROWS, MOST_BINS, EDGE_ROWS = 2048, 1024, 24
+#: Rows up to which a derived table may be broadcast.
+BROADCAST_ROWS = 1 << 19
 #: Bits of a limb of an exact sum: 2**33 of them can be added in a long.
 LIMB = 30
 
@@ -312,13 +314,11 @@ def overlap_labels(df: DataFrame, features: DataFrame, label: str, out_col: str,
     return _attach(df, found, keys).withColumn(out_col, F.coalesce(_q(out_col), F.array().cast(found.schema[out_col].dataType)))
 
 
-def region_semi_join(records: DataFrame, regions: DataFrame, keys=KEYS, right_keys=("chrom", "start", "end"), how: str = "left_semi") -> DataFrame:
+def region_semi_join(records: DataFrame, regions: DataFrame, keys=KEYS, right_keys=("chrom", "start", "end"), how: str = "left_semi", among: DataFrame | None = None) -> DataFrame:
     """Records that overlap a region: once each (left_semi), or once a region (inner), region columns left out.
 
-    For left_semi the regions are united and written to the shared folder; a record then
-    has one key, the bin that it starts in at the level of its length, and a united
-    region the bins in which something that reaches it can start: so records are neither
-    repeated nor joined back, and are not moved at all where the regions are few.
+    For left_semi the regions are united and written to the shared folder, and the records
+    are held against them by :func:`meets_united`. among: see there.
     """
     if how == "inner":
         spans = _spans(records, keys)
@@ -326,12 +326,29 @@ def region_semi_join(records: DataFrame, regions: DataFrame, keys=KEYS, right_ke
         hits = hits.select(*[_q(c).alias(f"_k{i}") for i, c in enumerate(keys)])
         on = [_q(c) == F.col(f"_k{i}") for i, c in enumerate(keys)]
         return records.join(hits, on, how).select(*map(_q, records.columns))
+    return meets_united(records, united_regions(regions, right_keys), keys, among)
+
+
+def united_regions(regions: DataFrame, keys=("chrom", "start", "end")) -> DataFrame:
+    """_c, _s, _e: the union of regions, written to the shared folder once."""
+    return _kept(merge_intervals(regions, keys, 0).select(*[_q(k).alias(n) for k, n in zip(keys, ("_c", "_s", "_e"))]), "regions")
+
+
+def meets_united(records: DataFrame, united: DataFrame, keys=KEYS, among: DataFrame | None = None) -> DataFrame:
+    """Records that overlap one of :func:`united_regions`.
+
+    A record has one key, the bin that it starts in at the level of its length, and a united
+    region the bins in which something that reaches it can start, at the levels that the
+    records have: so records are neither repeated nor joined back, and are not moved at
+    all where the regions are few. The regions' bins are counted from their lengths, as
+    size statistics know nothing of them: more than BROADCAST_ROWS are joined by a sort.
+    among: a table that has the records' intervals among its own and is read for the levels,
+    where the records are costly; by default the records.
+    """
     c, s, e = keys
-    spark, path = regions.sparkSession, new_path(regions.sparkSession, "regions")
-    merge_intervals(regions, right_keys, 0).select(*[_q(k).alias(n) for k, n in zip(right_keys, ("_c", "_s", "_e"))]).write.parquet(path)
-    united = spark.read.parquet(path)
-    width = int(united.agg(F.avg(F.col("_e") - F.col("_s"))).first()[0] or 1) + 1
-    # Levels up to the longest record that there can be: none is looked for before.
+    n, total = united.agg(F.count("*"), F.sum(F.col("_e") - F.col("_s"))).first()
+    width = int((total or 0) / max(n, 1)) + 1
+    # Levels up to the longest record that there can be.
     widths = [width]
     while widths[-1] < 1 << 40:
         widths.append(widths[-1] * FACTOR)
@@ -339,8 +356,13 @@ def region_semi_join(records: DataFrame, regions: DataFrame, keys=KEYS, right_ke
     level, at = F.lit(len(widths) - 1), F.floor(_q(s) / widths[-1])
     for i in reversed(range(len(widths) - 1)):
         level, at = F.when(length <= widths[i], i).otherwise(level), F.when(length <= widths[i], F.floor(_q(s) / widths[i])).otherwise(at)
-    reach = F.explode(F.array(*[F.struct(F.lit(i).alias("l"), F.lit(w).cast("long").alias("w")) for i, w in enumerate(widths)]))
+    found = sorted(r[0] for r in (records if among is None else among).where(length > 0).select(level.alias("l")).distinct().collect())
+    if not n or not found:
+        return records.where(F.lit(False))
+    reach = F.explode(F.array(*[F.struct(F.lit(i).alias("l"), F.lit(widths[i]).cast("long").alias("w")) for i in found]))
     united = united.withColumn("x", reach).select("_c", "_s", "_e", F.col("x.l").alias("_l"), F.explode(F.sequence(F.floor((F.col("_s") - F.col("x.w")) / F.col("x.w")), F.floor((F.col("_e") - 1) / F.col("x.w")))).alias("_b"))
+    if sum(3 * n + total // widths[i] for i in found) > BROADCAST_ROWS:
+        united = united.hint("merge")
     on = (_q(c) == F.col("_c")) & (level == F.col("_l")) & (at == F.col("_b")) & (_q(s) < F.col("_e")) & (F.col("_s") < _q(e)) & (length > 0)
     return records.join(united, on, "left_semi")
 

@@ -252,6 +252,16 @@ def test_region_semi_join_equals_brute_force(spark):
     assert op.region_semi_join(df, intervals(spark, []), k).isEmpty()
 
 
+def test_many_regions_are_not_broadcast(spark):
+    """A small file of regions whose bins are many: their rows are counted."""
+    records = spark.range(2000).select(F.lit("a").alias("chrom"), (F.col("id") * 7).alias("start"), (F.col("id") * 7 + F.when(F.col("id") == 9, 400).otherwise(1)).alias("end"))
+    regions = spark.range(250_000).select(F.lit("a").alias("chrom"), (F.col("id") * 3).alias("start"), (F.col("id") * 3 + 1).alias("end"))
+    got = op.region_semi_join(records, regions, ("chrom", "start", "end"))
+    assert sorted(r.start for r in got.collect()) == sorted(i * 7 for i in range(2000) if i == 9 or i * 7 % 3 == 0)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
 def test_region_semi_join_modes(spark):
     k = ("chrom", "start", "end")
     v, rg = intervals(spark, [("1", 5, 30), ("1", 50, 51)]), intervals(spark, [("1", 0, 10), ("1", 20, 40)])
