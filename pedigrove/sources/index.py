@@ -29,38 +29,54 @@ def write_index(spark: SparkSession, path: str, keys=("#CHROM", "POS0", "END"))
 
 def region_ranges(spark: SparkSession, path: str, regions: DataFrame, region_keys=("chrom", "start", "end")) -> list[tuple[str, int, int]]:
     """chromosome, least and greatest start (exclusive) that records of the regions can have: RANGES a chromosome at most."""
-    from ..operators.intervals import in_order, merge_intervals
+    from ..operators.intervals import united_regions
 
-    c, s, e = region_keys
-    united = merge_intervals(regions, region_keys, 0).select(F.col(f"`{c}`").alias("chrom"), F.col(f"`{s}`").alias("lo"), F.col(f"`{e}`").alias("hi"))
+    return _ranges(spark, path, united_regions(regions, region_keys))
+
+
+def _ranges(spark: SparkSession, path: str, united: DataFrame) -> list[tuple[str, int, int]]:
+    from ..operators.intervals import _kept, in_order
+
+    united = united.select(F.col("_c").alias("chrom"), F.col("_s").alias("lo"), F.col("_e").alias("hi"))
     index = spark.read.parquet(f"{path}/{NAME}").select(F.col("c").cast("string").alias("_c"), F.col("bin").alias("_bin"), F.col("start").alias("_start"))
     lower = united.join(index, (F.col("chrom").cast("string") == F.col("_c")) & (F.floor(F.col("lo") / BIN) == F.col("_bin")), "left")
-    lower = lower.select("chrom", F.least("lo", "_start").alias("lo"), "hi")
+    # Written once: its places are counted in several steps.
+    lower = _kept(lower.select("chrom", F.least("lo", "_start").alias("lo"), "hi"), "lower")
     placed = in_order(lower, "chrom", "lo", ("hi",))
-    sizes = placed.groupBy("chrom").agg(F.count("*").alias("n")).withColumnRenamed("chrom", "_c")
+    sizes = lower.groupBy("chrom").agg(F.count("*").alias("n")).withColumnRenamed("chrom", "_c")
     part = F.floor((F.col("place") - 1) * RANGES / F.greatest(F.col("n"), F.lit(RANGES)))
     found = placed.join(sizes, F.col("chrom") == F.col("_c")).groupBy("chrom", part.alias("part")).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    return sorted(tuple(r) for r in found.select("chrom", "lo", "hi").collect())
+    ranges: list[tuple[str, int, int]] = []
+    for c, lo, hi in sorted(tuple(r) for r in found.select("chrom", "lo", "hi").collect()):
+        if ranges and ranges[-1][0] == c and lo <= ranges[-1][2]:
+            ranges[-1] = (c, ranges[-1][1], max(hi, ranges[-1][2]))
+        else:
+            ranges.append((c, lo, hi))
+    return ranges
 
 
 def read_regions(spark: SparkSession, path: str, regions: DataFrame, keys=("#CHROM", "POS0", "END"), region_keys=("chrom", "start", "end")) -> DataFrame:
     """The records of a sorted, indexed table (see :func:`pedigrove.sources.write_sorted`, :func:`write_index`) that overlap a region.
 
-    The regions become folders and ranges of starts, which reach the scan: row groups
-    and pages beside them are not read. What is read is then held against the regions
-    themselves. No region: no record.
+    The regions are united once. They become folders and ranges of starts, which reach the
+    scan: row groups and pages beside them are not read. What is read is then held against
+    the united regions themselves. No region: no record.
     """
-    from ..operators.intervals import region_semi_join
+    from ..operators.intervals import meets_united, united_regions
 
     table = spark.read.parquet(path)
-    ranges = region_ranges(spark, path, regions, region_keys)
+    united = united_regions(regions, region_keys)
+    ranges = _ranges(spark, path, united)
     if not ranges:
         return table.drop(FOLDER).limit(0)
     chrom, start = F.col(f"`{keys[0]}`"), F.col(f"`{keys[1]}`")
-    near = [(chrom == c) & (start >= lo) & (start < hi) for c, lo, hi in ranges]
-    table = table.where(F.col(FOLDER).isin(*sorted({f"{FOLDER_NAME}{c}" for c, *_ in ranges})))
+    of: dict[str, list] = {}
+    for c, lo, hi in ranges:
+        of.setdefault(c, []).append((start >= lo) & (start < hi))
+    near = [(chrom == c) & reduce(lambda a, b: a | b, parts) for c, parts in of.items()]
+    table = table.where(F.col(FOLDER).isin(*sorted({f"{FOLDER_NAME}{c}" for c in of})))
     table = table.where(reduce(lambda a, b: a | b, near)).drop(FOLDER)
-    return region_semi_join(table, regions, keys, region_keys)
+    return meets_united(table, united, keys)
 
 
 def write_bucketed(df: DataFrame, name: str, path: str, keys, buckets: int) -> DataFrame:

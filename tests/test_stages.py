@@ -112,6 +112,16 @@ def test_region_reads_skip_row_groups(spark, tmp_path):
     assert sources.read_regions(spark, path, regions.limit(0)).isEmpty()
 
 
+def test_ranges_that_touch_are_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(20_000).select(F.lit("1").alias("#CHROM"), F.col("id").alias("POS0"), (F.col("id") + 1).alias("END"), F.lit("A").alias("REF"))
+    sources.write_sorted(df, path)
+    sources.write_index(spark, path)
+    regions = spark.range(200).select(F.lit("1").alias("chrom"), (F.col("id") * 100).alias("start"), (F.col("id") * 100 + 2).alias("end"))
+    assert sources.region_ranges(spark, path, regions) == [("1", 0, 19_902)]
+    assert sources.read_regions(spark, path, regions).count() == 400
+
+
 def test_bucketed_lookup_moves_one_side(spark, tmp_path):
     scores = spark.range(3000).selectExpr("concat('c', id % 3) as chrom", "id as pos", "id / 2 as score")
     table = sources.write_bucketed(scores, "scores_of_a_test", str(tmp_path / "scores"), ("chrom", "pos"), 4)
