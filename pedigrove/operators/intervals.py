@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.scratch import new_path
 
@@ -192,14 +193,14 @@ def _overlap_sums(spans: DataFrame, regions: DataFrame, keys, right_keys, values
     asked = asked.select("c", "x.pos", "x.k", "s", "e", *weights)
     # Written once: the bins' sample, the sums of bins and the scan all read it, with only the columns that they need.
     events = _binned(_kept(events.unionByName(asked), "events"), "c", ("pos", "k", "s", "e"))
-    ends, starts = ([F.when(F.col("k") == k, F.col(w)).otherwise(0).alias(f"{w}{t}") for w in weights] for k, t in ((0, "e"), (2, "s")))
-    events = events.select("c", "pos", "k", "s", "e", "bin", *ends, *starts)
-    sums = [f"{w}{t}" for w in weights for t in "es"]
-    before = Window.partitionBy("c").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    carry = events.groupBy("bin", "c").agg(*[F.sum(x).alias(x) for x in sums]).select("c", "bin", *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"{x}_0") for x in sums])
-    along = Window.partitionBy("bin", "c").orderBy("pos", "k", "s", "e").rowsBetween(Window.unboundedPreceding, 0)
-    ran = events.select("*", *[F.sum(x).over(along).alias(f"{x}_r") for x in sums]).where("k = 1").join(carry, ["bin", "c"])
-    read = [(F.when(F.col("pos") == F.col("e"), F.col(f"{w}s_r") + F.col(f"{w}s_0")).otherwise(-F.col(f"{w}e_r") - F.col(f"{w}e_0"))).alias(w) for w in weights]
+    # Two scans side by side, so that a row carries each sum once: ends, read where spans start, and starts, read where spans end.
+    ending = (F.col("k") == 0) | ((F.col("k") == 1) & (F.col("pos") == F.col("s")))
+    events = events.select("c", "pos", "k", "s", "e", "bin", F.when(ending, -1).otherwise(1).alias("t"), *weights)
+    before = Window.partitionBy("c", "t").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    carry = events.groupBy("bin", "c", "t").agg(*[F.sum(w).alias(w) for w in weights]).select("c", "bin", "t", *[F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"{w}_0") for w in weights])
+    along = Window.partitionBy("bin", "c", "t").orderBy("pos", "k", "s", "e").rowsBetween(Window.unboundedPreceding, 0)
+    ran = events.select("bin", "c", "t", "k", "s", "e", *[F.sum(w).over(along).alias(f"{w}_r") for w in weights]).where("k = 1").join(carry, ["bin", "c", "t"])
+    read = [(F.col("t") * (F.col(f"{w}_r") + F.col(f"{w}_0"))).alias(w) for w in weights]
     out = ran.select("s", "e", "c", *read).groupBy("s", "e", "c").agg(*[F.sum(w).alias(w) for w in weights])
     return out.select(F.col("c").alias(c), F.col("s").alias(s), F.col("e").alias(e), F.col("_w").alias("n"), *[F.col(f"_w{i}").alias(name) for i, name in enumerate(values)])
 
@@ -213,7 +214,7 @@ class Limbs:
 
 
 def limb_places(valued: DataFrame, values) -> Limbs:
-    """The limbs of the columns' values (one aggregate)."""
+    """The limbs of the columns' values, the lowest left out where all values have zeros there (two aggregates)."""
     sizes = [F.abs(_q(v).cast("double")) for v in values]
     infinite = F.sum(sum((F.coalesce((x == float("inf")).cast("int"), F.lit(0)) for x in sizes), F.lit(0)))
     sizes = [F.when((x > 0) & (x < float("inf")), x) for x in sizes]
@@ -221,7 +222,10 @@ def limb_places(valued: DataFrame, values) -> Limbs:
     if most is None:
         return Limbs([0], bool(found))
     top, low = math.frexp(most)[1], max(math.frexp(least)[1] - 53, -1074)
-    return Limbs(list(range(top - LIMB, low, -LIMB)) + [low], bool(found))
+    places = list(range(top - LIMB, low, -LIMB)) + [low]
+    cut = valued.select(*[_limbs(F.when(F.abs(x) < float("inf"), x), places).alias(f"_l{i}") for i, x in enumerate(_q(v).cast("double") for v in values)])
+    used = cut.agg(*[reduce(lambda a, b: a | b, [F.coalesce(F.bool_or(F.get(f"_l{i}", F.lit(j)) != 0), F.lit(False)) for i in range(len(values))]) for j in range(len(places))]).first()
+    return Limbs(places[: max([j for j, x in enumerate(used) if x], default=0) + 1], bool(found))
 
 
 def _scales(places: list[int]) -> Column:
@@ -264,8 +268,8 @@ def overlap_mean(df: DataFrame, valued: DataFrame, values: dict[str, str], keys=
     values: column of valued to output column. No overlapping pair is made, whatever the
     columns' type: values are cut to whole limbs of LIMB bits that hold them exactly, and
     the limbs are summed by two scans each, so differences of running sums are exact. A mean
-    with infinities is what their sum is. limbs: by default :func:`limb_places`, one
-    aggregate over valued.
+    with infinities is what their sum is. limbs: by default :func:`limb_places`, two
+    aggregates over valued.
     """
     limbs = limb_places(valued, values) if limbs is None else limbs
     places = limbs.places
@@ -295,23 +299,83 @@ def overlap_count(df: DataFrame, regions: DataFrame, out_col: str, keys=KEYS, ri
     return _attach(df, counted, keys).withColumn(out_col, F.coalesce("_n", F.lit(0).cast("long"))).drop("_n")
 
 
+def _islands(features: DataFrame, label: str, keys, bins: Bins | None) -> DataFrame:
+    """_c, _s, _e, _label: the union of each label's features on a chromosome, written to the shared folder.
+
+    A label with one feature has it as its island; only the others go through the union's scans.
+    """
+    c, s, e = keys
+    good = features.where(_q(label).isNotNull() & _q(c).isNotNull() & (_q(e) > _q(s)))
+    by_label = good.select(F.struct(_q(c).alias("c"), _q(label).alias("label")).alias("_of"), _q(s).alias("s"), _q(e).alias("e"))
+    flat = lambda df: df.select(F.col("_of.c").alias("_c"), F.col("s").alias("_s"), F.col("e").alias("_e"), F.col("_of.label").alias("_label"))
+    per = _kept(by_label.groupBy("_of").agg(F.count("*").alias("n"), F.min("s").alias("s"), F.max("e").alias("e")), "labels")
+    single, many = per.where("n = 1"), per.where("n > 1")
+    if many.isEmpty():
+        return flat(single)
+    rest = by_label if single.isEmpty() else by_label.join(many.select("_of"), "_of", "left_semi")
+    return _kept(flat(single.select("_of", "s", "e").unionByName(merge_intervals(rest, ("_of", "s", "e"), 0, bins))), "islands")
+
+
 def overlap_labels(df: DataFrame, features: DataFrame, label: str, out_col: str, keys=KEYS, right_keys=("chrom", "start", "end"), bins: Bins | None = None) -> DataFrame:
     """Adds the sorted distinct labels of the overlapping features as an array (empty if none; null labels are none).
 
     Features of one label are united first, so a span meets a label once an island of
-    it, however many features pile up there. The islands are written to the shared
-    folder, as they are read for their lengths and at several levels. bins: of the
-    features by (chromosome, label), see :func:`merge_intervals`.
+    it, however many features pile up there. A row then has one key, the bin that it starts
+    in at the level of its length, and an island no longer than that level's bins those
+    in which something that reaches it can start; a bin's islands are one row with an array, of
+    which a row keeps what it overlaps. So no pair is made a row and nothing is
+    joined back. Islands of each longer level are looked up in turn at their own
+    level. Levels grow by four, so that a bin's islands are not many more than a row's.
+    bins: of the features by (chromosome, label), see :func:`merge_intervals`.
     """
-    rc, rs, re = right_keys
-    spark, path = features.sparkSession, new_path(features.sparkSession, "islands")
-    by_label = features.where(_q(label).isNotNull() & _q(rc).isNotNull()).select(F.struct(_q(rc).alias("c"), _q(label).alias("label")).alias("_of"), _q(rs), _q(re))
-    merge_intervals(by_label, ("_of", rs, re), 0, bins).select(F.col("_of.c").alias("_c"), _q(rs).alias("_s"), _q(re).alias("_e"), F.col("_of.label").alias("_label")).write.parquet(path)
-    islands = spark.read.parquet(path)
-    lengths = interval_lengths(df, islands, keys, ("_c", "_s", "_e"))
-    pairs = overlap_join(_spans(df, keys), islands, keys, ("_c", "_s", "_e"), lengths=lengths)
-    found = pairs.groupBy(*map(_q, keys)).agg(F.array_sort(F.collect_set("_label")).alias(out_col))
-    return _attach(df, found, keys).withColumn(out_col, F.coalesce(_q(out_col), F.array().cast(found.schema[out_col].dataType)))
+    c, s, e = keys
+    islands = _islands(features, label, right_keys, bins)
+    kind = islands.schema["_label"].dataType
+    length, size = _q(e) - _q(s), F.col("_e") - F.col("_s")
+    usual, longest = islands.agg(F.percentile_approx(size, 0.9), F.max(size)).first()
+    if usual is None:
+        return df.withColumn(out_col, F.array().cast(T.ArrayType(kind)))
+    mine = df.where((length > 0) & _q(c).isNotNull()).agg(F.percentile_approx(length, 0.9), F.max(length)).first()
+    # Bins are as wide as what is usual on either side, or else there would be many an island.
+    widths = [max(1, int(usual), int(mine[0] or 1))]
+    while widths[-1] < max(longest, mine[1] or 1):
+        widths.append(4 * widths[-1])
+
+    def level_of(x: Column) -> Column:
+        return reduce(lambda out, i: F.when(x <= widths[i], i).otherwise(out), reversed(range(len(widths) - 1)), F.lit(len(widths) - 1))
+
+    where = (length > 0) & _q(c).isNotNull()
+    asked = sorted(r[0] for r in df.where(where).select(level_of(length).alias("l")).distinct().collect()) if len(widths) > 1 and (mine[1] or 1) > widths[0] else [0]
+    found = dict(tuple(r) for r in islands.groupBy(level_of(size).alias("l")).count().collect())
+
+    def binned(at: DataFrame, level, width) -> DataFrame:
+        """One row a bin: the islands that something in it, no longer than the width, can reach, in order of labels."""
+        first, last = F.floor((F.col("_s") - width) / width), F.floor((F.col("_e") - 1) / width)
+        at = at.select("_c", level.alias("_l"), F.explode(F.sequence(first, last)).alias("_b"), F.struct("_label", "_s", "_e").alias("x"))
+        return at.groupBy("_b", "_c", "_l").agg(F.sort_array(F.collect_list("x")).alias("_at"))
+
+    def looked_up(df: DataFrame, table: DataFrame, level: Column, width: Column, when: Column, rows: int, out: str) -> DataFrame:
+        if rows > BROADCAST_ROWS:
+            table = table.hint("merge")
+        on = when & (F.floor(_q(s) / width) == F.col("_b")) & (_q(c) == F.col("_c")) & (level == F.col("_l"))
+        hit = F.filter("_at", lambda x: (x["_s"] < _q(e)) & (_q(s) < x["_e"]))
+        return df.join(table, on, "left").select(*map(_q, df.columns), F.transform(hit, lambda x: x["_label"]).alias(out))
+
+    own = level_of(length)
+    width_of = lambda l: reduce(lambda out, i: F.when(l == i, F.lit(widths[i]).cast("long")).otherwise(out), reversed(range(len(widths) - 1)), F.lit(widths[-1]).cast("long"))
+    up = islands.withColumn("_at_l", F.explode(F.array(*map(F.lit, asked)))).where(level_of(size) <= F.col("_at_l"))
+    table = binned(up, F.col("_at_l"), width_of(F.col("_at_l")))
+    rows = 3 * sum(n for level, n in found.items() for a in asked if level <= a)
+    columns, outs = df.columns, ["_labels"]
+    df = looked_up(df, table, own, width_of(own), where, rows, outs[0])
+    for level in sorted(found):
+        if level > asked[0]:
+            outs.append(f"_labels{level}")
+            table = binned(islands.where(level_of(size) == level), F.lit(level), F.lit(widths[level]).cast("long"))
+            df = looked_up(df, table, F.lit(level), F.lit(widths[level]).cast("long"), where & (own < level), 3 * found[level], outs[-1])
+    every = F.concat(*[F.coalesce(_q(o), F.array().cast(T.ArrayType(kind))) for o in outs])
+    every = F.array_distinct(every)
+    return df.select(*map(_q, columns), (every if len(outs) == 1 else F.sort_array(every)).alias(out_col))
 
 
 def region_semi_join(records: DataFrame, regions: DataFrame, keys=KEYS, right_keys=("chrom", "start", "end"), how: str = "left_semi", among: DataFrame | None = None) -> DataFrame:
