@@ -11,6 +11,10 @@ INFO_KEYS = ("AC", "AF", "AQ", "MLEAC", "MLEAF")
 DAMAGING = ("HIGH", "MODERATE")
 
 
+#: Rows out of a task of a lookup with repeats, and tasks at most.
+OUT_ROWS, MOST_TASKS = 1 << 22, 10_000
+
+
 def _q(name: str):
     return F.col(f"`{name}`")
 
@@ -83,6 +87,26 @@ def _lookup(df: DataFrame, table: DataFrame, on: dict[str, str]) -> DataFrame:
     return out.drop(*keys.values())
 
 
+def _lookup_repeated(df: DataFrame, table: DataFrame, key: str, table_key: str) -> DataFrame:
+    """:func:`_lookup` by a key that repeats on both sides, whose rows out are spread over tasks.
+
+    The rows out are counted from each key's rows on either side. Where they are many, df
+    is cut into parts by a hash of its rows, as many as the largest key needs for
+    OUT_ROWS rows a part, and the table is sent to each; the tasks are as many as the rows
+    out ask for. So neither the few files of a small table nor a key bounds the tasks.
+    """
+    a = df.where(_q(key).isNotNull()).groupBy(_q(key).alias("_k")).agg(F.count("*").alias("_a"))
+    b = table.groupBy(_q(table_key).alias("_k")).agg(F.count("*").alias("_b"))
+    total, largest = a.join(b, "_k").agg(F.sum(F.col("_a") * F.col("_b")), F.max(F.col("_a") * F.col("_b"))).first()
+    if (total or 0) <= OUT_ROWS:
+        return _lookup(df, table, {key: table_key})
+    tasks, parts = min(-(-total // OUT_ROWS), MOST_TASKS), min(-(-largest // OUT_ROWS), MOST_TASKS)
+    hashed = [_q(c) for c, kind in df.dtypes if "map<" not in kind and kind != "variant"]
+    df = df.withColumn("_part", F.pmod(F.xxhash64(*hashed), F.lit(parts)).cast("int")).repartition(tasks, _q(key), F.col("_part"))
+    table = table.withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).repartition(tasks, _q(table_key), F.col("_of"))
+    return _lookup(df, table.hint("merge"), {key: table_key, "_part": "_of"}).drop("_part")
+
+
 def constraint_by_gene(df: DataFrame, constraint: DataFrame, gene_col: str = "SYMBOL") -> DataFrame:
     """Adds a gene's largest pLI and smallest oe upper bound, over all and over canonical transcripts (NaN counts as null)."""
     pli, oe = (F.nanvl(_q(c), F.lit(None).cast("double")) for c in ("lof.pLI", "lof.oe_ci.upper"))
@@ -96,9 +120,9 @@ def constraint_by_gene(df: DataFrame, constraint: DataFrame, gene_col: str = "SY
 
 
 def constraint_by_transcript(df: DataFrame, constraint: DataFrame, feature_col: str = "Feature") -> DataFrame:
-    """Adds a transcript's pLI and oe upper bound, by exact text; repeated transcripts repeat rows."""
+    """Adds a transcript's pLI and oe upper bound, by exact text; repeated transcripts repeat rows (see :func:`_lookup_repeated`)."""
     table = constraint.select("transcript", _q("lof.pLI").alias("gnomad_lof_pLI_tx"), _q("lof.oe_ci.upper").alias("gnomad_lof_oe_ci_upper_tx"))
-    return _lookup(df, table, {feature_col: "transcript"})
+    return _lookup_repeated(df, table, feature_col, "transcript")
 
 
 def gene_posterior(df: DataFrame, posterior: DataFrame, gene_col: str = "Gene", prefix: str = "genebayes_") -> DataFrame:

@@ -236,6 +236,32 @@ def test_labels_meet_a_span_once_an_island(spark):
     assert all(got["1", i] == ["L0", "L1", "L2"] for i in range(100)) and got["1", 504] == ["x"] and got["2", 1] == got["1", 502] == []
 
 
+def test_labels_of_all_lengths_equal_brute_force(spark, monkeypatch):
+    """Labels with one feature and with many, islands and rows of all lengths, rows repeated; no pair is a row of the plan."""
+    import random
+    import re
+
+    from pedigrove.operators import intervals as iv
+
+    rng = random.Random(5)
+    features = [(rng.choice("ab"), s := rng.randrange(100_000), s + rng.choice([1, 5, 40, 40, 3000, 30_000]), rng.choice([f"U{i}", f"U{i}", f"M{i % 7}"])) for i in range(300)] + [("a", 5, 5, "z"), ("a", None, 9, "z"), (None, 1, 99, "z"), ("b", 1, 99_999, None)]
+    rows = [(rng.choice("abc"), s := rng.randrange(-50, 110_000), s + rng.choice([1, 1, 1, 2, 30, 900, 50_000])) for _ in range(500)] + [("b", 7, 7), ("a", 9, 2), (None, 1, 2), ("a", None, 2)]
+    rows += rows[:5]
+    df = intervals(spark, rows).withColumn("more", F.lit(1))
+    table = spark.createDataFrame(features, "rc string, rs long, re long, name string")
+    good = [g for g in features if None not in g and g[2] > g[1]]
+    valid = lambda r: None not in r and r[2] > r[1]
+    want = sorted((str(r), sorted({g[3] for g in good if valid(r) and g[0] == r[0] and r[1] < g[2] and g[1] < r[2]})) for r in rows)
+    k = ("chrom", "start", "end")
+    for most in (iv.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(iv, "BROADCAST_ROWS", most)
+        got = op.overlap_labels(df, table, "name", "labels", k, ("rc", "rs", "re"))
+        assert got.columns == [*df.columns, "labels"] and sorted((str((r.chrom, r.start, r.end)), r.labels) for r in got.collect()) == want
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Join" in line and re.search(r"\b(start|end|_s|_e)#\d+L? [<>]", line)]
+    assert [r.labels for r in op.overlap_labels(df, table.limit(0), "name", "labels", k, ("rc", "rs", "re")).limit(2).collect()] == [[], []]
+
+
 def test_region_semi_join_equals_brute_force(spark):
     import random
 
@@ -274,6 +300,25 @@ def test_nan_constraint_counts_as_null(spark):
     assert (r[0].gnomad_lof_pLI_max, r[0].gnomad_lof_pLI_canonical, r[0].gnomad_lof_oe_ci_upper_min) == (0.5, None, 1.0) and r[1].gnomad_lof_pLI_max is None
 
 
+def test_repeated_transcripts_are_spread(spark, monkeypatch):
+    """One transcript on both sides: its rows out are the work of several tasks, none is lost; a row without a match stays."""
+    from pedigrove.operators import annotate
+
+    monkeypatch.setattr(annotate, "OUT_ROWS", 5000)
+    df = spark.range(300).select("id", F.when(F.col("id") == 0, None).otherwise("T").alias("Feature")).coalesce(1)
+    c = spark.range(100).select(F.when(F.col("id") >= 0, "T").alias("transcript"), F.col("id").cast("double").alias("lof.pLI"), F.lit(1.0).alias("lof.oe_ci.upper")).coalesce(1)
+    got = op.constraint_by_transcript(df, c)
+    assert sorted((r.id, r.gnomad_lof_pLI_tx or 0.0) for r in got.collect()) == sorted([(0, 0.0)] + [(i, float(j)) for i in range(1, 300) for j in range(100)])
+    assert got.groupBy(F.spark_partition_id()).count().agg(F.count("*"), F.max("count")).first()[0] > 2 and got.columns == ["id", "Feature", "gnomad_lof_pLI_tx", "gnomad_lof_oe_ci_upper_tx"]
+
+
+def test_zeros_in_low_limbs_are_not_summed(spark):
+    from pedigrove.operators.intervals import limb_places
+
+    z = spark.createDataFrame([(0.125, 70_000.0), (3.5, None), (0.0, float("inf"))], "a double, b double")
+    assert len(limb_places(z, ("a", "b")).places) == 1 and len(limb_places(z.selectExpr("a + 0.1d as a"), ("a",)).places) > 1
+
+
 def test_merge_keeps_only_matching_alleles(spark):
     keys = "`#CHROM` string, POS0 long, END long, REF string, ALT_specific string"
     left = spark.createDataFrame([("1", 0, 1, "A", "C", "x"), ("1", 0, 1, "A", "G", "y")], f"{keys}, ALT string")
