@@ -24,6 +24,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWrite
 
 #: Compressed bytes of a split, and bytes of text in a batch.
 SPLIT_BYTES, BATCH_BYTES = 32 << 20, 4 << 20
+#: Tasks, about, beyond which neighbouring splits under SPLIT_BYTES are put together: each task has its start to pay.
+MOST_SPLITS = 256
 # Fixed values of the block-gzip format: text in a block, and the empty block that ends a file.
 BLOCK_TEXT = 0xFF00
 END = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
@@ -140,12 +142,14 @@ class BlockReader(DataSourceReader):
         self.split_bytes = int(options.get("split_bytes") or SPLIT_BYTES)
 
     def partitions(self):
-        splits = []
+        sizes = {}
         for path in self.paths:
             system, where = locate(path)
-            size = 0 if self.heads else system.get_file_info(where).size
-            splits += [Split(path, at, at + self.split_bytes) for at in range(0, max(size, 1), self.split_bytes)]
-        return splits
+            sizes[path] = 0 if self.heads else system.get_file_info(where).size
+        step = self.split_bytes
+        if step < SPLIT_BYTES:
+            step = min(SPLIT_BYTES, step * max(1, -(-sum(sizes.values()) // (step * MOST_SPLITS))))
+        return [Split(path, at, at + step) for path, size in sizes.items() for at in range(0, max(size, 1), step)]
 
     def read(self, split: Split) -> Iterator[pa.RecordBatch]:
         system, where = locate(split.path)

@@ -1,6 +1,7 @@
 """Variant call files: several headers, wide cohorts, packed annotations, and block gzip read in splits."""
 
 import gzip
+import json
 import random
 import time
 
@@ -138,3 +139,16 @@ def test_write_block_gzip(spark, tmp_path):
     assert got.count("#top") == 3 and sorted(x for x in got if x != "#top") == sorted(r[0] for r in rows.collect())
     assert [r.value for r in lines.read_heads(spark, files).collect()] == ["#top"] * 3
     assert sources.read_tsv(spark, path).count() == 5000  # Spark reads them too
+
+
+def test_small_splits_of_much_text_are_put_together(tmp_path):
+    """Each byte is in one split; there are no more tasks than asked for, but for one a file."""
+    paths = [str(tmp_path / x) for x in "ab"]
+    for path, size in zip(paths, (3_000_001, 10)):
+        with open(path, "wb") as f:
+            f.write(bytes(size))
+    splits = lines.BlockReader({"paths": json.dumps(paths), "split_bytes": "1024"}).partitions()
+    of = [s for s in splits if s.path == paths[0]]
+    assert len(splits) <= lines.MOST_SPLITS + 2 and [s.end for s in of[:-1]] == [s.start for s in of[1:]]
+    assert of[0].start == 0 and of[-1].end >= 3_000_001 and len(splits) - len(of) == 1
+    assert len(lines.BlockReader({"paths": json.dumps(paths), "split_bytes": "100000"}).partitions()) == 32
